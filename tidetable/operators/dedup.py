@@ -7,8 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 10^19 exceeds any 64-bit tie-break, so delivery time and tie-break share one decimal(38, 0) without overlap.
-_SHIFT = "10000000000000000000"
+#: 2 * 10^19 exceeds the span of 64-bit tie-breaks, so delivery time and tie-break share one decimal(38, 0) without overlap.
+_SHIFT = "20000000000000000000"
 
 
 def delivery_order(micros: Column, tie_break: Column) -> Column:
@@ -18,9 +18,7 @@ def delivery_order(micros: Column, tie_break: Column) -> Column:
     be updated in place in a hash map; the packed decimal compares exactly like the struct. Null times sort after all
     others, null tie-breaks after all of the same time.
     """
-    time = F.coalesce(micros, F.lit(9_223_372_036_854_775_807)).cast("decimal(38,0)")
-    # micros of any date Spark can hold take 19 digits at most; dividing the null marker keeps the product within 38 digits
-    time = F.when(micros.isNull(), F.lit(4_000_000_000_000_000_000).cast("decimal(38,0)")).otherwise(time)
+    time = F.when(micros.isNull(), F.lit(4_000_000_000_000_000_000)).otherwise(micros).cast("decimal(38,0)")
     tie = F.coalesce(tie_break, F.lit(9_223_372_036_854_775_807)).cast("decimal(38,0)")
     return (time * F.lit(_SHIFT).cast("decimal(20,0)") + tie).cast("decimal(38,0)")
 
