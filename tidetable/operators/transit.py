@@ -1,0 +1,127 @@
+"""Composite operators: service calendars, schedule explosion, last-prediction finalization, headways, ledgers, censuses."""
+
+from __future__ import annotations
+
+from collections.abc import Sequence
+
+from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import functions as F
+
+from tidetable.functions import domain
+from tidetable.operators.joins import asof_backward, without_overlap
+from tidetable.session import broadcast_if_small
+
+WEEKDAYS = ["monday", "tuesday", "wednesday", "thursday", "friday", "saturday", "sunday"]
+
+
+def service_dates(calendar: DataFrame, exceptions: DataFrame, days: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Distinct ``scope``, ``service_id`` and ``service_date``: calendar days whose weekday flag is set, less removals, plus additions.
+
+    ``calendar`` holds ``start_date`` and ``end_date`` as yyyyMMdd and the seven flags, ``exceptions`` ``date`` and
+    ``exception_type`` (1 adds, 2 removes), ``days`` a column ``service_date``. The days of each service come from its own
+    span by ``sequence``, so no theta join arises; ``days`` restricts them by a semi-join.
+    """
+    spans = calendar.select(*scope, "service_id", F.try_to_date("start_date", "yyyyMMdd").alias("a"), F.try_to_date("end_date", "yyyyMMdd").alias("b"), F.array(*[F.col(d).cast("int") for d in WEEKDAYS]).alias("flags"))
+    regular = spans.where("a <= b").withColumn("service_date", F.explode(F.sequence("a", "b"))).where(F.element_at("flags", F.weekday("service_date") + 1) == 1).select(*scope, "service_id", "service_date")
+    ex = exceptions.select(*scope, "service_id", F.try_to_date("date", "yyyyMMdd").alias("service_date"), F.col("exception_type").cast("int").alias("kind"))
+    keys = [*scope, "service_id", "service_date"]
+    left = regular.join(ex.where("kind = 2").select(*keys), keys, "left_anti")
+    return left.unionByName(ex.where("kind = 1").select(*keys)).distinct().join(broadcast_if_small(days.select("service_date").distinct()), "service_date", "left_semi").select(*keys)
+
+
+def scheduled_stop_times(trips: DataFrame, dates: DataFrame, stop_times: DataFrame, zones: DataFrame, scope: Sequence[str]) -> DataFrame:
+    """Schedule instants: trips of each active service and day with their stop times as UTC. ``zones`` holds the first scope column and ``zone``."""
+    active = trips.join(dates, [*scope, "service_id"])
+    full = active.join(stop_times, [*scope, "trip_id"]).join(broadcast_if_small(zones), scope[0])
+    return full.withColumn("sched_arr_ts_utc", domain.scheduled_instant(F.col("service_date"), domain.gtfs_seconds(F.col("arrival_time")), F.col("zone")))
+
+
+def finalize(predictions: DataFrame, visit: Sequence[str], predicted: str, fetched: str, stale_minutes: int = 30, horizon_minutes: int = 20) -> DataFrame:
+    """One row per ``visit``: the last prediction fetched no later than ``stale_minutes`` after the predicted time, with provenance.
+
+    Adds ``n_predictions``, ``first_seen``, ``last_seen``. Visits predicted within ``horizon_minutes`` of the newest fetch of all
+    are still open and left out; the horizon is data, not a clock, so a replay gives the same rows. Rows with a null
+    visit column or prediction are ignored. Equal fetches: the later prediction, then the greatest other values.
+    """
+    p, f = F.unix_micros(F.col(predicted).cast("timestamp")), F.unix_micros(F.col(fetched).cast("timestamp"))
+    ok = predictions.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*visit, predicted, fetched])).where(f <= p + stale_minutes * 60_000_000)
+    newest = predictions.agg(F.max(f).alias("__newest"))
+    rest = [c for c in predictions.columns if c not in (*visit, predicted, fetched)]
+    last = F.max(F.struct(F.col(fetched), F.col(predicted), *rest)).alias("__m")
+    one = ok.groupBy(*visit).agg(last, F.count(F.lit(1)).alias("n_predictions"), F.min(fetched).alias("first_seen"))
+    closed = one.crossJoin(F.broadcast(newest)).where(F.unix_micros(F.col(f"__m.{predicted}").cast("timestamp")) <= F.col("__newest") - horizon_minutes * 60_000_000)
+    return closed.select(*visit, f"__m.{predicted}", *[f"__m.{c}" for c in rest], "n_predictions", "first_seen", F.col(f"__m.{fetched}").alias("last_seen"))
+
+
+def headways(events: DataFrame, keys: Sequence[str], actual: str, scheduled: str, trip: str, feed_gaps: DataFrame | None = None, gap_keys: Sequence[str] = ()) -> DataFrame:
+    """Gaps between consecutive arrivals per ``keys`` beside the schedule's own gap as of the arrival.
+
+    ``gap_sec``, ``sched_gap_sec``, ``ratio``, ``bunched`` (below half the schedule) and ``big_gap`` (above twice). The scheduled gap
+    is that of the latest scheduled arrival not after the actual one. Gaps that a feed gap overlaps are left out. Rows
+    without a key or actual time are ignored; null ratios stay null.
+    """
+    ok = events.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, actual]))
+    w = Window.partitionBy(*keys).orderBy(actual, trip)
+    seconds = lambda c: F.unix_seconds(F.col(c).cast("timestamp"))
+    own = ok.withColumn("previous", F.lag(actual).over(w)).withColumn("gap_sec", seconds(actual) - seconds("previous"))
+    planned = events.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, scheduled])).select(*keys, F.col(scheduled).alias("__s")).distinct()
+    planned = planned.withColumn("sched_gap_sec", seconds("__s") - F.unix_seconds(F.lag("__s").over(Window.partitionBy(*keys).orderBy("__s")).cast("timestamp")))
+    out = asof_backward(own, planned, keys, actual, "__s", ["sched_gap_sec"]).where("gap_sec IS NOT NULL").drop("asof_time")
+    if feed_gaps is not None:
+        out = without_overlap(out, feed_gaps, gap_keys, "previous", actual, "gap_start", "gap_end")
+    out = out.withColumn("ratio", domain.ratio(F.col("gap_sec"), F.col("sched_gap_sec")))
+    return out.withColumn("bunched", F.col("ratio") < 0.5).withColumn("big_gap", F.col("ratio") > 2.0)
+
+
+def service_frequency(stops: DataFrame, keys: Sequence[str], scheduled: str, slices: Sequence[Column], frequent_sec: int = 600) -> DataFrame:
+    """Median scheduled gap per key and slice, and whether it makes a frequent service."""
+    w = Window.partitionBy(*keys).orderBy(scheduled)
+    distinct = stops.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, scheduled])).select(*keys, scheduled, *slices).distinct()
+    gap = F.unix_seconds(F.col(scheduled).cast("timestamp")) - F.unix_seconds(F.lag(scheduled).over(w).cast("timestamp"))
+    names = [c for c in distinct.columns if c not in (*keys, scheduled)]
+    out = distinct.withColumn("__g", gap).where("__g > 0").groupBy(*keys, *names).agg(F.percentile("__g", 0.5).alias("median_gap_sec"), F.count(F.lit(1)).alias("gaps"))
+    return out.withColumn("is_frequent", F.col("median_gap_sec") <= frequent_sec)
+
+
+def vehicle_activity(positions: DataFrame, keys: Sequence[str], at: str, vehicle: str, fallback: str) -> DataFrame:
+    """Hourly distinct vehicles, by ``fallback`` where the vehicle is null, and whether all were known by their own id."""
+    hour = F.date_trunc("hour", F.col(at).cast("timestamp"))
+    return positions.where(f"`{at}` IS NOT NULL").groupBy(*keys, hour.alias("hour")).agg(
+        F.countDistinct(F.coalesce(vehicle, fallback)).alias("vehicles"), F.count(F.lit(1)).alias("records"), F.coalesce(F.bool_and(F.col(vehicle).isNotNull()), F.lit(False)).alias("reliable"))
+
+
+def minute_census(spans: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
+    """How many spans are live in each minute they touch, per key: ``minute``, ``live``; then peaks come by a second aggregation.
+
+    Spans become +1 and -1 at their ends, summed per minute and run up, so a long span costs two rows, not one a minute;
+    minutes without a change are not listed.
+    """
+    def edge(c: str, add: int) -> Column:
+        return F.struct((F.date_trunc("minute", F.col(c).cast("timestamp")) + F.make_dt_interval(mins=F.lit(0 if add > 0 else 1))).alias("minute"), F.lit(add).alias("d"))
+
+    ok = spans.where(F.col(start).isNotNull() & (F.col(end) >= F.col(start)))
+    edges = ok.select(*keys, F.explode(F.array(edge(start, 1), edge(end, -1))).alias("e")).groupBy(*keys, "e.minute").agg(F.sum("e.d").alias("d"))
+    w = Window.partitionBy(*keys).orderBy("minute").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return edges.select(*keys, "minute", F.sum("d").over(w).alias("live"))
+
+
+def latest_fix(positions: DataFrame, vehicle: Sequence[str], at: str, before: Column, within_sec: int) -> DataFrame:
+    """The last row of each vehicle in the window up to an instant; ties by the greatest other values."""
+    t, limit = F.unix_micros(F.col(at).cast("timestamp")), F.unix_micros(before)
+    rest = [c for c in positions.columns if c not in (*vehicle, at)]
+    live = positions.where((t <= limit) & (t > limit - within_sec * 1_000_000))
+    return live.groupBy(*vehicle).agg(F.max(F.struct(at, *rest)).alias("m")).select(*vehicle, f"m.{at}", *[f"m.{c}" for c in rest])
+
+
+def passages(snapshots: DataFrame, stops: DataFrame, train: Sequence[str], position: str, at: str, sign: str, stop_position: str, delay: str) -> DataFrame:
+    """First snapshot of each train at or past each of its stops along its direction, with the delay stated then."""
+    s = snapshots.select(*train, F.col(position).alias("__p"), F.col(at).alias("__t"), F.col(delay).alias("__d"))
+    met = stops.join(s, list(train)).where(F.col("__p") * F.col(sign) >= F.col(stop_position) * F.col(sign))
+    return met.groupBy(*stops.columns).agg(F.min("__t").alias("passed_at"), F.min_by("__d", F.struct("__t", "__d")).alias("stated_delay"))
+
+
+def zone_share(stops: DataFrame, keys: Sequence[str], lat: str, lon: str, box: tuple[float, float, float, float]) -> DataFrame:
+    """Share of a route's distinct stops within a bounding box (south, west, north, east); routes with the majority inside make an allow-list."""
+    inside = F.col(lat).between(box[0], box[2]) & F.col(lon).between(box[1], box[3])
+    per = stops.groupBy(*keys, "stop_id").agg(F.max(inside.cast("int")).alias("i"))
+    return per.groupBy(*keys).agg(F.sum("i").alias("stops_in_zone"), F.count(F.lit(1)).alias("stops_total"), F.avg("i").alias("zone_share"))

@@ -1,0 +1,153 @@
+"""Batch sources: schedule CSV, JSON-LD dumps, envelopes, seeds, weather, spines."""
+
+from __future__ import annotations
+
+import io
+import zipfile
+from collections.abc import Iterable, Iterator, Sequence
+
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from tidetable.functions import domain
+
+_TRIP = "entity_id string, trip_id string, route_id string, direction_id int, start_date string, start_time string, schedule_relationship string, vehicle_id string, vehicle_label string, timestamp bigint"
+_CALL = "struct<time: bigint, delay: int, uncertainty: int>"
+#: Declared record schemas by feed.
+RECORDS = {
+    "trip_updates": f"{_TRIP}, stop_time_updates array<struct<stop_id: string, stop_sequence: int, arrival: {_CALL}, departure: {_CALL}, schedule_relationship: string>>",
+    "vehicle_positions": f"{_TRIP}, lat double, lon double, bearing double, speed double, current_stop_sequence int, stop_id string, current_status string, occupancy_status string",
+    "alerts": "alert_id string, active_periods array<struct<start: bigint, end: bigint>>, informed_entities array<struct<agency_id: string, route_id: string, route_type: int, stop_id: string, trip_id: string>>, "
+              "cause string, effect string, severity_level string, header_text string, description_text string",
+    "odpt_trains": "entity_id string, trip_id string, train_number string, operator string, railway string, rail_direction string, train_type string, delay_sec int, from_station string, to_station string, "
+                   "origin_stations array<string>, destination_stations array<string>, car_composition int, train_index int, timestamp bigint, valid_until bigint, frequency_sec int",
+}
+#: Declared schedule files.
+SCHEDULE = {
+    "routes": "route_id string, agency_id string, route_short_name string, route_long_name string, route_type int, route_color string",
+    "trips": "trip_id string, route_id string, service_id string, direction_id int, trip_headsign string, shape_id string, block_id string",
+    "stops": "stop_id string, stop_code string, stop_name string, stop_lat double, stop_lon double, parent_station string, location_type int, zone_id string",
+    "stop_times": "trip_id string, stop_id string, stop_sequence int, arrival_time string, departure_time string, timepoint int",
+    "calendar": "service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int, start_date string, end_date string",
+    "calendar_dates": "service_id string, date string, exception_type int",
+    "shapes": "shape_id string, shape_pt_lat double, shape_pt_lon double, shape_pt_sequence int, shape_dist_traveled double",
+    "frequencies": "trip_id string, start_time string, end_time string, headway_secs int, exact_times int",
+}
+
+
+def envelope_schema(feed: str) -> T.StructType:
+    """Schema of an envelope message whose payload holds the feed's records."""
+    record = T.StructType.fromDDL(RECORDS[feed])
+    head = T.StructType.fromDDL("city string, agency string, feed string, fetched_at string, source_format string, schema_version int, endpoint string, feed_ts bigint")
+    return head.add("payload", T.ArrayType(record))
+
+
+def parse_envelopes(messages: DataFrame, feed: str, value: str = "value") -> DataFrame:
+    """Envelope columns of JSON messages (text or binary); an unreadable message gives nulls."""
+    return messages.select(F.from_json(F.col(value).cast("string"), envelope_schema(feed)).alias("e")).select("e.*")
+
+
+def provenance(messages: DataFrame, value: str = "value") -> DataFrame:
+    """Head fields of any envelope by JSON path, the payload kept as text; other columns stay."""
+    paths = ["city", "agency", "feed", "fetched_at", "source_format", "endpoint"]
+    return messages.select("*", *[F.get_json_object(F.col(value).cast("string"), f"$.{p}").alias(p) for p in paths], F.get_json_object(F.col(value).cast("string"), "$.feed_ts").try_cast("bigint").alias("feed_ts"),
+                           F.get_json_object(F.col(value).cast("string"), "$.payload").alias("payload_json"))
+
+
+def conform(df: DataFrame, ddl: str) -> DataFrame:
+    """Columns of a declared schema: present ones cast (unreadable values become null), absent ones typed nulls, others dropped. A byte-order mark in the header is ignored."""
+    have = {c.lstrip("﻿").strip(): c for c in df.columns}
+    return df.select(*[(F.nullif(F.trim(F.col(f"`{have[f.name]}`")), F.lit("")).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name) for f in T.StructType.fromDDL(ddl)])
+
+
+def read_schedule(spark: SparkSession, path: str | Sequence[str], name: str) -> DataFrame:
+    """One schedule file (or several, united by name) as its declared columns; stop times also get clocks in seconds."""
+    paths = [path] if isinstance(path, str) else list(path)
+    out = None
+    for p in paths:
+        part = conform(spark.read.option("header", True).option("mode", "PERMISSIVE").csv(p), SCHEDULE[name])
+        out = part if out is None else out.unionByName(part)
+    if name == "stop_times":
+        out = out.withColumn("arrival_seconds", domain.gtfs_seconds(F.col("arrival_time"))).withColumn("departure_seconds", domain.gtfs_seconds(F.col("departure_time")))
+    return out
+
+
+def read_zip(spark: SparkSession, path: str, member: str) -> DataFrame:
+    """Lines of a member of every archive under ``path``, unpacked on the executors: ``path``, ``line_no``, ``line``."""
+    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for frame in frames:
+            for name, content in zip(frame["path"], frame["content"], strict=True):
+                with zipfile.ZipFile(io.BytesIO(content)) as z:
+                    if member not in z.namelist():
+                        continue
+                    with z.open(member) as f:
+                        lines = []
+                        for i, line in enumerate(io.TextIOWrapper(f, "utf-8-sig")):
+                            lines.append((name, i, line.rstrip("\r\n")))
+                            if len(lines) >= 50_000:
+                                yield pd.DataFrame(lines, columns=["path", "line_no", "line"])
+                                lines = []
+                        if lines:
+                            yield pd.DataFrame(lines, columns=["path", "line_no", "line"])
+
+    return spark.read.format("binaryFile").load(path).select("path", "content").mapInPandas(run, "path string, line_no bigint, line string")
+
+
+def odpt_stations(dump: DataFrame, operator: str) -> DataFrame:
+    """Ordered stations of the operator's railways: ``railway``, ``line_code``, ``station``, ``station_index``."""
+    own = dump.where(F.col("`odpt:operator`") == operator)
+    return own.select(F.col("`owl:sameAs`").alias("railway"), F.col("`odpt:lineCode`").alias("line_code"), F.explode_outer("`odpt:stationOrder`").alias("s")).select(
+        "railway", "line_code", F.col("s.`odpt:station`").alias("station"), F.col("s.`odpt:index`").cast("int").alias("station_index"))
+
+
+def odpt_timetables(dump: DataFrame) -> DataFrame:
+    """Calls of every train timetable: identity columns, ``call_no`` from 1, stations and clocks."""
+    return dump.select(F.col("`owl:sameAs`").alias("timetable"), F.col("`odpt:railway`").alias("railway"), F.col("`odpt:calendar`").alias("calendar"), F.col("`odpt:trainNumber`").alias("train_number"),
+                       F.posexplode_outer("`odpt:trainTimetableObject`").alias("i", "x")).select("timetable", "railway", "calendar", "train_number", (F.col("i") + 1).alias("call_no"),
+                       F.coalesce("x.`odpt:departureStation`", "x.`odpt:arrivalStation`").alias("station"), F.col("x.`odpt:arrivalTime`").alias("arrival"), F.col("x.`odpt:departureTime`").alias("departure"))
+
+
+def urn_tail(urn: Column) -> Column:
+    """Last dotted part of a URN; null for null."""
+    return F.element_at(F.split(urn, r"[.:]"), -1)
+
+
+def weather_hours(raw: DataFrame, zone: str = "zone") -> DataFrame:
+    """Hourly rows (city, local date, local hour) from parallel UTC arrays; of the two hours of a clock change the later stays."""
+    names = ["temp_c", "precip_mm", "snowfall_cm", "wind_kph", "weather_code"]
+    rows = raw.select("city", zone, F.explode(F.arrays_zip("time", *names)).alias("h")).select("city", zone, "h.*")
+    utc = F.to_timestamp(F.col("time"))
+    local = F.from_utc_timestamp(utc, F.col(zone))
+    keyed = rows.select("city", F.to_date(local).alias("local_date"), F.hour(local).alias("local_hour"), utc.alias("utc"), *names)
+    return keyed.groupBy("city", "local_date", "local_hour").agg(F.max(F.struct("utc", *names)).alias("m")).select("city", "local_date", "local_hour", *[f"m.{n}" for n in names])
+
+
+def year_chunks(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """The range cut at years: ``first_day``, ``last_day``."""
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("d"))
+    return days.groupBy(F.year("d").alias("y")).agg(F.min("d").alias("first_day"), F.max("d").alias("last_day")).drop("y")
+
+
+def date_spine(spark: SparkSession, start: str, end: str) -> DataFrame:
+    """One row per day with its calendar parts; weekdays from Monday = 1."""
+    d = F.col("date")
+    days = spark.range(1).select(F.explode(F.sequence(F.lit(start).cast("date"), F.lit(end).cast("date"))).alias("date"))
+    return days.select(d, F.year(d).alias("year"), F.quarter(d).alias("quarter"), F.month(d).alias("month"), F.dayofmonth(d).alias("day"), (F.weekday(d) + 1).alias("iso_dow"), (F.weekday(d) >= 5).alias("is_weekend"))
+
+
+def hour_spine(spark: SparkSession) -> DataFrame:
+    """Hours 0..23 with their part of the day and whether it is a peak."""
+    h = F.col("id").cast("int")
+    return spark.range(24).select(h.alias("hour"), domain.daypart(h).alias("daypart"), domain.daypart(h).isin("am_peak", "pm_peak").alias("is_peak"))
+
+
+def seed(spark: SparkSession, path: str, ddl: str) -> DataFrame:
+    """A CSV of reference data with declared types; times of day stay text."""
+    return spark.read.option("header", True).schema(ddl).csv(path)
+
+
+def empty(spark: SparkSession, ddl: str) -> DataFrame:
+    """A typed table without rows, in place of an absent source."""
+    return spark.createDataFrame([], ddl)
