@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tidetable.plans import problems, problems_sql
+from tidetable.plans import base, problems, problems_sql, relational  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:
-    return dict(problems.QUERIES)
+    return problems.QUERIES | base.QUERIES
 
 
 def oracles() -> dict[str, str]:
-    return dict(problems_sql.ORACLES)
+    return problems_sql.ORACLES | base.ORACLES
