@@ -15,9 +15,8 @@ SHARES = {"p50": 0.5, "p90": 0.9, "p95": 0.95, "p99": 0.99}
 
 def matched_trips(spark: SparkSession, sf_dir: str) -> DataFrame:
     trips = load(spark, sf_dir, "stop_time_predictions").where("trip_uid IS NOT NULL AND route_id IS NOT NULL AND start_time IS NOT NULL")
-    # one row per trip, combined before the shuffle; its identity columns agree on all its rows
-    trips = trips.groupBy("trip_uid").agg(F.min(F.struct("city", "route_id", "direction_id", "start_time")).alias("t")).select("trip_uid", "t.*")
-    trips = trips.withColumn("at", nearest.clock_seconds(F.col("start_time")))
+    # a trip's rows agree in these, so this leaves one row per trip; as keys of a hash aggregation they are combined before the shuffle
+    trips = trips.select("trip_uid", "city", "route_id", "direction_id", "start_time").distinct().withColumn("at", nearest.clock_seconds(F.col("start_time")))
     static = load(spark, sf_dir, "gtfs_static_trips").withColumn("origin", nearest.clock_seconds(F.col("origin_time")))
     return nearest.match(trips, static, "trip_uid", ["city", "route_id"], "direction_id", "at", "origin", "trip_id", 300)
 
