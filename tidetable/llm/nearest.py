@@ -39,7 +39,7 @@ def _joined(batches: Iterable[pa.RecordBatch], tolerance: int) -> Iterator[pa.Re
 
     def join(table: pa.Table) -> Iterator[pa.RecordBatch]:
         con.register("grp", table)
-        found = con.execute(_NEAREST, {"tolerance": tolerance}).to_arrow_table()
+        found = con.sql(_NEAREST, params={"tolerance": tolerance}).to_arrow_table()
         con.unregister("grp")
         for b in found.to_batches():
             if b.num_rows:
