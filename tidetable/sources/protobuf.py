@@ -5,7 +5,7 @@ from __future__ import annotations
 import struct
 from collections.abc import Iterable, Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 
 #: Field numbers of the feed messages that are read.
@@ -79,20 +79,21 @@ def vehicles(feed: bytes) -> list[dict]:
 
 
 SCHEMA = "path string, feed_ts bigint, entity_id string, trip_id string, route_id string, direction_id int, start_date string, start_time string, schedule_relationship string, vehicle_id string, vehicle_label string, timestamp bigint, lat double, lon double, stop_id string, error string"
+ARROW = {"string": pa.string(), "bigint": pa.int64(), "int": pa.int32(), "double": pa.float64()}
 
 
 def decode_vehicles(files: DataFrame) -> DataFrame:
     """Rows of :func:`vehicles` of every file (``path``, ``content``); a broken file gives one row with ``error``, so that none is lost."""
-    names = [c.strip().split(" ")[0] for c in SCHEMA.split(",")]
+    arrow = pa.schema([(n, ARROW[t]) for n, t in (c.strip().split(" ") for c in SCHEMA.split(","))])
 
-    def run(frames: Iterable[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for frame in frames:
-            for path, content in zip(frame["path"], frame["content"], strict=True):
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for path, content in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 try:
-                    rows = [{"path": path, **r} for r in vehicles(bytes(content))]
+                    rows = [{"path": path, **r} for r in vehicles(content)]
                 except (ValueError, TypeError) as e:
                     rows = [{"path": path, "error": str(e)}]
                 if rows:
-                    yield pd.DataFrame(rows).reindex(columns=names).astype({"feed_ts": "Int64", "direction_id": "Int32", "timestamp": "Int64"})
+                    yield pa.RecordBatch.from_pylist(rows, schema=arrow)
 
-    return files.select("path", "content").mapInPandas(run, SCHEMA)
+    return files.select("path", "content").mapInArrow(run, SCHEMA)
