@@ -76,12 +76,16 @@ def _offset_seconds(mark: Column, zone: Column) -> Column:
     return F.when(mark.isin("Z", "GMT", "UTC"), 0).when(mark.rlike(r"^[+-]"), numeric).otherwise(F.try_element_at(named, F.concat_ws(" ", zone, mark)))
 
 
-def _staged(df: DataFrame, **columns: Column) -> DataFrame:
+def _apart(df: DataFrame, **columns: Column) -> DataFrame:
     """``df`` with ``columns`` behind a one-row generator, which the optimizer neither merges with other projections nor pushes
-    filters through; without it each use of a column would repeat its whole expression."""
+    filters through; without it a filter on a column would repeat its whole expression."""
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
+def _stage(df: DataFrame, **columns: Column) -> DataFrame:
+    return df.withColumns(columns)
+
+
 def with_readings(df: DataFrame, text: Column, zone: Column, into: str) -> DataFrame:
     """``df`` with ``into``, an ``array<struct<kind int, micros bigint>>`` of every valid reading of ``text``, empty if unreadable or null.
 
@@ -91,21 +95,21 @@ def with_readings(df: DataFrame, text: Column, zone: Column, into: str) -> DataF
     offset outranks a bracketed region. ``kind`` indexes :data:`KINDS`.
     """
     c = F.col
-    out = _staged(df, _zone=zone, _t=plain_text(text))
+    out = _stage(df, _zone=zone, _t=plain_text(text))
     kind = F.when(c("_t").rlike(_YMD), 1).when(c("_t").rlike(_XXY), 2).when(c("_t").rlike(_NAMED), 3).when(c("_t").rlike(_EPOCH), 4)
-    out = _staged(out, _kind=kind)
+    out = _stage(out, _kind=kind)
     month = F.substring(F.regexp_extract("_t", _NAMED, 2), 1, 3)
 
     def pick(ymd: Column, xxy: Column, named: Column) -> Column:
         return F.when(c("_kind") == 1, ymd).when(c("_kind") == 2, xxy).when(c("_kind") == 3, named)
 
-    out = _staged(out, _y=pick(_number(c("_t"), _YMD, 1), _number(c("_t"), _XXY, 4), _number(c("_t"), _NAMED, 3)),
+    out = _stage(out, _y=pick(_number(c("_t"), _YMD, 1), _number(c("_t"), _XXY, 4), _number(c("_t"), _NAMED, 3)),
                   _a=pick(_number(c("_t"), _YMD, 3), _number(c("_t"), _XXY, 3), F.position(month, F.lit(_MONTHS))),
                   _b=pick(_number(c("_t"), _YMD, 4), _number(c("_t"), _XXY, 1), _number(c("_t"), _NAMED, 1)),
                   _dotted=(c("_kind") == 2) & (F.regexp_extract("_t", _XXY, 2) == "."),
                   _tail=pick(F.regexp_extract("_t", _YMD, 5), F.regexp_extract("_t", _XXY, 5), F.regexp_extract("_t", _NAMED, 4)))
     tail = c("_tail")
-    out = _staged(out, _m=F.when(c("_kind") != 3, c("_a")).when(c("_a") % 3 == 1, ((c("_a") + 2) / 3).cast("int")), _ok=tail.rlike(_CLOCK), _h=F.coalesce(_number(tail, _CLOCK, 1), F.lit(0)),
+    out = _stage(out, _m=F.when(c("_kind") != 3, c("_a")).when(c("_a") % 3 == 1, ((c("_a") + 2) / 3).cast("int")), _ok=tail.rlike(_CLOCK), _h=F.coalesce(_number(tail, _CLOCK, 1), F.lit(0)),
                   _mi=F.coalesce(_number(tail, _CLOCK, 2), F.lit(0)), _s=F.coalesce(_number(tail, _CLOCK, 3), F.lit(0)), _us=F.coalesce(_micros(F.nullif(F.regexp_extract(tail, _CLOCK, 4), F.lit(""))), F.lit(0)),
                   _half=F.regexp_extract(tail, _CLOCK, 5), _mark=F.nullif(F.regexp_extract(tail, _CLOCK, 6), F.lit("")))
     hour = F.when(c("_half") == "", F.when(c("_h") < 24, c("_h"))).when(c("_h").between(1, 12), c("_h") % 12 + F.when(c("_half") == "PM", 12).otherwise(0))
@@ -113,14 +117,14 @@ def with_readings(df: DataFrame, text: Column, zone: Column, into: str) -> DataF
     n, digits = F.regexp_extract("_t", _EPOCH, 1).try_cast("bigint"), F.length(F.regexp_extract("_t", _EPOCH, 1))
     epoch = F.when(digits == 10, n * 1_000_000 + F.coalesce(_micros(F.nullif(F.regexp_extract("_t", _EPOCH, 2), F.lit(""))), F.lit(0))).when(digits == 13, n * 1000) \
         .when(digits == 16, n).when(digits == 19, F.floor(n.cast("decimal(20,0)") / 1000).cast("bigint"))
-    out = _staged(out, _clock=clock, _epoch=F.when(c("_kind") == 4, epoch), _shift=F.when(c("_mark").isNotNull(), _offset_seconds(c("_mark"), c("_zone"))).cast("bigint") * 1_000_000,
+    out = _stage(out, _clock=clock, _epoch=F.when(c("_kind") == 4, epoch), _shift=F.when(c("_mark").isNotNull(), _offset_seconds(c("_mark"), c("_zone"))).cast("bigint") * 1_000_000,
                   _one=_epoch_day(c("_y"), c("_m"), c("_b")).cast("bigint") * DAY, _two=F.when((c("_kind") == 2) & ~c("_dotted"), _epoch_day(c("_y"), c("_b"), c("_m"))).cast("bigint") * DAY)
-    out = _staged(out, _one_at=c("_one") + c("_clock"), _two_at=c("_two") + c("_clock"))
+    out = _stage(out, _one_at=c("_one") + c("_clock"), _two_at=c("_two") + c("_clock"))
     one, two = local_instants(c("_one_at"), c("_zone")), local_instants(c("_two_at"), c("_zone"))
-    out = _staged(out, _r0=F.coalesce(c("_epoch"), c("_one_at") - c("_shift"), one[0]), _r1=F.when(c("_shift").isNull(), one[1]),
+    out = _stage(out, _r0=F.coalesce(c("_epoch"), c("_one_at") - c("_shift"), one[0]), _r1=F.when(c("_shift").isNull(), one[1]),
                   _r2=F.coalesce(c("_two_at") - c("_shift"), two[0]), _r3=F.when(c("_shift").isNull(), two[1]), _base=F.when(c("_kind") == 2, 2).otherwise(0))
     found = F.array(*[F.struct(k.cast("int").alias("kind"), c(r).alias("micros")) for k, r in ((c("_base"), "_r0"), (c("_base") + 1, "_r1"), (F.lit(4), "_r2"), (F.lit(5), "_r3"))])
-    return _staged(out, **{into: F.filter(found, lambda r: r["micros"].isNotNull())}).select(*df.columns, into)
+    return _apart(out, **{into: F.filter(found, lambda r: r["micros"].isNotNull())}).select(*df.columns, into)
 
 
 def _surviving(found: Column, evidence: Column) -> Column:
@@ -172,18 +176,18 @@ def normalise(df: DataFrame, text: str, zone: str, source: str, evidence: str |
     near = F.col(evidence) if evidence else F.lit(None).cast("bigint")
     surface = F.regexp_replace(F.regexp_replace(plain_text(F.col(text)), r"\d+", "9"), r"[A-Z]{3,}", "A")
     read = with_readings(df, F.col(text), F.col(zone), "__all")
-    read = _staged(read, __left=_surviving(F.col("__all"), near))
-    read = _staged(read, __instants=F.size(F.array_distinct(F.transform("__left", lambda r: r["micros"]))))
+    read = read.withColumn("__left", _surviving(F.col("__all"), near))
+    read = _apart(read, __instants=F.size(F.array_distinct(F.transform("__left", lambda r: r["micros"]))))
     decided = read.where("__instants <= 1").select(
         *df.columns, F.when(F.size("__left") > 0, F.col("__left")[0]["micros"]).alias("utc_micros"), F.when(F.size("__left") > 0, F.col("__left")[0]["kind"]).alias("__kind"),
         F.when(F.size("__left") > 0, F.lit(1.0)).alias("posterior"),
         F.when(F.size("__left") == 0, "unreadable").when(F.size(F.array_distinct(F.transform("__all", lambda r: r["micros"]))) > 1, "by evidence").otherwise("certain").alias("status"))
-    weights = format_mixtures(_staged(read.select(F.col(source).cast("string").alias("source"), F.col(text), F.col("__left").alias("left")), surface=surface))
+    weights = format_mixtures(_apart(read.select(F.col(source).cast("string").alias("source"), F.col(text), F.col("__left").alias("left")), surface=surface))
     undecided = read.where("__instants > 1").withColumn("__surface", surface)
     joined = undecided.join(weights.select(F.col("source").alias("__s"), F.col("surface").alias("__f"), F.col("weights").alias("__w")),
                             F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__surface") == F.col("__f")), "left")
     shares = F.transform("__left", lambda r: F.struct(F.coalesce(F.element_at("__w", r["kind"] + 1), F.lit(1.0)).alias("p"), (-r["kind"]).alias("minus"), r["micros"].alias("micros")))
-    joined = _staged(_staged(joined, __p=shares), __best=F.array_max("__p"))
+    joined = joined.withColumn("__p", shares).withColumn("__best", F.array_max("__p"))
     posterior = F.col("__best.p") / F.aggregate("__p", F.lit(0.0), lambda a, x: a + x["p"])
     chosen = joined.select(*df.columns, F.col("__best.micros").alias("utc_micros"), (-F.col("__best.minus")).alias("__kind"), posterior.alias("posterior"),
                            F.when(posterior >= sure, "by mixture").otherwise("ambiguous").alias("status"))

@@ -82,15 +82,18 @@ def p6_history(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     sent = read_envelopes(spark, sf_dir, ["envelope_id"]).where(~F.col("fetched_at").rlike(r"\A\d{4}-\d\d-\d\dT\d\d:\d\d:\d\dZ\z"))
-    sent = timestamps.normalise(sent, "fetched_at", "zone", "endpoint", "near").where("utc_micros IS NOT NULL")
-    table = load(spark, sf_dir, "tokyo_odpt_train_timetable").select("timetable_id", "dc_date", F.col("odpt_train_timetable_object.departure_time").alias("clocks")).withColumn("zone", F.lit("Asia/Tokyo"))
-    table = timestamps.normalise(table.withColumn("source", F.lit("timetable")), "dc_date", "zone", "source").where("utc_micros IS NOT NULL")
-    local_day = F.unix_date(F.to_date(F.from_utc_timestamp(F.timestamp_micros("utc_micros"), "Asia/Tokyo"))).cast("bigint") * timestamps.DAY
-    stops = table.withColumn("day", local_day).select("timetable_id", "day", F.explode(timestamps.running_clock(F.col("clocks"))).alias("x"))
-    wall = F.col("day") + F.col("x.seconds") * 1_000_000
-    return sent.select(F.lit("envelope").alias("src"), F.col("envelope_id").alias("record_id"), F.lit(0).alias("item_no"), "utc_micros").unionByName(
-        table.select(F.lit("timetable").alias("src"), F.col("timetable_id").alias("record_id"), F.lit(0).alias("item_no"), "utc_micros")).unionByName(
-        stops.select(F.lit("timetable").alias("src"), F.col("timetable_id").alias("record_id"), F.col("x.item").alias("item_no"), timestamps.local_instants(wall, F.lit("Asia/Tokyo"))[0].alias("utc_micros")))
+    table = load(spark, sf_dir, "tokyo_odpt_train_timetable")
+    # both tables in one pass of the operator, as sources of their own
+    texts = sent.select(F.lit("envelope").alias("src"), F.col("envelope_id").alias("record_id"), F.col("fetched_at").alias("text"), "zone", F.col("endpoint").alias("source"), "near", F.lit(None).cast("array<string>").alias("clocks")).unionByName(
+        table.select(F.lit("timetable").alias("src"), F.col("timetable_id").alias("record_id"), F.col("dc_date").alias("text"), F.lit("Asia/Tokyo").alias("zone"), F.lit("timetable").alias("source"), F.lit(None).cast("bigint").alias("near"),
+                     F.col("odpt_train_timetable_object.departure_time").alias("clocks")))
+    read = timestamps.normalise(texts, "text", "zone", "source", "near").where("utc_micros IS NOT NULL")
+    day = F.unix_date(F.to_date(F.from_utc_timestamp(F.timestamp_micros("utc_micros"), "Asia/Tokyo"))).cast("bigint") * timestamps.DAY
+    # the value itself as item 0, then the list's clocks on the local day
+    stops = F.transform(timestamps.running_clock(F.col("clocks")), lambda x: F.struct(x["item"].alias("item_no"), timestamps.local_instants(day + x["seconds"] * 1_000_000, F.lit("Asia/Tokyo"))[0].alias("utc_micros")))
+    own = F.array(F.struct(F.lit(0).alias("item_no"), F.col("utc_micros").alias("utc_micros")))
+    items = read.withColumn("items", F.concat(own, F.coalesce(stops, F.expr("cast(array() as array<struct<item_no int, utc_micros bigint>>)"))))
+    return items.select("src", "record_id", F.inline("items"))
 
 
 def p7_status(spark: SparkSession, sf_dir: str) -> DataFrame:

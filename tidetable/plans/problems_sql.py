@@ -32,3 +32,49 @@ count(r.route_color) AS with_color FROM {_VALID} GROUP BY 1, 2, 3""",
     "p6_found": f"""{_HISTORY} SELECT city AS city_key, route_id, strftime(d, '%Y-%m-%d') AS valid_from, coalesce(strftime(until, '%Y-%m-%d'), '') AS valid_to, gtfs_version_id
 FROM periods WHERE here""",
 }
+
+# Every reading of every text: (id, feed_ts, micros). ``texts`` holds id, txt, tz and feed_ts.
+_READ = r"""
+t AS (SELECT id, tz, feed_ts, upper(trim(translate(regexp_replace(translate(txt, '０１２３４５６７８９：', '0123456789:'), '^\s+|\s+$', '', 'g'), '年月日時分', '-- :'))) AS t FROM texts WHERE txt IS NOT NULL),
+days AS (
+SELECT id, tz, feed_ts, regexp_extract(t, '^(\d{4})[-/]?(\d{1,2})[-/]?(\d{1,2})[T ]+(.*)$', ['y', 'm', 'd', 'rest']) AS p FROM t WHERE regexp_matches(t, '^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{8})[T ]')
+UNION ALL SELECT id, tz, feed_ts, regexp_extract(t, '^(\d{1,2})[./](\d{1,2})[./](\d{4}) (.*)$', ['d', 'm', 'y', 'rest']) FROM t WHERE regexp_matches(t, '^\d{1,2}[./]\d{1,2}[./]\d{4} ')
+UNION ALL SELECT id, tz, feed_ts, regexp_extract(t, '^(\d{1,2})/(\d{1,2})/(\d{4}) (.*)$', ['m', 'd', 'y', 'rest']) FROM t WHERE regexp_matches(t, '^\d{1,2}/\d{1,2}/\d{4} ')
+UNION ALL SELECT id, tz, feed_ts, struct_pack(d := p.d, m := CAST((instr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', p.mon) + 2) // 3 AS VARCHAR), y := p.y, rest := p.rest) FROM
+  (SELECT id, tz, feed_ts, regexp_extract(t, '^[A-Z]{3}, (\d{1,2}) ([A-Z]{3}) (\d{4}) (.*)$', ['d', 'mon', 'y', 'rest']) AS p FROM t WHERE regexp_matches(t, '^[A-Z]{3}, '))),
+clocks AS (SELECT id, tz, feed_ts, p.y AS y, p.m AS m, p.d AS d, regexp_extract(p.rest, '^(\d{1,2}):?(\d{2})(?::?(\d{2}))?(?:\.(\d+))?\s*([AP]M)?\s*(Z|[+-]\d{2}:?\d{2}|[A-Z]{3,4})?(?:\[.*\])?$', ['h', 'mi', 's', 'f', 'half', 'zone']) AS c FROM days
+WHERE regexp_matches(p.rest, '^(\d{1,2}):?(\d{2})(?::?(\d{2}))?(?:\.(\d+))?\s*([AP]M)?\s*(Z|[+-]\d{2}:?\d{2}|[A-Z]{3,4})?(?:\[.*\])?$')),
+locals AS (SELECT id, tz, feed_ts, nullif(c.zone, '') AS zone, epoch_us(TRY_CAST(y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') || ' ' || lpad(CAST(CASE c.half WHEN 'PM' THEN CAST(c.h AS INT) % 12 + 12 WHEN 'AM' THEN CAST(c.h AS INT) % 12 ELSE CAST(c.h AS INT) END AS VARCHAR), 2, '0')
+|| ':' || c.mi || ':' || CASE c.s WHEN '' THEN '00' ELSE c.s END AS TIMESTAMP)) + CAST(rpad(c.f, 6, '0')[:6] AS BIGINT) AS l FROM clocks),
+offsets AS (SELECT *, CASE WHEN zone IN ('Z', 'GMT') THEN 0 WHEN zone LIKE '+%' OR zone LIKE '-%' THEN (CASE WHEN zone LIKE '-%' THEN -1 ELSE 1 END) * (CAST(zone[2:3] AS INT) * 3600 + CAST(zone[-2:] AS INT) * 60)
+ELSE map {'PST': -28800, 'PDT': -25200, 'EST': -18000, 'EDT': -14400, 'NST': -12600, 'NDT': -9000, 'IST': 19800, 'JST': 32400, 'LHST': 37800, 'LHDT': 39600, 'EET': 7200, 'EEST': 10800, 'CET': 3600, 'CEST': 7200}[zone] END AS o FROM locals WHERE l IS NOT NULL),
+pairs AS (SELECT *, 2 * l - 86400000000 - epoch_us(timezone(tz, make_timestamptz(l - 86400000000))) AS one, 2 * l + 86400000000 - epoch_us(timezone(tz, make_timestamptz(l + 86400000000))) AS two FROM offsets WHERE o IS NULL),
+valid AS (SELECT *, epoch_us(timezone(tz, make_timestamptz(one))) = l AS one_ok, epoch_us(timezone(tz, make_timestamptz(two))) = l AS two_ok FROM pairs),
+readings AS (SELECT id, feed_ts, l - CAST(o AS BIGINT) * 1000000 AS micros FROM offsets WHERE o IS NOT NULL UNION SELECT id, feed_ts, one FROM valid WHERE one_ok OR NOT two_ok UNION SELECT id, feed_ts, two FROM valid WHERE two_ok
+UNION SELECT id, feed_ts, CAST(t AS BIGINT) * 1000 FROM t WHERE regexp_matches(t, '^\d{13}$') UNION SELECT id, feed_ts, CAST(split_part(t, '.', 1) AS BIGINT) * 1000000 + CAST(rpad(split_part(t, '.', 2), 6, '0')[:6] AS BIGINT) FROM t WHERE regexp_matches(t, '^\d{10}(\.\d+)?$')),
+instants AS (SELECT id, arg_min(micros, (coalesce(abs(micros - feed_ts * 1000000), 0), micros)) AS micros FROM readings GROUP BY id)"""
+
+_TEXTS = r"""texts AS (SELECT envelope_id AS id, fetched_at AS txt, iana_tz AS tz, feed_ts FROM envelope LEFT JOIN dim_city ON city_key = city
+UNION ALL SELECT -timetable_id, dc_date, 'Asia/Tokyo', NULL FROM tokyo_odpt_train_timetable)"""
+
+_CALLS = """
+calls AS (SELECT timetable_id, unnest(odpt_train_timetable_object) AS x, generate_subscripts(odpt_train_timetable_object, 1) AS i FROM tokyo_odpt_train_timetable),
+marks AS (SELECT timetable_id, i, regexp_replace(translate(x.departure_time, '０１２３４５６７８９：時分', '0123456789::'), ':$', '') AS t FROM calls WHERE x.departure_time IS NOT NULL),
+secs AS (SELECT timetable_id, i, CASE WHEN t LIKE '%:%' THEN CAST(split_part(t, ':', 1) AS INT) * 3600 + CAST(split_part(t, ':', 2) AS INT) * 60 + coalesce(TRY_CAST(split_part(t, ':', 3) AS INT), 0) ELSE CAST(t[:-3] AS INT) * 3600 + CAST(t[-2:] AS INT) * 60 END AS c FROM marks),
+steps AS (SELECT *, CASE WHEN c < lag(c) OVER (PARTITION BY timetable_id ORDER BY i) THEN 1 ELSE 0 END AS back FROM secs),
+runs AS (SELECT timetable_id, i, c + 86400 * sum(back) OVER (PARTITION BY timetable_id ORDER BY i ROWS UNBOUNDED PRECEDING) AS s FROM steps)"""
+
+_ARRIVED = """
+sent AS (SELECT endpoint, feed_ts, micros, unnest(payload) AS x FROM envelope JOIN instants ON id = envelope_id),
+firsts AS (SELECT endpoint, x.vehicle_id AS v, coalesce(x.timestamp, feed_ts) AS e, min(micros) AS a FROM sent WHERE coalesce(x.timestamp, feed_ts) IS NOT NULL GROUP BY ALL),
+arrived AS (SELECT endpoint, CAST(floor(e / 3600.0) * 3600 AS BIGINT) AS h, greatest(0, CAST(ceil((a - (floor(e / 3600.0) + 1) * 3600000000) / 600000000.0) AS BIGINT)) AS k FROM firsts),
+cells AS (SELECT endpoint, h, k, count(*) AS n FROM arrived WHERE k <= 12 GROUP BY 1, 2, 3)"""
+
+ORACLES |= {
+    "p4_found": f"WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT DISTINCT endpoint, h AS hour_start FROM cells WHERE k > 1",
+    "p4_revisions": f"""WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT endpoint, h AS period_start, k AS arrival_period, n AS arrived, CAST(sum(n) OVER (PARTITION BY endpoint, h ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total,
+CAST(row_number() OVER (PARTITION BY endpoint, h ORDER BY k) AS INT) AS revision, k = max(k) OVER (PARTITION BY endpoint, h) AS is_final FROM cells""",
+    "p7_found": rf"""WITH {_TEXTS}, {_READ}, {_CALLS} SELECT 'envelope' AS src, id AS record_id, CAST(0 AS INT) AS item_no, micros AS utc_micros FROM instants JOIN envelope ON envelope_id = id WHERE NOT regexp_full_match(fetched_at, '\d{{4}}-\d\d-\d\dT\d\d:\d\d:\d\dZ')
+UNION ALL SELECT 'timetable', -id, 0, micros FROM instants WHERE id < 0
+UNION ALL SELECT 'timetable', timetable_id, CAST(i AS INT), CAST(((micros + 32400000000) // 86400000000) * 86400000000 - 32400000000 + s * 1000000 AS BIGINT) FROM runs JOIN instants ON id = -timetable_id""",
+}
