@@ -19,21 +19,28 @@ FUNCTION_WORDS = {
     "es": "el la los las un una unos unas de del al a y o pero es era son fueron fue ha han había en con sin por para que quien se su sus lo le les no más como cuando donde porque este esta estos estas hasta desde entre tras sobre según ya me mi nos muy cada poco",
     "fi": "ja tai mutta on oli ovat olivat ei eivät että kun jos niin se ne hän he me te minä joka jotka mikä mitä kuin vain myös jo vielä sekä kanssa ennen jälkeen aikana vuoksi takia noin asti klo sitten siitä tämä nämä ole ollut",
 }
-_WORDS = {lang: frozenset(words.split()) for lang, words in FUNCTION_WORDS.items()}
+_LANGS = list(FUNCTION_WORDS)
+#: Positions in ``_LANGS`` of the languages that have the word.
+_OWNERS: dict[str, tuple[int, ...]] = {w: tuple(i for i, lang in enumerate(_LANGS) if w in set(FUNCTION_WORDS[lang].split())) for words in FUNCTION_WORDS.values() for w in words.split()}
 _PARTICLE = re.compile("[はがをにでもへやとのたすいるてなりれま]")
 _LINK = re.compile(r"\[[^\]\n]{0,200}\]\([^)\s]*\)|https?://\S+|www\.\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|test|invalid|com|net|org|info)\b\S*|\[\d{1,3}\](?=\s|$|\|)", re.IGNORECASE)
+#: What every link holds; a text without it is spared the search for links.
+_MAYBE_LINK = re.compile(r"://|www\.|\]\(|\[\d|\.(?:example|test|invalid|com|net|org|info)", re.IGNORECASE)
 _TAG = re.compile(r"#\w+|\bSKU-\w+", re.IGNORECASE)
 _SEPARATOR = re.compile(r"[\n|•·;,、。»→/!?！？]+|(?<=[^\W\d])\.(?=\s|$)|\s-\s|\s[–—]\s")
 _DATUM = re.compile(r"(?<!\d)\d{1,2}[:h][0-5]\d(?!\d)|\d+[.,]\d+|[+-]\d+ s\b|^\s*\d{1,2}[.)]\s", re.MULTILINE)
 _WORD = re.compile(r"[^\W_]+", re.UNICODE)
 _HIDDEN = re.compile("[​-‏⁠﻿­]")
+_DIGIT = re.compile(r"\d")
+_SENTENCES = re.compile(r"[.。!?][\s ]")
+_EAST = re.compile("[゠-ヿ]+|[㐀-鿿]|[぀-ゟ]|[a-z0-9]+")
 _LEET = str.maketrans("013457@$", "oieastas")
 _CJK = re.compile("[぀-ヿ㐀-鿿]")
 
 
 def plain(text: str) -> str:
     """NFKC in lower case without invisible characters; digits and signs inside words read as the letters they stand for."""
-    t = _HIDDEN.sub("", unicodedata.normalize("NFKC", text)).lower()
+    t = text.lower() if text.isascii() else _HIDDEN.sub("", unicodedata.normalize("NFKC", text)).lower()
     if "@" in t or "$" in t or re.search(r"[a-z]\d[a-z]|\d[a-z]\d", t):
         t = re.sub(r"(?<![\w@$])(?=[\w@$]*[a-z])(?=[\w@$]*[0134$@57])[a-z0-9@$]{3,}(?![\w@$])", lambda m: m[0].translate(_LEET) if len(re.findall(r"[a-z]", m[0])) >= len(m[0]) / 3 else m[0], t)
     return t
@@ -42,6 +49,10 @@ def plain(text: str) -> str:
 NAMES = ("n_chars", "function_share", "top_word_share", "ngram_share", "duplicate_share", "link_share", "separator_density", "datum_share", "stuffed_share", "prose_share", "bare_share", "n_links", "n_units")
 
 
+def _is_datum(unit: str) -> bool:
+    return _DIGIT.search(unit) is not None and _DATUM.search(unit) is not None
+
+
 def features(text: str | None) -> tuple[str, list[float]] | None:
     """Language by function words and the features :data:`NAMES` of a whole text; None if null, empty or blank.
 
@@ -54,41 +65,50 @@ def features(text: str | None) -> tuple[str, list[float]] | None:
         return None
     t = plain(text)
     total = max(1, len(t) - t.count(" ") - t.count("\n"))
-    links = _LINK.findall(t)
-    rest = _LINK.sub(" | ", t)
-    tags = _TAG.findall(rest)
-    rest = _TAG.sub(" | ", rest)
+    links = _LINK.findall(t) if _MAYBE_LINK.search(t) else []
+    rest = _LINK.sub(" | ", t) if links else t
+    tags = _TAG.findall(rest) if "#" in rest or "sku-" in rest else []
+    rest = _TAG.sub(" | ", rest) if tags else rest
     linked, some = sum(len(m) - m.count(" ") for m in links + tags), len(links) + len(tags)
-    units = []
+    units, separators = [], rest.count("\n")
     for line in rest.split("\n"):
         # a line of data is one unit; its commas and points are part of it
-        pieces = [line] if _DATUM.search(line) and not re.search(r"[.。!?][\s ]", line) else _SEPARATOR.split(line)
+        pieces = [line] if _is_datum(line) and not _SENTENCES.search(line) else _SEPARATOR.split(line)
+        separators += len(pieces) - 1
         units += [u for u in pieces if u and not u.isspace()]
-    words = [_WORD.findall(u) if not _CJK.search(u) else re.findall("[゠-ヿ]+|[㐀-鿿]|[぀-ゟ]|[a-z0-9]+", u) for u in units]
+    east = [not u.isascii() and _CJK.search(u) is not None for u in units]
+    words = [_EAST.findall(u) if e else _WORD.findall(u) for u, e in zip(units, east, strict=True)]
     flat = [w for ws in words for w in ws]
-    hits = {lang: sum(w in own for w in flat) for lang, own in _WORDS.items()}
-    kana = sum(len(_PARTICLE.findall(u)) for u in units)
-    cjk = len(_CJK.findall(rest))
-    lang = "ja" if cjk > 0.3 * max(1, sum(map(len, flat))) else max(hits, key=lambda x: (hits[x], x == "en")) if any(hits.values()) else "und"
+    owners, per_unit, hits = _OWNERS, [], [0] * len(_LANGS)
+    for ws in words:
+        mine, known = [0] * len(_LANGS), 0
+        for w in ws:
+            if w in owners:
+                known += 1
+                for i in owners[w]:
+                    mine[i] += 1
+                    hits[i] += 1
+        per_unit.append((mine, known))
+    kana = sum(len(_PARTICLE.findall(u)) for u, e in zip(units, east, strict=True) if e)
+    cjk = len(_CJK.findall(rest)) if any(east) else 0
+    lang = "ja" if cjk > 0.3 * max(1, sum(map(len, flat))) else _LANGS[max(range(len(_LANGS)), key=lambda i: (hits[i], _LANGS[i] == "en"))] if any(hits) else "und"
     single, pairs, whole = Counter(flat), Counter(p for ws in words for p in zip(ws, ws[1:], strict=False)), Counter(tuple(ws) for ws in words)
-    any_function = frozenset().union(*_WORDS.values())
-    own = _WORDS.get(lang, any_function)
     n = max(1, len(flat))
     often = max(3, 0.004 * n)
     stuffed = prose = datum = doubled = bare = 0
-    for u, ws in zip(units, words, strict=True):
+    for u, e, ws, (mine, known) in zip(units, east, words, per_unit, strict=True):
         size = len(u) - u.count(" ") - u.count("\t")
         if not ws:
             continue
         doubled += size * (whole[tuple(ws)] > 1)
-        if _CJK.search(u):
+        if e:
             functional = len(_PARTICLE.findall(u)) / max(1, len(_CJK.findall(u)))
             full = functional >= 0.25
         else:
-            functional = max(sum(w in own for w in ws), max((sum(w in o for w in ws) for o in _WORDS.values()), default=0)) / len(ws)
+            functional = (max(mine) if lang in FUNCTION_WORDS else known) / len(ws)
             full = functional >= 0.2 and len(ws) >= 4
         recurring = sum(pairs[p] >= often for p in zip(ws, ws[1:], strict=False)) / (len(ws) - 1) if len(ws) > 1 else float(single[ws[0]] >= often)
-        if _DATUM.search(u):
+        if _is_datum(u):
             datum += size
         elif whole[tuple(ws)] >= 4 and len(ws) <= 8 and not (full and len(ws) > 5) or recurring >= 0.4 and functional < (0.15 if lang == "ja" else 0.3 if len(ws) < 10 else 0.2):
             stuffed += size
@@ -96,9 +116,9 @@ def features(text: str | None) -> tuple[str, list[float]] | None:
             prose += size
         elif functional < 0.3 and len(ws) <= 7:
             bare += size
-    values = [float(len(text)), (kana / max(1, cjk) if lang == "ja" else hits.get(lang, 0) / n), max(single.values(), default=0) / n,
+    values = [float(len(text)), (kana / max(1, cjk) if lang == "ja" else (hits[_LANGS.index(lang)] if lang in FUNCTION_WORDS else 0) / n), max(single.values(), default=0) / n,
               sum(c for c in pairs.values() if c >= often) / max(1, sum(pairs.values())), doubled / total, min(1.0, linked / total),
-              len(_SEPARATOR.findall(t)) / total, datum / total, stuffed / total, prose / total, bare / total, float(some), float(len(units))]
+              separators / total, datum / total, stuffed / total, prose / total, bare / total, float(some), float(len(units))]
     return lang, values
 
 
