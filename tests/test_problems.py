@@ -195,3 +195,9 @@ def test_p7_and_p4_match_plain_python(spark, data):
     end = lambda o: (o // 3600 + 1) * 3600 * 10**6
     hours = {(e, o // 3600 * 3600) for (e, _, o), a in first.items() if end(o) + 600 * 10**6 < a <= end(o) + 7200 * 10**6}
     assert {tuple(r) for r in problems.p4_found(spark, data).collect()} == hours
+
+
+def test_clashing_names_are_kept_or_replaced(spark):
+    df = spark.createDataFrame([("2025-01-01 00:00:00", "Asia/Tokyo", "s", 7, 8, "old")], "t string, z string, src string, _t int, _kind int, status string")
+    r = timestamps.normalise(df, "t", "z", "src").collect()[0]
+    assert (r._t, r._kind, r.status, r.utc_micros) == (7, 8, "certain", brute.micros(dt.datetime(2024, 12, 31, 15, tzinfo=dt.UTC)))

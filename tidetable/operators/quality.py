@@ -79,5 +79,6 @@ def null_rates(df: DataFrame, columns: Sequence[str], keys: Sequence[str] = ())
 
 def freshness(df: DataFrame, keys: Sequence[str], at: str, as_of: Column, warn_sec: int, error_sec: int) -> DataFrame:
     """Age of each key's newest row at ``as_of`` with ``status`` ok, warn or error."""
-    age = F.unix_seconds(as_of) - F.unix_seconds(F.max(F.col(at).cast("timestamp")))
-    return df.groupBy(*keys).agg(age.alias("age_sec")).withColumn("status", F.when(F.col("age_sec") > error_sec, "error").when(F.col("age_sec") > warn_sec, "warn").otherwise("ok"))
+    newest = df.groupBy(*keys).agg(F.max(F.col(at).cast("timestamp")).alias("__at"))
+    age = F.unix_seconds(as_of) - F.unix_seconds("__at")
+    return newest.select(*keys, age.alias("age_sec")).withColumn("status", F.when(F.col("age_sec") > error_sec, "error").when(F.col("age_sec") > warn_sec, "warn").otherwise("ok"))

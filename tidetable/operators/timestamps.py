@@ -95,35 +95,35 @@ def with_readings(df: DataFrame, text: Column, zone: Column, into: str) -> DataF
     offset outranks a bracketed region. ``kind`` indexes :data:`KINDS`.
     """
     c = F.col
-    out = _stage(df, _zone=zone, _t=plain_text(text))
-    kind = F.when(c("_t").rlike(_YMD), 1).when(c("_t").rlike(_XXY), 2).when(c("_t").rlike(_NAMED), 3).when(c("_t").rlike(_EPOCH), 4)
-    out = _stage(out, _kind=kind)
-    month = F.substring(F.regexp_extract("_t", _NAMED, 2), 1, 3)
+    out = _stage(df, __r_zone=zone, __r_t=plain_text(text))
+    kind = F.when(c("__r_t").rlike(_YMD), 1).when(c("__r_t").rlike(_XXY), 2).when(c("__r_t").rlike(_NAMED), 3).when(c("__r_t").rlike(_EPOCH), 4)
+    out = _stage(out, __r_kind=kind)
+    month = F.substring(F.regexp_extract("__r_t", _NAMED, 2), 1, 3)
 
     def pick(ymd: Column, xxy: Column, named: Column) -> Column:
-        return F.when(c("_kind") == 1, ymd).when(c("_kind") == 2, xxy).when(c("_kind") == 3, named)
-
-    out = _stage(out, _y=pick(_number(c("_t"), _YMD, 1), _number(c("_t"), _XXY, 4), _number(c("_t"), _NAMED, 3)),
-                  _a=pick(_number(c("_t"), _YMD, 3), _number(c("_t"), _XXY, 3), F.position(month, F.lit(_MONTHS))),
-                  _b=pick(_number(c("_t"), _YMD, 4), _number(c("_t"), _XXY, 1), _number(c("_t"), _NAMED, 1)),
-                  _dotted=(c("_kind") == 2) & (F.regexp_extract("_t", _XXY, 2) == "."),
-                  _tail=pick(F.regexp_extract("_t", _YMD, 5), F.regexp_extract("_t", _XXY, 5), F.regexp_extract("_t", _NAMED, 4)))
-    tail = c("_tail")
-    out = _stage(out, _m=F.when(c("_kind") != 3, c("_a")).when(c("_a") % 3 == 1, ((c("_a") + 2) / 3).cast("int")), _ok=tail.rlike(_CLOCK), _h=F.coalesce(_number(tail, _CLOCK, 1), F.lit(0)),
-                  _mi=F.coalesce(_number(tail, _CLOCK, 2), F.lit(0)), _s=F.coalesce(_number(tail, _CLOCK, 3), F.lit(0)), _us=F.coalesce(_micros(F.nullif(F.regexp_extract(tail, _CLOCK, 4), F.lit(""))), F.lit(0)),
-                  _half=F.regexp_extract(tail, _CLOCK, 5), _mark=F.nullif(F.regexp_extract(tail, _CLOCK, 6), F.lit("")))
-    hour = F.when(c("_half") == "", F.when(c("_h") < 24, c("_h"))).when(c("_h").between(1, 12), c("_h") % 12 + F.when(c("_half") == "PM", 12).otherwise(0))
-    clock = F.when(c("_ok") & (c("_mi") < 60) & (c("_s") < 60), (hour * 3600 + c("_mi") * 60 + c("_s")).cast("bigint") * 1_000_000 + c("_us"))
-    n, digits = F.regexp_extract("_t", _EPOCH, 1).try_cast("bigint"), F.length(F.regexp_extract("_t", _EPOCH, 1))
-    epoch = F.when(digits == 10, n * 1_000_000 + F.coalesce(_micros(F.nullif(F.regexp_extract("_t", _EPOCH, 2), F.lit(""))), F.lit(0))).when(digits == 13, n * 1000) \
+        return F.when(c("__r_kind") == 1, ymd).when(c("__r_kind") == 2, xxy).when(c("__r_kind") == 3, named)
+
+    out = _stage(out, __r_y=pick(_number(c("__r_t"), _YMD, 1), _number(c("__r_t"), _XXY, 4), _number(c("__r_t"), _NAMED, 3)),
+                  __r_a=pick(_number(c("__r_t"), _YMD, 3), _number(c("__r_t"), _XXY, 3), F.position(month, F.lit(_MONTHS))),
+                  __r_b=pick(_number(c("__r_t"), _YMD, 4), _number(c("__r_t"), _XXY, 1), _number(c("__r_t"), _NAMED, 1)),
+                  __r_dotted=(c("__r_kind") == 2) & (F.regexp_extract("__r_t", _XXY, 2) == "."),
+                  __r_tail=pick(F.regexp_extract("__r_t", _YMD, 5), F.regexp_extract("__r_t", _XXY, 5), F.regexp_extract("__r_t", _NAMED, 4)))
+    tail = c("__r_tail")
+    out = _stage(out, __r_m=F.when(c("__r_kind") != 3, c("__r_a")).when(c("__r_a") % 3 == 1, ((c("__r_a") + 2) / 3).cast("int")), __r_ok=tail.rlike(_CLOCK), __r_h=F.coalesce(_number(tail, _CLOCK, 1), F.lit(0)),
+                  __r_mi=F.coalesce(_number(tail, _CLOCK, 2), F.lit(0)), __r_s=F.coalesce(_number(tail, _CLOCK, 3), F.lit(0)), __r_us=F.coalesce(_micros(F.nullif(F.regexp_extract(tail, _CLOCK, 4), F.lit(""))), F.lit(0)),
+                  __r_half=F.regexp_extract(tail, _CLOCK, 5), __r_mark=F.nullif(F.regexp_extract(tail, _CLOCK, 6), F.lit("")))
+    hour = F.when(c("__r_half") == "", F.when(c("__r_h") < 24, c("__r_h"))).when(c("__r_h").between(1, 12), c("__r_h") % 12 + F.when(c("__r_half") == "PM", 12).otherwise(0))
+    clock = F.when(c("__r_ok") & (c("__r_mi") < 60) & (c("__r_s") < 60), (hour * 3600 + c("__r_mi") * 60 + c("__r_s")).cast("bigint") * 1_000_000 + c("__r_us"))
+    n, digits = F.regexp_extract("__r_t", _EPOCH, 1).try_cast("bigint"), F.length(F.regexp_extract("__r_t", _EPOCH, 1))
+    epoch = F.when(digits == 10, n * 1_000_000 + F.coalesce(_micros(F.nullif(F.regexp_extract("__r_t", _EPOCH, 2), F.lit(""))), F.lit(0))).when(digits == 13, n * 1000) \
         .when(digits == 16, n).when(digits == 19, F.floor(n.cast("decimal(20,0)") / 1000).cast("bigint"))
-    out = _stage(out, _clock=clock, _epoch=F.when(c("_kind") == 4, epoch), _shift=F.when(c("_mark").isNotNull(), _offset_seconds(c("_mark"), c("_zone"))).cast("bigint") * 1_000_000,
-                  _one=_epoch_day(c("_y"), c("_m"), c("_b")).cast("bigint") * DAY, _two=F.when((c("_kind") == 2) & ~c("_dotted"), _epoch_day(c("_y"), c("_b"), c("_m"))).cast("bigint") * DAY)
-    out = _stage(out, _one_at=c("_one") + c("_clock"), _two_at=c("_two") + c("_clock"))
-    one, two = local_instants(c("_one_at"), c("_zone")), local_instants(c("_two_at"), c("_zone"))
-    out = _stage(out, _r0=F.coalesce(c("_epoch"), c("_one_at") - c("_shift"), one[0]), _r1=F.when(c("_shift").isNull(), one[1]),
-                  _r2=F.coalesce(c("_two_at") - c("_shift"), two[0]), _r3=F.when(c("_shift").isNull(), two[1]), _base=F.when(c("_kind") == 2, 2).otherwise(0))
-    found = F.array(*[F.struct(k.cast("int").alias("kind"), c(r).alias("micros")) for k, r in ((c("_base"), "_r0"), (c("_base") + 1, "_r1"), (F.lit(4), "_r2"), (F.lit(5), "_r3"))])
+    out = _stage(out, __r_clock=clock, __r_epoch=F.when(c("__r_kind") == 4, epoch), __r_shift=F.when(c("__r_mark").isNotNull(), _offset_seconds(c("__r_mark"), c("__r_zone"))).cast("bigint") * 1_000_000,
+                  __r_one=_epoch_day(c("__r_y"), c("__r_m"), c("__r_b")).cast("bigint") * DAY, __r_two=F.when((c("__r_kind") == 2) & ~c("__r_dotted"), _epoch_day(c("__r_y"), c("__r_b"), c("__r_m"))).cast("bigint") * DAY)
+    out = _stage(out, __r_one_at=c("__r_one") + c("__r_clock"), __r_two_at=c("__r_two") + c("__r_clock"))
+    one, two = local_instants(c("__r_one_at"), c("__r_zone")), local_instants(c("__r_two_at"), c("__r_zone"))
+    out = _stage(out, __r_r0=F.coalesce(c("__r_epoch"), c("__r_one_at") - c("__r_shift"), one[0]), __r_r1=F.when(c("__r_shift").isNull(), one[1]),
+                  __r_r2=F.coalesce(c("__r_two_at") - c("__r_shift"), two[0]), __r_r3=F.when(c("__r_shift").isNull(), two[1]), __r_base=F.when(c("__r_kind") == 2, 2).otherwise(0))
+    found = F.array(*[F.struct(k.cast("int").alias("kind"), c(r).alias("micros")) for k, r in ((c("__r_base"), "__r_r0"), (c("__r_base") + 1, "__r_r1"), (F.lit(4), "__r_r2"), (F.lit(5), "__r_r3"))])
     return _apart(out, **{into: F.filter(found, lambda r: r["micros"].isNotNull())}).select(*df.columns, into)
 
 
@@ -171,8 +171,10 @@ def normalise(df: DataFrame, text: str, zone: str, source: str, evidence: str |
     all valid readings without evidence; where one instant is left, its posterior is 1 (``certain``, or
     ``by evidence``). The others take the reading of highest posterior under their source's mixture (``by mixture``), marked
     ``ambiguous`` below ``sure``; ties go to the smaller kind. Null, empty and unreadable texts give null and ``unreadable``.
-    No row is lost. Only undecided values are joined with the mixtures.
+    No row is lost. Only undecided values are joined with the mixtures. Columns that carry an added name are replaced;
+    names that begin with two underscores are kept for the operator.
     """
+    df = df.drop(*[c for c in ("utc_micros", "reading", "posterior", "status") if c not in (text, zone, source, evidence)])
     near = F.col(evidence) if evidence else F.lit(None).cast("bigint")
     surface = F.regexp_replace(F.regexp_replace(plain_text(F.col(text)), r"\d+", "9"), r"[A-Z]{3,}", "A")
     read = with_readings(df, F.col(text), F.col(zone), "__all")

@@ -45,11 +45,11 @@ def finalize(predictions: DataFrame, visit: Sequence[str], predicted: str, fetch
     """
     p, f = F.unix_micros(F.col(predicted).cast("timestamp")), F.unix_micros(F.col(fetched).cast("timestamp"))
     ok = predictions.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*visit, predicted, fetched])).where(f <= p + stale_minutes * 60_000_000)
-    newest = predictions.agg(F.max(f).alias("__newest"))
+    newest = predictions.agg(F.max(f).alias("__newest")).scalar()
     rest = [c for c in predictions.columns if c not in (*visit, predicted, fetched)]
     last = F.max(F.struct(F.col(fetched), F.col(predicted), *rest)).alias("__m")
     one = ok.groupBy(*visit).agg(last, F.count(F.lit(1)).alias("n_predictions"), F.min(fetched).alias("first_seen"))
-    closed = one.crossJoin(F.broadcast(newest)).where(F.unix_micros(F.col(f"__m.{predicted}").cast("timestamp")) <= F.col("__newest") - horizon_minutes * 60_000_000)
+    closed = one.where(F.unix_micros(F.col(f"__m.{predicted}").cast("timestamp")) <= newest - horizon_minutes * 60_000_000)
     return closed.select(*visit, f"__m.{predicted}", *[f"__m.{c}" for c in rest], "n_predictions", "first_seen", F.col(f"__m.{fetched}").alias("last_seen"))
 
 

@@ -139,8 +139,7 @@ def latest_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vehicle's last row in the week up to the newest fetch."""
     p = load(spark, sf_dir, "stop_time_predictions").where("vehicle_id IS NOT NULL").select("city", "vehicle_id", "fetched_at", "row_no")
     newest = load(spark, sf_dir, "stop_time_predictions").agg(F.max(F.col("fetched_at").cast("timestamp")).alias("now"))
-    p = p.crossJoin(F.broadcast(newest))  # one row
-    return transit.latest_fix(p, ["city", "vehicle_id"], "fetched_at", F.col("now"), 7 * 86_400).select("city", "vehicle_id", "row_no")
+    return transit.latest_fix(p, ["city", "vehicle_id"], "fetched_at", newest.scalar(), 7 * 86_400).select("city", "vehicle_id", "row_no")
 
 
 @query("""WITH m AS (SELECT timetable_id, unnest(odpt_train_timetable_object) AS x, generate_subscripts(odpt_train_timetable_object, 1) AS i FROM tokyo_odpt_train_timetable), p AS (SELECT timetable_id, i, regexp_replace(translate(x.departure_time, '０１２３４５６７８９：時分', '0123456789::'), ':$', '') AS t FROM m WHERE x.departure_time IS NOT NULL),
@@ -249,9 +248,8 @@ SELECT city, endpoint, CAST(age_sec AS BIGINT) AS age_sec, CASE WHEN age_sec > 7
 def source_freshness(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Age of each endpoint's newest fetch against the newest of all, by a scalar subquery."""
     p = load(spark, sf_dir, "stop_time_predictions").select("city", "endpoint", "fetched_at")
-    newest = p.agg(F.max(F.col("fetched_at").cast("timestamp")).alias("now"))
-    one = p.groupBy("city", "endpoint").agg(F.max("fetched_at").alias("fetched_at")).crossJoin(F.broadcast(newest))
-    return quality.freshness(one, ["city", "endpoint"], "fetched_at", F.max("now"), 1800, 7200)
+    newest = p.agg(F.max(F.col("fetched_at").cast("timestamp")).alias("now")).scalar()
+    return quality.freshness(p, ["city", "endpoint"], "fetched_at", newest, 1800, 7200)
 
 
 # maintenance
