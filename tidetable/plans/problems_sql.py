@@ -71,6 +71,8 @@ arrived AS (SELECT endpoint, CAST(floor(e / 3600.0) * 3600 AS BIGINT) AS h, grea
 cells AS (SELECT endpoint, h, k, count(*) AS n FROM arrived WHERE k <= 12 GROUP BY 1, 2, 3)"""
 
 ORACLES |= {
+    "p6_history": f"""{_HISTORY} SELECT md5(concat_ws('|', p.city, p.route_id, strftime(d, '%Y-%m-%d'))) AS route_key, p.city AS city_key, p.route_id, s.agency_id, s.route_short_name, s.route_long_name, s.route_type, s.route_color, d AS valid_from, until AS valid_to,
+until IS NULL AS is_current, p.gtfs_version_id FROM periods p JOIN (SELECT DISTINCT * FROM gtfs_static_routes) s ON s.city = p.city AND s.route_id = p.route_id AND s.gtfs_version_id = p.gtfs_version_id WHERE here""",
     "p4_found": f"WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT DISTINCT endpoint, h AS hour_start FROM cells WHERE k > 1",
     "p4_revisions": f"""WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT endpoint, h AS period_start, k AS arrival_period, n AS arrived, CAST(sum(n) OVER (PARTITION BY endpoint, h ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total,
 CAST(row_number() OVER (PARTITION BY endpoint, h ORDER BY k) AS INT) AS revision, k = max(k) OVER (PARTITION BY endpoint, h) AS is_final FROM cells""",

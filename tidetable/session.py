@@ -1,9 +1,7 @@
-"""Session helpers: table loading, size-checked broadcasts, lineage cuts."""
+"""Session helpers: table loading and size-checked broadcasts."""
 
 from __future__ import annotations
 
-import tempfile
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -26,13 +24,3 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     """Hint a broadcast only if the optimizer's estimate stays under ``limit``; otherwise leave the choice to the planner."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
-
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the shared checkpoint folder and read it back, so that a lost executor costs no recomputation.
-
-    The folder is the one named by ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is used.
-    """
-    context = df.sparkSession.sparkContext
-    if not context.getCheckpointDir():
-        context.setCheckpointDir(context.getConf().get("spark.checkpoint.dir") or tempfile.mkdtemp(prefix="tidetable-"))
-    return df.checkpoint(eager=True)
