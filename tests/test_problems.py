@@ -203,11 +203,14 @@ def test_clashing_names_are_kept_or_replaced(spark):
     assert (r._t, r._kind, r.status, r.utc_micros) == (7, 8, "certain", brute.micros(dt.datetime(2024, 12, 31, 15, tzinfo=dt.UTC)))
 
 
-def test_hot_entity_is_split_in_the_join_back(spark):
+def test_hot_entity_is_split_in_the_join_back(spark, tmp_path):
     n = 300_000
     hot = F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.concat(F.lit("k"), F.col("id") % 50_000))
     e = spark.range(n).select(F.col("id").alias("no"), hot.alias("k"), F.lit("2025-01-02").cast("date").alias("day"), F.sha2(F.col("id").cast("string"), 256).alias("text"))
     d = spark.range(50_001).select(F.when(F.col("id") == 50_000, "hot").otherwise(F.concat(F.lit("k"), F.col("id"))).alias("k"), F.lit("2025-01-01").cast("date").alias("valid_from"), F.lit(None).cast("date").alias("valid_to"), F.col("id").alias("colour"))
+    for name, df in (("e", e), ("d", d)):
+        df.write.parquet(str(tmp_path / name))
+    e, d = spark.read.parquet(str(tmp_path / "e")), spark.read.parquet(str(tmp_path / "d"))
     conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "1m", "spark.sql.adaptive.advisoryPartitionSizeInBytes": "1m", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5", "spark.sql.shuffle.partitions": "24"}
     before = {c: spark.conf.get(c, None) for c in conf}
     for c, v in conf.items():
