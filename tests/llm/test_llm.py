@@ -200,6 +200,22 @@ def test_stuffed_and_genuine_pages(spark):
     assert stuffed.stuffed_pages(df.where("false"), "doc_id", "text").count() == 0
 
 
+KEYWORDS = [("Die Fahrgäste wurden gebeten, bis zum Ende der Bauarbeiten am anderen Bahnsteig auf den Ersatzbus zu warten.", " | ", ["Nachtbus", "NACHTBUS", "Nachtbus"]),
+            ("Die Fahrgäste wurden gebeten, bis zum Ende der Bauarbeiten am anderen Bahnsteig auf den Ersatzbus zu warten.", "\n", ["Nachtbus", "Tageskarte", "Fahrplanauskunft"]),
+            ("The night crew moved the spare key of the kiosk because it had been left at the depot.", ", ", ["tickets", "trains", "buses"]), ("", ", ", ["tickets", "trains", "the", "buses", "of"]),
+            ("Matkustajia pyydetään siirtymään laiturin toiseen päähän, koska juna ei ole vielä tullut.", " | ", ["Yöbussi", "Kuukausilippu", "Aikataulu"]),
+            ("駅の改札は朝から混んでいるので、お客様は次の電車をお待ちください。", "、", ["バスツアー", "チケット", "タクシー"])]
+
+
+def test_keywords_of_one_word_beside_prose(spark):
+    stuffed_rows = [(i, f"{prose}\n\n" + sep.join(words * 20)) for i, (prose, sep, words) in enumerate(KEYWORDS)]
+    # prose that outweighs the keywords, lists of words said once and repeated paragraphs are genuine
+    genuine = [(100 + i, f"{prose}\n" + sep.join(words)) for i, (prose, sep, words) in enumerate(KEYWORDS) if prose]
+    genuine += [(200, PROSE + "\n" + "\n".join("Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Iota Kappa Lambda Mu Nu Xi Pi".split())), (201, "\n".join([PROSE.split(".")[0] + "."] * 6))]
+    df = spark.createDataFrame(stuffed_rows + genuine, "doc_id int, text string")
+    assert sorted(r.doc_id for r in stuffed.stuffed_pages(df, "doc_id", "text").collect()) == [i for i, _ in stuffed_rows]
+
+
 def test_stuffed_pages_on_labelled_rows(spark, data):
     labels = {r.doc_id: r.stuffed for r in load(spark, data.replace("sf0.001", "sf0.1"), "labels").collect()}
     found = {r.doc_id for r in queries.p10_found(spark, data.replace("sf0.001", "sf0.1")).collect()}

@@ -95,6 +95,8 @@ def features(text: str | None) -> tuple[str, list[float]] | None:
     single, pairs, whole = Counter(flat), Counter(p for ws in words for p in zip(ws, ws[1:], strict=False)), Counter(tuple(ws) for ws in words)
     n = max(1, len(flat))
     often = max(3, 0.004 * n)
+    # a unit of one word has no pair; it counts as an n-gram of its own
+    alone = [ws[0] for ws in words if len(ws) == 1]
     stuffed = prose = datum = doubled = bare = 0
     for u, e, ws, (mine, known) in zip(units, east, words, per_unit, strict=True):
         size = len(u) - u.count(" ") - u.count("\t")
@@ -117,15 +119,25 @@ def features(text: str | None) -> tuple[str, list[float]] | None:
         elif functional < 0.3 and len(ws) <= 7:
             bare += size
     values = [float(len(text)), (kana / max(1, cjk) if lang == "ja" else (hits[_LANGS.index(lang)] if lang in FUNCTION_WORDS else 0) / n), max(single.values(), default=0) / n,
-              sum(c for c in pairs.values() if c >= often) / max(1, sum(pairs.values())), doubled / total, min(1.0, linked / total),
+              (sum(c for c in pairs.values() if c >= often) + sum(single[w] >= often for w in alone)) / max(1, sum(pairs.values()) + len(alone)), doubled / total, min(1.0, linked / total),
               separators / total, datum / total, stuffed / total, prose / total, bare / total, float(some), float(len(units))]
     return lang, values
 
 
-#: Least share of recurring word pairs by language, calibrated on the labelled rows of the small tables: what inflects or has
+#: Least share of recurring n-grams (word pairs, and units of one word) by language, calibrated on the labelled rows of the small tables: what inflects or has
 #: few function words recurs more in prose; texts without any function word (und) need no recurrence beyond their units'.
 NGRAM_LIMITS = {"fi": 0.55, "ja": 0.5, "und": 0.0}
 NGRAM_LIMIT = 0.25
+#: Least share of the most frequent word by language, above that of every genuine labelled row of the small tables; it counts where function words
+#: are rarer than FUNCTION_LIMIT, as the most frequent word of prose is one of them.
+TOP_WORD_LIMITS = {"en": 0.35, "de": 0.25, "es": 0.25}
+TOP_WORD_LIMIT = 0.15
+FUNCTION_LIMIT = 0.2
+#: Least share of repeated units by language, above that of every genuine labelled row of the small tables; it counts where separators are at least
+#: as dense as SEPARATOR_LIMIT, as paragraphs repeat too.
+DUPLICATE_LIMITS = {"en": 0.6, "fr": 0.5}
+DUPLICATE_LIMIT = 0.4
+SEPARATOR_LIMIT = 0.04
 #: Least number of links and tags that make a link list, whose short bare units then count as its captions.
 LIST_LINKS = 3
 #: Share of the characters that stuffed material must reach.
@@ -149,16 +161,20 @@ def with_features(df: DataFrame, key: str, text: str) -> DataFrame:
     return df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, page_lang string, " + ", ".join(f"{n} double" for n in NAMES))
 
 
+def _limit(limits: dict[str, float], other: float) -> F.Column:
+    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in limits.items() for x in (k, v)]), F.col("page_lang")), F.lit(other))
+
+
 def is_stuffed(limits: dict[str, float] | None = None) -> F.Column:
     """Whether a row of :func:`with_features` consists for the greater part of keywords, links or product tags.
 
     Links and tags count if they form a list or nearly the whole text, so sentences followed by some links are no case.
-    Recurring units count if word pairs recur as much as the language's limit asks. Bare units count within lists of links or
+    Recurring units count if n-grams recur, one word prevails or units repeat as much as the language's limits ask. Bare units count within lists of links or
     tags, and within keyword pages without prose. All of it must also outweigh prose and data.
     """
-    limits = NGRAM_LIMITS if limits is None else limits
-    limit = F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in limits.items() for x in (k, v)]), F.col("page_lang")), F.lit(NGRAM_LIMIT))
-    many, recurs = F.col("n_links") >= LIST_LINKS, F.col("ngram_share") >= limit
+    prevails = (F.col("top_word_share") >= _limit(TOP_WORD_LIMITS, TOP_WORD_LIMIT)) & (F.col("function_share") < FUNCTION_LIMIT)
+    repeats = (F.col("duplicate_share") >= _limit(DUPLICATE_LIMITS, DUPLICATE_LIMIT)) & (F.col("separator_density") >= SEPARATOR_LIMIT)
+    many, recurs = F.col("n_links") >= LIST_LINKS, (F.col("ngram_share") >= _limit(NGRAM_LIMITS if limits is None else limits, NGRAM_LIMIT)) | prevails | repeats
     links = F.when(many | (F.col("link_share") >= 0.85), F.col("link_share")).otherwise(0.0)
     keywords = F.when(many | recurs, F.col("stuffed_share")).otherwise(0.0)
     captions = F.when(many | recurs & (F.col("stuffed_share") >= 0.3) & (F.col("prose_share") < 0.15), F.col("bare_share")).otherwise(0.0)
