@@ -112,6 +112,37 @@ def excess_wait_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     return x.select("city_key", F.round("ewt_sec", 4).alias("ewt_sec"), "gaps")
 
 
+_SAME = " AND ".join(f"own.{c} = plan.{c}" for c in _KEYS.split(", "))
+_SEEN = f"""{_GAPS}, ev AS (SELECT city_key, service_date, route_id, coalesce(direction_id, -1) AS direction_id, stop_id, event_no, actual_arr_ts_utc, sched_arr_ts_utc, epoch_us(actual_arr_ts_utc) AS t, epoch_us(sched_arr_ts_utc) AS s
+FROM fct_stop_events WHERE city_key IS NOT NULL AND service_date IS NOT NULL AND route_id IS NOT NULL AND stop_id IS NOT NULL),
+own AS (SELECT {_KEYS}, event_no, actual_arr_ts_utc, t, lag(t) OVER (PARTITION BY {_KEYS} ORDER BY t, event_no) AS p FROM ev WHERE t IS NOT NULL),
+plan AS (SELECT {_KEYS}, s, s // 1000000 - lag(s) OVER (PARTITION BY {_KEYS} ORDER BY s) // 1000000 AS sched_gap_sec FROM (SELECT DISTINCT {_KEYS}, s FROM ev WHERE s IS NOT NULL)),
+paired AS (SELECT own.*, t // 1000000 - p // 1000000 AS gap_sec, plan.sched_gap_sec FROM own ASOF LEFT JOIN plan ON {_SAME} AND own.t >= plan.s WHERE own.p IS NOT NULL),
+seen AS (SELECT paired.* EXCLUDE (sched_gap_sec), CASE WHEN coalesce(schedule_matchable, true) THEN sched_gap_sec END AS sched_gap_sec, coalesce(gap_regularity_measurable, true) AS measurable, iana_tz FROM paired LEFT JOIN dim_city USING (city_key)
+WHERE NOT EXISTS (SELECT 1 FROM gaps WHERE gaps.city = paired.city_key AND paired.p < gaps.z * 1000000 AND paired.t > gaps.a * 1000000))"""
+
+
+def _folded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    e = load(spark, sf_dir, "fct_stop_events").select("city_key", "service_date", "route_id", "direction_id", "stop_id", "event_no", "actual_arr_ts_utc", "sched_arr_ts_utc")
+    return e.withColumn("direction_id", domain.folded_direction(F.col("direction_id")))
+
+
+def _seen_headways(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dark = _feed_gaps(spark, sf_dir).withColumnRenamed("city", "city_key")
+    h = transit.headways(_folded_events(spark, sf_dir), _KEYS.split(", "), "actual_arr_ts_utc", "sched_arr_ts_utc", "event_no", dark, ["city_key"])
+    city = load(spark, sf_dir, "dim_city").select("city_key", "iana_tz", F.coalesce("schedule_matchable", F.lit(True)).alias("matchable"), F.coalesce("gap_regularity_measurable", F.lit(True)).alias("measurable"))
+    h = h.join(broadcast_if_small(city), "city_key", "left").withColumn("measurable", F.coalesce("measurable", F.lit(True)))
+    return h.withColumn("sched_gap_sec", F.when(F.coalesce("matchable", F.lit(True)), F.col("sched_gap_sec")))
+
+
+@query(f"""WITH {_SEEN} SELECT event_no, gap_sec, sched_gap_sec, CASE WHEN measurable THEN gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) < 0.5 END AS bunched, CASE WHEN measurable THEN gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) > 2.0 END AS big_gap FROM seen""")
+def headways_outside_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Headways that no feed gap of the city overlaps, unknown directions as one; no flags where a city's gaps measure nothing."""
+    h = _seen_headways(spark, sf_dir)
+    flag = lambda c: F.when(F.col("measurable") & F.col("sched_gap_sec").isNotNull(), F.col(c)).alias(c)
+    return h.select("event_no", "gap_sec", "sched_gap_sec", flag("bunched"), flag("big_gap"))
+
+
 @query(f"""WITH e AS (SELECT DISTINCT {_KEYS}, epoch_us(sched_arr_ts_utc) // 1000000 AS s, hour(sched_arr_ts_utc) AS h FROM fct_stop_events WHERE city_key IS NOT NULL AND service_date IS NOT NULL AND route_id IS NOT NULL AND direction_id IS NOT NULL AND stop_id IS NOT NULL AND sched_arr_ts_utc IS NOT NULL),
 g AS (SELECT *, s - lag(s) OVER (PARTITION BY {_KEYS} ORDER BY s) AS gap FROM e) SELECT {_KEYS}, CAST(h AS INT) AS hour, quantile_cont(gap, 0.5) AS median_gap_sec, count(*) AS gaps, quantile_cont(gap, 0.5) <= 600 AS is_frequent FROM g WHERE gap > 0 GROUP BY {_KEYS}, h""")
 def service_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
