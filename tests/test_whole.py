@@ -41,3 +41,13 @@ def test_headways_that_a_feed_gap_overlaps_are_left_out(spark, tmp_path):
     # a's feed is dark from 6:21 to 6:35: the gaps to events 3 (6:20 to 6:30) and 4 (6:30 to 6:40) measure nothing
     assert sorted(kept) == [1, 2, 5, 11, 12, 13, 14, 15]
     assert kept[2] == (2, 600, 600, False, False) and kept[12] == (12, 600, 600, None, None)
+
+
+def test_excess_wait_is_by_slice_and_of_frequent_service(spark, tmp_path):
+    late = [0, 0, 300, 300, 300, 600]
+    # stop s is served every ten minutes, stop t of another route every twenty; arrivals bunch at s
+    events = [(i, "a", "r", 0, "s", at(10 * i), at(10 * i, late[i])) for i in range(6)] + [(10 + i, "a", "q", 0, "t", at(20 * i), at(20 * i, 60 * i)) for i in range(6)]
+    gaps = [600, 900, 600, 600, 900]
+    planned = [600] * 5
+    wait = lambda g: sum(x * x for x in g) / (2 * sum(g))
+    assert run(spark, "route_day_excess_wait", service(spark, tmp_path, events)) == [("a", DAY, "r", 0, round(wait(gaps) - wait(planned), 4), 5)]

@@ -21,11 +21,16 @@ def wait_time(gap: Column) -> Column:
     return F.sum(g * g) / F.nullif(2 * F.sum(g), F.lit(0.0))
 
 
-def excess_wait(df: DataFrame, keys: Sequence[str], slices: Sequence[str], gap: str, scheduled: str) -> DataFrame:
-    """``ewt_sec`` per ``keys``: actual less scheduled wait of each slice, weighted by its gaps. Signed; rows lacking either gap do not count."""
-    both = df.where(F.col(gap).isNotNull() & F.col(scheduled).isNotNull())
+def excess_wait(df: DataFrame, keys: Sequence[str], slices: Sequence[str], gap: str, scheduled: str, paired: bool = True) -> DataFrame:
+    """``ewt_sec`` per ``keys``: actual less scheduled wait of each slice, weighted by its gaps. Signed.
+
+    Rows lacking either gap do not count if ``paired``; otherwise each gap counts for its own wait, and ``gaps`` are those of slices
+    with both waits.
+    """
+    both = df.where(F.col(gap).isNotNull() & (F.col(scheduled).isNotNull() | F.lit(not paired)))
     per = both.groupBy(*keys, *slices).agg((wait_time(F.col(gap)) - wait_time(F.col(scheduled))).alias("__e"), F.count(F.lit(1)).alias("__n"))
-    return per.groupBy(*keys).agg(weighted_mean(F.col("__e"), F.col("__n")).alias("ewt_sec"), F.sum("__n").alias("gaps"))
+    counted = F.col("__n") if paired else F.when(F.col("__e").isNotNull(), F.col("__n"))
+    return per.groupBy(*keys).agg(weighted_mean(F.col("__e"), F.col("__n")).alias("ewt_sec"), F.sum(counted).alias("gaps"))
 
 
 def nearest_rank(df: DataFrame, keys: Sequence[str], value: str, shares: dict[str, float]) -> DataFrame:

@@ -73,13 +73,13 @@ def headways(events: DataFrame, keys: Sequence[str], actual: str, scheduled: str
     return out.withColumn("bunched", F.col("ratio") < 0.5).withColumn("big_gap", F.col("ratio") > 2.0)
 
 
-def service_frequency(stops: DataFrame, keys: Sequence[str], scheduled: str, slices: Sequence[Column], frequent_sec: int = 600) -> DataFrame:
-    """Median scheduled gap per key and slice, and whether it makes a frequent service."""
+def service_frequency(stops: DataFrame, keys: Sequence[str], scheduled: str, slices: Sequence[Column], frequent_sec: int = 600, pooled: Sequence[str] = ()) -> DataFrame:
+    """Median scheduled gap per key and slice, and whether it makes a frequent service. Gaps of all values of ``pooled`` keys make one median."""
     w = Window.partitionBy(*keys).orderBy(scheduled)
     distinct = stops.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, scheduled])).select(*keys, scheduled, *slices).distinct()
     gap = F.unix_seconds(F.col(scheduled).cast("timestamp")) - F.unix_seconds(F.lag(scheduled).over(w).cast("timestamp"))
     names = [c for c in distinct.columns if c not in (*keys, scheduled)]
-    out = distinct.withColumn("__g", gap).where("__g > 0").groupBy(*keys, *names).agg(F.percentile("__g", 0.5).alias("median_gap_sec"), F.count(F.lit(1)).alias("gaps"))
+    out = distinct.withColumn("__g", gap).where("__g > 0").groupBy(*[k for k in keys if k not in pooled], *names).agg(F.percentile("__g", 0.5).alias("median_gap_sec"), F.count(F.lit(1)).alias("gaps"))
     return out.withColumn("is_frequent", F.col("median_gap_sec") <= frequent_sec)
 
 

@@ -143,6 +143,29 @@ def headways_outside_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.select("event_no", "gap_sec", "sched_gap_sec", flag("bunched"), flag("big_gap"))
 
 
+_DAYPART = "CASE WHEN {0} BETWEEN 5 AND 9 THEN 'am_peak' WHEN {0} BETWEEN 10 AND 15 THEN 'midday' WHEN {0} BETWEEN 16 AND 19 THEN 'pm_peak' WHEN {0} BETWEEN 20 AND 23 THEN 'evening' WHEN {0} IS NOT NULL THEN 'overnight' END"
+_LOCAL_HOUR = "hour(timezone(iana_tz, timezone('UTC', {0})))"
+
+
+@query(f"""WITH {_SEEN}, every AS (SELECT DISTINCT {_KEYS}, s, {_LOCAL_HOUR.format("sched_arr_ts_utc")} AS h FROM ev JOIN dim_city USING (city_key) WHERE s IS NOT NULL),
+step AS (SELECT *, s // 1000000 - lag(s) OVER (PARTITION BY {_KEYS} ORDER BY s) // 1000000 AS step FROM every),
+frequent AS (SELECT city_key, service_date, route_id, direction_id, {_DAYPART.format("h")} AS daypart FROM step WHERE step > 0 GROUP BY ALL HAVING quantile_cont(step, 0.5) <= 600),
+parts AS (SELECT *, {_DAYPART.format("h")} AS daypart FROM (SELECT *, {_LOCAL_HOUR.format("actual_arr_ts_utc")} AS h FROM seen WHERE measurable AND gap_sec > 0)),
+slices AS (SELECT city_key, service_date, route_id, direction_id, stop_id, daypart, sum(CAST(gap_sec AS DOUBLE) * gap_sec) / (2 * sum(CAST(gap_sec AS DOUBLE))) - sum(CAST(sched_gap_sec AS DOUBLE) * sched_gap_sec) / nullif(2 * sum(CAST(sched_gap_sec AS DOUBLE)), 0) AS e, count(*) AS n
+FROM parts JOIN frequent USING (city_key, service_date, route_id, direction_id, daypart) GROUP BY ALL)
+SELECT city_key, service_date, route_id, direction_id, round(sum(e * n) / sum(n), 4) AS ewt_sec, CAST(sum(n) AS BIGINT) AS gaps FROM slices WHERE e IS NOT NULL GROUP BY ALL""")
+def route_day_excess_wait(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Excess wait of each route-day and direction over its frequent slices of stop and part of the local day."""
+    zone = broadcast_if_small(load(spark, sf_dir, "dim_city").select("city_key", "iana_tz"))
+    part = lambda c: domain.daypart(F.hour(domain.local_time(F.col(c).cast("timestamp"), F.col("iana_tz")))).alias("daypart")
+    keys = ["city_key", "service_date", "route_id", "direction_id"]
+    frequency = transit.service_frequency(_folded_events(spark, sf_dir).join(zone, "city_key"), [*keys, "stop_id"], "sched_arr_ts_utc", [part("sched_arr_ts_utc")], pooled=["stop_id"])
+    h = _seen_headways(spark, sf_dir).where("measurable AND gap_sec > 0").select(*keys, "stop_id", part("actual_arr_ts_utc"), "gap_sec", "sched_gap_sec")
+    frequent = h.join(frequency.where("is_frequent").select(*keys, "daypart"), [*keys, "daypart"])
+    x = rollup.excess_wait(frequent, keys, ["stop_id", "daypart"], "gap_sec", "sched_gap_sec", paired=False)
+    return x.where("ewt_sec IS NOT NULL").select(*keys, F.round("ewt_sec", 4).alias("ewt_sec"), "gaps")
+
+
 @query(f"""WITH e AS (SELECT DISTINCT {_KEYS}, epoch_us(sched_arr_ts_utc) // 1000000 AS s, hour(sched_arr_ts_utc) AS h FROM fct_stop_events WHERE city_key IS NOT NULL AND service_date IS NOT NULL AND route_id IS NOT NULL AND direction_id IS NOT NULL AND stop_id IS NOT NULL AND sched_arr_ts_utc IS NOT NULL),
 g AS (SELECT *, s - lag(s) OVER (PARTITION BY {_KEYS} ORDER BY s) AS gap FROM e) SELECT {_KEYS}, CAST(h AS INT) AS hour, quantile_cont(gap, 0.5) AS median_gap_sec, count(*) AS gaps, quantile_cont(gap, 0.5) <= 600 AS is_frequent FROM g WHERE gap > 0 GROUP BY {_KEYS}, h""")
 def service_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
