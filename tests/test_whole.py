@@ -51,3 +51,15 @@ def test_excess_wait_is_by_slice_and_of_frequent_service(spark, tmp_path):
     planned = [600] * 5
     wait = lambda g: sum(x * x for x in g) / (2 * sum(g))
     assert run(spark, "route_day_excess_wait", service(spark, tmp_path, events)) == [("a", DAY, "r", 0, round(wait(gaps) - wait(planned), 4), 5)]
+
+
+TRIP = "trip_uid string, city string, route_id string, direction_id int, start_time string"
+STATIC = "city string, route_id string, direction_id int, trip_id string, origin_time string"
+
+
+def test_origins_within_five_minutes_of_no_other_direction(spark, tmp_path):
+    trips = [("far", "a", "r", 0, "08:04:00"), ("open", "a", "r", None, "08:05:00"), ("beyond", "a", "r", 0, "08:05:01"), ("other", "a", "q", 0, "08:00:00"), ("same", "a", "q", 1, "08:00:00")]
+    static = [("a", "r", 0, "x", "08:00:00"), ("a", "q", 1, "y", "08:00:00"), ("a", "q", None, "z", "08:01:00")]
+    folder = write(spark, tmp_path, stop_time_predictions=(trips, TRIP), gtfs_static_trips=(static, STATIC))
+    assert run(spark, "nearest_origin", folder) == [("far", "x", 240), ("open", "x", 300), ("other", "z", 60), ("same", "y", 0)]
+    assert run(spark, "matcher_precedence", folder) == [("far", "x", "near"), ("open", "x", "near"), ("other", "z", "near"), ("same", "y", "exact")]

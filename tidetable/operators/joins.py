@@ -34,17 +34,20 @@ def asof_backward(left: DataFrame, right: DataFrame, keys: Sequence[str], left_t
     return out.select("__l.*", F.col("__m.t").alias("asof_time"), *[F.col(f"__m.{v}").alias(v) for v in values])
 
 
-def nearest_within(left: DataFrame, right: DataFrame, left_id: str, right_id: str, keys: Sequence[str], left_at: str, right_at: str, tolerance: int) -> DataFrame:
+def nearest_within(left: DataFrame, right: DataFrame, left_id: str, right_id: str, keys: Sequence[str], left_at: str, right_at: str, tolerance: int, loose: str | None = None) -> DataFrame:
     """``left_id``, ``right_id`` and ``distance`` of each left row's nearest right row with equal keys, at most ``tolerance`` apart.
 
     The distance is bucketed: a row meets candidates of its own and the neighbouring bucket only, so the join stays an
-    equi-join whose fan-out is the density within the tolerance. Ties go to the smallest right id.
+    equi-join whose fan-out is the density within the tolerance. Ties go to the smallest right id. ``loose`` must be equal or
+    null on either side.
     """
     width = 2 * max(1, tolerance)
-    l = left.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, left_at])).select(*keys, left_id, F.col(left_at).alias("__a"), F.floor(F.col(left_at) / width).alias("__b"))
+    l = left.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, left_at])).select(*keys, left_id, (F.col(loose) if loose else F.lit(None)).alias("__m"), F.col(left_at).alias("__a"), F.floor(F.col(left_at) / width).alias("__b"))
     ends = [F.floor((F.col(right_at) + d) / width) for d in (-tolerance, tolerance)]
-    r = right.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, right_at])).select(*keys, right_id, F.col(right_at).alias("__c"), F.explode(F.array_distinct(F.array(*ends))).alias("__b"))
+    r = right.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, right_at])).select(*keys, right_id, (F.col(loose) if loose else F.lit(None)).alias("__n"), F.col(right_at).alias("__c"), F.explode(F.array_distinct(F.array(*ends))).alias("__b"))
     met = l.join(r, [*keys, "__b"]).withColumn("distance", F.abs(F.col("__a") - F.col("__c"))).where(F.col("distance") <= tolerance)
+    if loose:
+        met = met.where("__m IS NULL OR __n IS NULL OR __m = __n")
     return met.groupBy(left_id).agg(F.min(F.struct("distance", right_id)).alias("m")).select(left_id, f"m.{right_id}", "m.distance")
 
 

@@ -166,6 +166,34 @@ def matcher_priority(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.resolve_priority([exact, near], "trip_uid")
 
 
+_ORIGINS = _TRIPS.replace("city, route_id,", "city, route_id, direction_id,")
+_NEAR_ORIGIN = f"""{_ORIGINS}, near AS (SELECT trip_uid, trip_id, d FROM (SELECT trip_uid, trip_id, abs(s - o) AS d, row_number() OVER (PARTITION BY trip_uid ORDER BY abs(s - o), trip_id) AS rn
+FROM rt JOIN st ON rt.city = st.city AND rt.route_id = st.route_id AND abs(s - o) <= 300 AND (rt.direction_id = st.direction_id OR rt.direction_id IS NULL OR st.direction_id IS NULL)) WHERE rn = 1)"""
+
+
+def _origins(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    rt = load(spark, sf_dir, "stop_time_predictions").where("trip_uid IS NOT NULL AND route_id IS NOT NULL AND start_time IS NOT NULL").select("trip_uid", "city", "route_id", "direction_id", domain.gtfs_seconds(F.col("start_time")).alias("s")).distinct()
+    st = load(spark, sf_dir, "gtfs_static_trips").where("origin_time IS NOT NULL").select("city", "route_id", "direction_id", "trip_id", domain.gtfs_seconds(F.col("origin_time")).alias("o")).distinct()
+    return rt, st
+
+
+@query(f"WITH {_NEAR_ORIGIN} SELECT trip_uid, trip_id, CAST(d AS INT) AS distance FROM near")
+def nearest_origin(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The nearest scheduled origin within five minutes, of the same direction where both state one."""
+    rt, st = _origins(spark, sf_dir)
+    return joins.nearest_within(rt, st, "trip_uid", "trip_id", ["city", "route_id"], "s", "o", 300, "direction_id")
+
+
+@query(f"""WITH {_NEAR_ORIGIN}, exact AS (SELECT trip_uid, min(trip_id) AS trip_id FROM rt JOIN st ON rt.city = st.city AND rt.route_id = st.route_id AND rt.direction_id = st.direction_id AND s = o GROUP BY 1)
+SELECT trip_uid, trip_id, 'exact' AS method FROM exact UNION ALL SELECT trip_uid, trip_id, 'near' FROM near WHERE trip_uid NOT IN (SELECT trip_uid FROM exact)""")
+def matcher_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Matches of route, direction and origin second outrank the nearest within five minutes."""
+    rt, st = _origins(spark, sf_dir)
+    exact = rt.withColumnRenamed("s", "o").join(st, ["city", "route_id", "direction_id", "o"]).groupBy("trip_uid").agg(F.min("trip_id").alias("trip_id")).withColumn("method", F.lit("exact"))
+    near = joins.nearest_within(rt, st, "trip_uid", "trip_id", ["city", "route_id"], "s", "o", 300, "direction_id").select("trip_uid", "trip_id").withColumn("method", F.lit("near"))
+    return joins.resolve_priority([exact, near], "trip_uid")
+
+
 @query("""SELECT e.city_key, count(*) AS unmatched FROM fct_stop_events e WHERE NOT EXISTS (SELECT 1 FROM dim_route r WHERE r.city_key = e.city_key AND r.route_id IS NOT DISTINCT FROM e.route_id AND r.route_key IS NOT DISTINCT FROM e.route_key) GROUP BY 1""")
 def null_safe_anti(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joins.null_safe_anti(load(spark, sf_dir, "fct_stop_events").select("city_key", "route_id", "route_key"), load(spark, sf_dir, "dim_route"), ["city_key", "route_id", "route_key"]).groupBy("city_key").agg(F.count(F.lit(1)).alias("unmatched"))
