@@ -63,3 +63,10 @@ def test_origins_within_five_minutes_of_no_other_direction(spark, tmp_path):
     folder = write(spark, tmp_path, stop_time_predictions=(trips, TRIP), gtfs_static_trips=(static, STATIC))
     assert run(spark, "nearest_origin", folder) == [("far", "x", 240), ("open", "x", 300), ("other", "z", 60), ("same", "y", 0)]
     assert run(spark, "matcher_precedence", folder) == [("far", "x", "near"), ("open", "x", "near"), ("other", "z", "near"), ("same", "y", "exact")]
+
+
+def test_pivots_keep_types_of_other_hours(spark, tmp_path):
+    events = [("click", at(0)), ("click", at(61)), ("view", at(61)), ("view", at(62))]
+    folder = write(spark, tmp_path, events=(events, "event_type string, ts timestamp_ntz"))
+    assert run(spark, "pivot_hours", folder) == [("click", 0, 1, 0, 0), ("view", 0, 0, 0, 0)]
+    assert [(r[0], r[1 + 6], r[1 + 7], sum(r[1:])) for r in run(spark, "pivot_every_hour", folder)] == [("click", 1, 1, 2), ("view", 0, 2, 2)]

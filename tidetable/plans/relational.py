@@ -323,11 +323,18 @@ def standardised_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT event_type, count(*) FILTER (WHERE h = 0) AS h0, count(*) FILTER (WHERE h = 6) AS h6, count(*) FILTER (WHERE h = 12) AS h12, count(*) FILTER (WHERE h = 18) AS h18 FROM (SELECT event_type, hour(ts) AS h FROM events) GROUP BY 1""")
 def pivot_hours(spark: SparkSession, sf_dir: str) -> DataFrame:
-    e = load(spark, sf_dir, "events").select("event_type", F.hour("ts").alias("h")).where("h % 6 = 0")
+    e = load(spark, sf_dir, "events").select("event_type", F.hour("ts").alias("h"))
     p = e.groupBy("event_type").pivot("h", [0, 6, 12, 18]).count()
     return p.select("event_type", *[F.coalesce(F.col(str(h)), F.lit(0)).alias(f"h{h}") for h in (0, 6, 12, 18)])
 
 
+@query("SELECT event_type, " + ", ".join(f"count(*) FILTER (WHERE h = {h}) AS h{h}" for h in range(24)) + " FROM (SELECT event_type, hour(ts) AS h FROM events) GROUP BY 1")
+def pivot_every_hour(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts of each type in all 24 hours."""
+    p = load(spark, sf_dir, "events").select("event_type", F.hour("ts").alias("h")).groupBy("event_type").pivot("h", list(range(24))).count()
+    return p.select("event_type", *[F.coalesce(F.col(str(h)), F.lit(0)).alias(f"h{h}") for h in range(24)])
+
+
 @query("SELECT city_key, string_agg(DISTINCT mode, ',' ORDER BY mode) AS modes, count(DISTINCT route_id) AS routes FROM dim_route WHERE is_current GROUP BY 1")
 def ordered_string_agg(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load(spark, sf_dir, "dim_route").where("is_current").groupBy("city_key").agg(F.array_join(F.array_sort(F.collect_set("mode")), ",").alias("modes"), F.countDistinct("route_id").alias("routes"))
