@@ -226,3 +226,13 @@ def test_stuffed_pages_on_labelled_rows(spark, data):
 def test_features_of_a_very_long_text():
     lang, values = stuffed.features("metro map compare " * 60_000)
     assert values[stuffed.NAMES.index("stuffed_share")] > 0.9
+
+
+def test_calibration_judges_by_the_rule_itself(spark):
+    # a link alone makes a case without any recurrence, a page of bare units none
+    texts = ["https://www.host.example/" + "fares" * 40, "\n".join("Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Iota Kappa".split()), PROSE * 3, STUFFED[0]]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
+    found = {r.doc_id for r in stuffed.stuffed_pages(df, "doc_id", "text").collect()}
+    labels = spark.createDataFrame([(i, int(i in found)) for i in range(4)], "doc_id int, stuffed int")
+    rows = [r for r in stuffed.calibration(df, labels, "doc_id", "text", "stuffed").collect() if r.ngram_limit == stuffed.NGRAM_LIMITS.get(r.page_lang, stuffed.NGRAM_LIMIT)]
+    assert 0 in found and 1 not in found and (sum(r.hits for r in rows), sum(r.false_alarms for r in rows), sum(r.misses for r in rows)) == (len(found), 0, 0)

@@ -165,16 +165,18 @@ def _limit(limits: dict[str, float], other: float) -> F.Column:
     return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in limits.items() for x in (k, v)]), F.col("page_lang")), F.lit(other))
 
 
-def is_stuffed(limits: dict[str, float] | None = None) -> F.Column:
+def is_stuffed(limits: dict[str, float] | F.Column | None = None) -> F.Column:
     """Whether a row of :func:`with_features` consists for the greater part of keywords, links or product tags.
 
     Links and tags count if they form a list or nearly the whole text, so sentences followed by some links are no case.
     Recurring units count if n-grams recur, one word prevails or units repeat as much as the language's limits ask. Bare units count within lists of links or
     tags, and within keyword pages without prose. All of it must also outweigh prose and data.
     """
+    limits = NGRAM_LIMITS if limits is None else limits
+    ngrams = limits if isinstance(limits, F.Column) else _limit(limits, NGRAM_LIMIT)
     prevails = (F.col("top_word_share") >= _limit(TOP_WORD_LIMITS, TOP_WORD_LIMIT)) & (F.col("function_share") < FUNCTION_LIMIT)
     repeats = (F.col("duplicate_share") >= _limit(DUPLICATE_LIMITS, DUPLICATE_LIMIT)) & (F.col("separator_density") >= SEPARATOR_LIMIT)
-    many, recurs = F.col("n_links") >= LIST_LINKS, (F.col("ngram_share") >= _limit(NGRAM_LIMITS if limits is None else limits, NGRAM_LIMIT)) | prevails | repeats
+    many, recurs = F.col("n_links") >= LIST_LINKS, (F.col("ngram_share") >= ngrams) | prevails | repeats
     links = F.when(many | (F.col("link_share") >= 0.85), F.col("link_share")).otherwise(0.0)
     keywords = F.when(many | recurs, F.col("stuffed_share")).otherwise(0.0)
     captions = F.when(many | recurs & (F.col("stuffed_share") >= 0.3) & (F.col("prose_share") < 0.15), F.col("bare_share")).otherwise(0.0)
@@ -188,10 +190,9 @@ def stuffed_pages(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def calibration(df: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """Per language, hits, false alarms and misses of the rule on the labelled rows at each candidate n-gram limit."""
+    """Per language, hits, false alarms and misses of :func:`is_stuffed` on the labelled rows at each candidate n-gram limit, the other limits as they are."""
     known = with_features(df.join(labels.select(key, label), key), key, text).join(labels.select(key, label), key)
     grid = known.withColumn("ngram_limit", F.explode(F.array(*[F.lit(x / 20) for x in range(0, 17)])))
-    many, share = F.col("n_links") >= LIST_LINKS, F.col("stuffed_share") + F.col("link_share") + F.col("bare_share")
-    case = (share >= GREATER_PART) & (share > F.col("prose_share") + F.col("datum_share")) & (many | (F.col("ngram_share") >= F.col("ngram_limit")))
+    case = is_stuffed(F.col("ngram_limit"))
     return grid.groupBy("page_lang", "ngram_limit").agg(F.count_if(case & (F.col(label) == 1)).alias("hits"), F.count_if(case & (F.col(label) == 0)).alias("false_alarms"),
                                                        F.count_if(~case & (F.col(label) == 1)).alias("misses"))
