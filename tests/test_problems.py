@@ -30,6 +30,12 @@ def test_redundant_nulls_ties_and_clashing_names(spark):
     assert sorted(r.row_no for r in out.collect()) == [2, 4, 5, 9]
 
 
+def test_redundant_leaves_copies_without_a_name_unless_a_named_one_is_kept(spark):
+    rows = [("a", 1, ts("2025-01-01"), None, "only"), ("b", 1, ts("2025-01-02"), None, "lost"), ("b", 1, ts("2025-01-01"), 1, "kept"), ("c", 1, ts("2025-01-01"), None, "kept"), ("c", 1, ts("2025-01-02"), 2, "lost"), (None, None, None, None, "only"),
+            ("d", None, None, None, "lost"), ("d", None, None, 7, "kept")]
+    assert sorted((r.m, r.copies) for r in dedup.redundant(messages(spark, rows), ["m", "v"], "fetched_at", "row_no").collect()) == [("b", "lost"), ("c", "lost"), ("d", "lost")]
+
+
 def test_keepers_count_copies_and_negative_ties(spark):
     rows = [("a", 1, ts("2025-01-01"), -(2**62), "x"), ("a", 1, ts("2025-01-01"), 2**62, "x"), ("a", 1, ts("1960-01-01"), 3, "x")]
     r = dedup.keepers(messages(spark, rows), ["m", "v"], "fetched_at", "row_no").collect()
@@ -119,6 +125,19 @@ def test_triangle_counts_revisions_and_cuts(spark):
     assert rev == [(1, 1, False), (2, 3, False), (3, 4, False), (4, 5, True)]
 
 
+def test_triangle_cuts_at_the_cutoff_that_the_step_does_not_divide(spark):
+    rows = [("e", f"v{late_s}", 10, (3600 + late_s) * 10**6) for late_s in (600, 650, 700, 701)]
+    cells = late.triangle(spark.createDataFrame(rows, "endpoint string, record string, event_s bigint, arrival_us bigint"), "endpoint", 3600, 600, 700)
+    assert sorted((r.arrival_period, r.arrived) for r in cells.collect()) == [(1, 1), (2, 2)]
+    fixed = late.corrected(late.revisions(cells, "endpoint"), "endpoint", 1).collect()
+    assert [(r.endpoint, r.period_start, r.first_total, r.final_total) for r in fixed] == [("e", 0, 1, 3)]
+    assert late.corrected(late.revisions(cells, "endpoint"), "endpoint", 2).count() == 0
+
+
+def test_p4_found_comes_from_the_running_sums(spark, data):
+    assert "Window" in problems.p4_found(spark, data)._jdf.queryExecution().optimizedPlan().toString()
+
+
 # timestamps
 
 CASES = [
@@ -161,6 +180,15 @@ def test_what_no_evidence_settles_is_marked(spark):
     assert got[1].status == "certain" and got[2].status == "unreadable"
 
 
+def test_evidence_is_weighed_within_the_mixture(spark):
+    z = "Asia/Tokyo"
+    clear = [(f"{d:02d}/10/2025 10:00:00", z, None, "eu") for d in range(13, 29)]
+    at = brute.micros(dt.datetime(2025, 5, 10, 1, tzinfo=dt.UTC)) // 10**6
+    got = normalised(spark, [*clear, ("10/05/2025 10:00:00", z, None, "eu"), ("10/05/2025 10:00:00", z, at + 7200, "eu"), ("05/10/2025 10:00:00", z, at + 7200, "eu"), ("2025-11-02 01:30:00", "America/New_York", None, "eu"), (None, z, 1, "eu")])
+    assert [(got[i].reading, got[i].status) for i in range(len(clear), len(clear) + 5)] == [
+        ("day_first", "by mixture"), ("day_first", "by evidence"), ("month_first", "by evidence"), ("plain", "ambiguous"), (None, "unreadable")]
+
+
 def test_skipped_local_time_is_read_with_the_offset_before(spark):
     got = normalised(spark, [("2025-03-09 02:30:00", "America/New_York", None, "s")])
     assert got[0].utc_micros == brute.micros(dt.datetime(2025, 3, 9, 7, 30, tzinfo=dt.UTC))

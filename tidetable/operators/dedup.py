@@ -39,10 +39,15 @@ def redundant(df: DataFrame, identifier: Sequence[str], delivered: str, tie_brea
     """The rows that :func:`keepers` does not keep, whole and with their own columns.
 
     The comparison back to the rows is on ``tie_break`` alone, which is evenly spread whatever the identifiers' skew.
-    Rows with a null ``tie_break`` cannot be named; they stay unless another copy is kept, in which case they are redundant.
+    Rows with a null ``tie_break`` cannot be named; all of them stay, unless a named copy of their message is kept, which makes them redundant.
     """
-    kept = keepers(df, identifier, delivered, tie_break).select(F.col(tie_break).alias("__kept"))
-    return df.join(kept.where(F.col("__kept").isNotNull()), F.col(tie_break) == F.col("__kept"), "left_anti")
+    kept = keepers(df, identifier, delivered, tie_break).where(F.col(tie_break).isNotNull())
+    named = df.where(F.col(tie_break).isNotNull()).join(kept.select(F.col(tie_break).alias("__kept")), F.col(tie_break) == F.col("__kept"), "left_anti")
+    messages = kept.select(*[F.col(c).alias(f"__id{i}") for i, c in enumerate(identifier)])
+    same = F.lit(True)
+    for i, c in enumerate(identifier):
+        same = same & df[c].eqNullSafe(messages[f"__id{i}"])
+    return named.unionByName(df.where(F.col(tie_break).isNull()).join(messages, same, "left_semi"))
 
 
 def keep_first(df: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:

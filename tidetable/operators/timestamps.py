@@ -22,36 +22,43 @@ ABBREVIATIONS = {
 #: two instants with the same wall clock.
 KINDS = ("plain", "plain_later", "day_first", "day_first_later", "month_first", "month_first_later")
 
-_TAIL = r"((?:[T\s,].*)?)$"
-_YMD = r"^(\d{4})([-/.]?)(\d{1,2})\2(\d{1,2})" + _TAIL
-_XXY = r"^(\d{1,2})([-/.])(\d{1,2})\2(\d{4})" + _TAIL
-_NAMED = r"^(?:[A-Z]{3,9},?\s+)?(\d{1,2})[\s-]([A-Z]{3,9})[\s-](\d{4})" + _TAIL
-_EPOCH = r"^(\d{10}|\d{13}|\d{16}|\d{19})(?:[.,](\d+))?$"
-_CLOCK = r"^(?:[T\s,]\s*(\d{1,2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?\s*([AP]M)?\s*(Z|[+-]\d{2}(?::?\d{2})?|[A-Z]{3,5})?\s*(?:\[[^\]]*\])?)?$"
+#: Every readable form at once: an epoch; or a date (year first, year last, named month) with an optional clock, half of the day and zone.
+_FORM = (r"^(?:(\d{10}|\d{13}|\d{16}|\d{19})(?:[.,](\d+))?"
+         r"|(?:(\d{4})([-/.]?)(\d{1,2})\4(\d{1,2})|(\d{1,2})([-/.])(\d{1,2})\8(\d{4})|(?:[A-Z]{3,9},?\s+)?(\d{1,2})[\s-]([A-Z]{3,9})[\s-](\d{4}))"
+         r"(?:[T\s,]\s*(\d{1,2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d+))?)?)?\s*([AP]M)?\s*(Z|[+-]\d{2}(?::?\d{2})?|[A-Z]{3,5})?\s*(?:\[[^\]]*\])?)?)$")
+#: Its parts in one text: epoch, its fraction, year, month or second number, day or first number, month name, separator of a date
+#: with the year last, hour, minute, second, fraction, half, zone. Of the three dates one matches, so parts of one meaning are written together.
+_PARTS = "$1|$2|$3$10$13|$5$9|$6$7$11|$12|$8|$14|$15|$16|$17|$18|$19"
+#: Dates with the year last whose first two numbers may be day and month or month and day; the only spellings that need a mixture.
+_TWO_ORDERS = r"^\d{1,2}([-/])\d{1,2}\1\d{4}(?:\D|$)"
 _MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
+#: Likelihood ratios and weights stay within these, so that no value alone makes the other order impossible.
+_MOST_ODDS, _LEAST_WEIGHT = 1e18, 1e-6
 
 
 def plain_text(text: Column) -> Column:
     """Upper case without outer space; full-width digits and colons and the date marks of Japanese as ASCII."""
     t = F.translate(text, "０１２３４５６７８９：／－．　", "0123456789:/-. ")
-    t = F.regexp_replace(t, r"分(?=\d)", ":")
+    t = F.when(F.contains(t, F.lit("分")), F.regexp_replace(t, r"分(?=\d)", ":")).otherwise(t)
     t = F.translate(t, "年月日時分秒", "-- :")
-    return F.upper(F.regexp_replace(t, r"^\s+|\s+$", ""))
+    return F.upper(F.btrim(t, F.lit(" \t\n\r\f\x0b")))
 
 
-def _number(text: Column, pattern: str, group: int) -> Column:
-    return F.regexp_extract(text, pattern, group).try_cast("int")
+def _micros(digits: Column) -> Column:
+    """Digits after the point as microseconds; further digits are cut."""
+    return F.rpad(F.substring(digits, 1, 6), 6, "0").try_cast("bigint")
 
 
-def _epoch_day(y: Column, m: Column, d: Column) -> Column:
-    """Days since 1970-01-01; null for dates that do not exist."""
-    iso = F.concat_ws("-", F.lpad(y.cast("string"), 4, "0"), F.lpad(m.cast("string"), 2, "0"), F.lpad(d.cast("string"), 2, "0"))
-    return F.when(y.isNotNull() & m.isNotNull() & d.isNotNull(), F.unix_date(iso.try_cast("date")))
+def _offset(at: Column, zone: Column) -> Column:
+    return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(at), zone)) - at
 
 
-def _micros(digits: Column) -> Column:
-    """Digits after the point as microseconds; further digits are cut."""
-    return F.rpad(F.substring(digits, 1, 6), 6, "0").try_cast("bigint")
+def _instants(local: Column, zone: Column, before: Column, after: Column) -> tuple[Column, Column]:
+    """:func:`local_instants`, given the offsets a day before and a day after; only where these differ are more looked up."""
+    one, two = local - before, local - after
+    one_ok, two_ok = one + _offset(one, zone) == local, two + _offset(two, zone) == local
+    early = F.when(before == after, one).otherwise(F.when(one_ok & two_ok, F.least(one, two)).when(two_ok & ~one_ok, two).otherwise(one))
+    return early, F.when(before != after, F.when(one_ok & two_ok, F.greatest(one, two)))
 
 
 def local_instants(local: Column, zone: Column) -> tuple[Column, Column]:
@@ -60,20 +67,15 @@ def local_instants(local: Column, zone: Column) -> tuple[Column, Column]:
     The later one is null unless the clock was put back over that time. A wall clock that was skipped is read with the
     offset in force before the change. Null without a zone.
     """
-    def offset(at: Column) -> Column:
-        return F.unix_micros(F.from_utc_timestamp(F.timestamp_micros(at), zone)) - at
+    return _instants(local, zone, _offset(local - DAY, zone), _offset(local + DAY, zone))
 
-    one, two = local - offset(local - DAY), local - offset(local + DAY)
-    one_ok, two_ok = one + offset(one) == local, two + offset(two) == local
-    early = F.when(one_ok & two_ok, F.least(one, two)).when(two_ok & ~one_ok, two).otherwise(one)
-    return early, F.when(one_ok & two_ok & (one != two), F.greatest(one, two))
 
-
-def _offset_seconds(mark: Column, zone: Column) -> Column:
+def _shift(mark: Column, zone: Column) -> Column:
+    """Seconds east of UTC of a stated zone; null for names that are not the zone's own."""
     sign = F.when(F.substring(mark, 1, 1) == "-", -1).otherwise(1)
-    numeric = sign * (F.substring(mark, 2, 2).try_cast("int") * 3600 + F.coalesce(F.regexp_extract(mark, r"(\d{2})$", 1).try_cast("int") * F.when(F.length(mark) > 3, 60).otherwise(0), F.lit(0)))
+    numeric = sign * (F.substring(mark, 2, 2).try_cast("int") * 3600 + F.when(F.length(mark) > 3, F.substring(mark, -2, 2).try_cast("int") * 60).otherwise(0))
     named = F.create_map(*[F.lit(x) for z, names in ABBREVIATIONS.items() for a, s in names.items() for x in (f"{z} {a}", s)])
-    return F.when(mark.isin("Z", "GMT", "UTC"), 0).when(mark.rlike(r"^[+-]"), numeric).otherwise(F.try_element_at(named, F.concat_ws(" ", zone, mark)))
+    return F.when(mark.isin("Z", "GMT", "UTC"), 0).when(F.substring(mark, 1, 1).isin("+", "-"), numeric).otherwise(F.try_element_at(named, F.concat_ws(" ", zone, mark)))
 
 
 def _apart(df: DataFrame, **columns: Column) -> DataFrame:
@@ -82,127 +84,129 @@ def _apart(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def _stage(df: DataFrame, **columns: Column) -> DataFrame:
-    return df.withColumns(columns)
-
-
-def with_readings(df: DataFrame, text: Column, zone: Column, into: str) -> DataFrame:
-    """``df`` with ``into``, an ``array<struct<kind int, micros bigint>>`` of every valid reading of ``text``, empty if unreadable or null.
+def with_readings(df: DataFrame, text: Column, zone: Column) -> DataFrame:
+    """``df`` with every valid reading of ``text`` in micros: ``__r0`` and ``__r1`` in the written order (day first where the year is
+    last), ``__r2`` and ``__r3`` month first; the second of each pair is the later instant of a wall clock that came twice. Null
+    where there is no such reading or it is the same instant (``__same``). ``__last`` tells whether the year is last.
 
     Read are ISO 8601 in extended and compact form, year-first and day- or month-first dates with ``-``, ``/`` or ``.``, HTTP
     dates, epoch seconds (also with a fraction), milliseconds, microseconds and nanoseconds, 24- and 12-hour clocks,
     numeric offsets, ``Z``, and the zone's own abbreviations. A text without zone is local time of ``zone``; a stated
-    offset outranks a bracketed region. ``kind`` indexes :data:`KINDS`.
+    offset outranks a bracketed region. One regular expression takes a text apart.
     """
     c = F.col
-    out = _stage(df, __r_zone=zone, __r_t=plain_text(text))
-    kind = F.when(c("__r_t").rlike(_YMD), 1).when(c("__r_t").rlike(_XXY), 2).when(c("__r_t").rlike(_NAMED), 3).when(c("__r_t").rlike(_EPOCH), 4)
-    out = _stage(out, __r_kind=kind)
-    month = F.substring(F.regexp_extract("__r_t", _NAMED, 2), 1, 3)
-
-    def pick(ymd: Column, xxy: Column, named: Column) -> Column:
-        return F.when(c("__r_kind") == 1, ymd).when(c("__r_kind") == 2, xxy).when(c("__r_kind") == 3, named)
-
-    out = _stage(out, __r_y=pick(_number(c("__r_t"), _YMD, 1), _number(c("__r_t"), _XXY, 4), _number(c("__r_t"), _NAMED, 3)),
-                  __r_a=pick(_number(c("__r_t"), _YMD, 3), _number(c("__r_t"), _XXY, 3), F.position(month, F.lit(_MONTHS))),
-                  __r_b=pick(_number(c("__r_t"), _YMD, 4), _number(c("__r_t"), _XXY, 1), _number(c("__r_t"), _NAMED, 1)),
-                  __r_dotted=(c("__r_kind") == 2) & (F.regexp_extract("__r_t", _XXY, 2) == "."),
-                  __r_tail=pick(F.regexp_extract("__r_t", _YMD, 5), F.regexp_extract("__r_t", _XXY, 5), F.regexp_extract("__r_t", _NAMED, 4)))
-    tail = c("__r_tail")
-    out = _stage(out, __r_m=F.when(c("__r_kind") != 3, c("__r_a")).when(c("__r_a") % 3 == 1, ((c("__r_a") + 2) / 3).cast("int")), __r_ok=tail.rlike(_CLOCK), __r_h=F.coalesce(_number(tail, _CLOCK, 1), F.lit(0)),
-                  __r_mi=F.coalesce(_number(tail, _CLOCK, 2), F.lit(0)), __r_s=F.coalesce(_number(tail, _CLOCK, 3), F.lit(0)), __r_us=F.coalesce(_micros(F.nullif(F.regexp_extract(tail, _CLOCK, 4), F.lit(""))), F.lit(0)),
-                  __r_half=F.regexp_extract(tail, _CLOCK, 5), __r_mark=F.nullif(F.regexp_extract(tail, _CLOCK, 6), F.lit("")))
-    hour = F.when(c("__r_half") == "", F.when(c("__r_h") < 24, c("__r_h"))).when(c("__r_h").between(1, 12), c("__r_h") % 12 + F.when(c("__r_half") == "PM", 12).otherwise(0))
-    clock = F.when(c("__r_ok") & (c("__r_mi") < 60) & (c("__r_s") < 60), (hour * 3600 + c("__r_mi") * 60 + c("__r_s")).cast("bigint") * 1_000_000 + c("__r_us"))
-    n, digits = F.regexp_extract("__r_t", _EPOCH, 1).try_cast("bigint"), F.length(F.regexp_extract("__r_t", _EPOCH, 1))
-    epoch = F.when(digits == 10, n * 1_000_000 + F.coalesce(_micros(F.nullif(F.regexp_extract("__r_t", _EPOCH, 2), F.lit(""))), F.lit(0))).when(digits == 13, n * 1000) \
-        .when(digits == 16, n).when(digits == 19, F.floor(n.cast("decimal(20,0)") / 1000).cast("bigint"))
-    out = _stage(out, __r_clock=clock, __r_epoch=F.when(c("__r_kind") == 4, epoch), __r_shift=F.when(c("__r_mark").isNotNull(), _offset_seconds(c("__r_mark"), c("__r_zone"))).cast("bigint") * 1_000_000,
-                  __r_one=_epoch_day(c("__r_y"), c("__r_m"), c("__r_b")).cast("bigint") * DAY, __r_two=F.when((c("__r_kind") == 2) & ~c("__r_dotted"), _epoch_day(c("__r_y"), c("__r_b"), c("__r_m"))).cast("bigint") * DAY)
-    out = _stage(out, __r_one_at=c("__r_one") + c("__r_clock"), __r_two_at=c("__r_two") + c("__r_clock"))
-    one, two = local_instants(c("__r_one_at"), c("__r_zone")), local_instants(c("__r_two_at"), c("__r_zone"))
-    out = _stage(out, __r_r0=F.coalesce(c("__r_epoch"), c("__r_one_at") - c("__r_shift"), one[0]), __r_r1=F.when(c("__r_shift").isNull(), one[1]),
-                  __r_r2=F.coalesce(c("__r_two_at") - c("__r_shift"), two[0]), __r_r3=F.when(c("__r_shift").isNull(), two[1]), __r_base=F.when(c("__r_kind") == 2, 2).otherwise(0))
-    found = F.array(*[F.struct(k.cast("int").alias("kind"), c(r).alias("micros")) for k, r in ((c("__r_base"), "__r_r0"), (c("__r_base") + 1, "__r_r1"), (F.lit(4), "__r_r2"), (F.lit(5), "__r_r3"))])
-    return _apart(out, **{into: F.filter(found, lambda r: r["micros"].isNotNull())}).select(*df.columns, into)
-
-
-def _surviving(found: Column, evidence: Column) -> Column:
-    """The readings left by the evidence: those nearest to it, all where there is none."""
-    far = F.transform(found, lambda r: F.abs(r["micros"] - evidence))
-    return F.when(evidence.isNull(), found).otherwise(F.filter(found, lambda r: F.abs(r["micros"] - evidence) == F.array_min(far)))
+    out = df.withColumns({"__zone": zone, "__t": plain_text(text)})
+    out = out.withColumn("__form", F.regexp_replace("__t", _FORM, _PARTS))
+    out = out.withColumn("__p", F.when(c("__form") != c("__t"), F.split("__form", r"\|")))
+    epoch, fraction, year, month, day, name, last, h, mi, s, f, half, mark = (c("__p")[i] for i in range(13))
+    number = lambda t: F.coalesce(t.try_cast("int"), F.lit(0))
+    named = F.position(F.substring(name, 1, 3), F.lit(_MONTHS))
+    written = F.when(name == "", month).otherwise(F.when(named % 3 == 1, ((named + 2) / 3).cast("int").cast("string")))
+    hour = F.when(half == "", F.when(number(h) < 24, number(h))).when(number(h).between(1, 12), number(h) % 12 + F.when(half == "PM", 12).otherwise(0))
+    clock = F.when((number(mi) < 60) & (number(s) < 60), (hour * 3600 + number(mi) * 60 + number(s)).cast("bigint") * 1_000_000 + F.when(f == "", 0).otherwise(_micros(f)))
+    date = lambda m, d: F.unix_date(F.concat_ws("-", year, m, d).try_cast("date")).cast("bigint") * DAY
+    n, digits, part = epoch.try_cast("bigint"), F.length(epoch), F.when(fraction == "", 0).otherwise(_micros(fraction))
+    instant = F.when(digits == 10, n * 1_000_000 + part).when(digits == 13, n * 1000).when(digits == 16, n).when(digits == 19, F.floor(n.cast("decimal(20,0)") / 1000).cast("bigint"))
+    out = out.withColumns({"__epoch": F.when(epoch != "", instant), "__clock": F.when(epoch == "", clock), "__shift": F.when(mark != "", _shift(mark, c("__zone"))).cast("bigint") * 1_000_000,
+                           "__one": F.when(epoch == "", date(written, day)), "__two": F.when(last.isin("-", "/"), date(day, month)), "__last": F.coalesce(last != "", F.lit(False))})
+    out = out.withColumns({"__one": c("__one") + c("__clock"), "__two": c("__two") + c("__clock")})
+    local = c("__shift").isNull()
+    out = out.withColumns({f"{k}_{w}": F.when(local, _offset(c(k) + d, c("__zone"))) for k in ("__one", "__two") for w, d in (("before", -DAY), ("after", DAY))})
+    one, two = (_instants(c(k), c("__zone"), c(f"{k}_before"), c(f"{k}_after")) for k in ("__one", "__two"))
+    out = out.withColumns({"__q0": F.coalesce("__epoch", c("__one") - c("__shift"), one[0]), "__q1": one[1], "__q2": F.coalesce(c("__two") - c("__shift"), two[0]), "__q3": two[1]})
+    # without the day-first reading the month-first one stands alone; of equal dates the first
+    same = F.coalesce(c("__q0") == c("__q2"), F.lit(False))
+    return _apart(out.select(*df.columns, "__last", *[f"__q{i}" for i in range(4)]), __same=same, __r0=c("__q0"), __r1=c("__q1"), __r2=F.when(~same, c("__q2")), __r3=F.when(~same, c("__q3"))).drop(*[f"__q{i}" for i in range(4)])
+
+
+def _likelihoods(near: Column, spread: float) -> list[Column]:
+    """How well each reading agrees with the evidence, 1 for the nearest, falling by e with every ``spread`` seconds of further distance; a
+    wall clock that came twice counts half for each of its instants. 0 for absent readings; all agree where there is no evidence."""
+    r = [F.col(f"__r{i}") for i in range(4)]
+    far = [F.abs(x - near) for x in r]
+    least = F.least(*far)
+    half = [F.when(r[1].isNotNull(), 0.5).otherwise(1.0)] * 2 + [F.when(r[3].isNotNull(), 0.5).otherwise(1.0)] * 2
+    return [F.when(x.isNull(), 0.0).when(near.isNull(), h).otherwise(h * F.exp((least - d) / F.lit(spread * 1e6))) for x, d, h in zip(r, far, half, strict=True)]
 
 
 def format_mixtures(values: DataFrame, rounds: int = 25, prior: float = 1.0) -> DataFrame:
-    """Mixture weights (``array<double>`` by kind) per (``source``, ``surface``), by EM with a Dirichlet prior.
-
-    ``values`` holds ``source``, ``surface`` and ``left``, the readings left. Values are first counted by the set of their
-    readings, so the iteration runs over at most 2^6 counts per source in one row, inside one JVM expression and without a
-    job per round. The E-step shares each count over its valid readings in proportion to the weights; the M-step
-    adds the shares. The prior is the EM mixture of the surface over all sources, of ``prior`` pseudo-values, so a source
-    without unambiguous values follows the others. Only sources with an undecided value are kept.
+    """``day_first``, the weight of day-first among the dates of a (``source``, ``surface``), by EM with a Dirichlet prior.
+
+    ``values`` holds ``source``, ``surface`` and ``odds``, the likelihood of a value's day-first reading over that of its
+    month-first one. Values are first counted by the logarithm of their odds, of which there are at most some eighty, so
+    the iteration runs over that many counts per source, inside one JVM expression and without a job per round. The
+    E-step shares each count over both orders in proportion to weight times likelihood; the M-step adds the shares.
+    The prior is the mixture of the surface over all sources, of ``prior`` pseudo-values, so a source without clear
+    values follows the others. Null sources are one source.
     """
-    mask = F.aggregate(F.array_distinct(F.transform("left", lambda r: r["kind"])), F.lit(0), lambda acc, k: acc + F.pow(F.lit(2.0), k).cast("int"))
-    counts = values.where(F.size("left") > 0).groupBy("source", "surface", mask.alias("mask"), (F.size(F.array_distinct(F.transform("left", lambda r: r["micros"]))) > 1).alias("open")).agg(F.count(F.lit(1)).alias("n"))
-    bits = F.array(*[F.shiftright(F.col("mask"), i).bitwiseAND(1).cast("double").alias(str(i)) for i in range(len(KINDS))])
-    counts = counts.withColumn("row", F.struct(F.col("n").cast("double").alias("n"), bits.alias("bits")))
-    flat = F.array(*[F.lit(1.0 / len(KINDS)) for _ in KINDS])
+    step_of = F.round(F.log(F.greatest(F.lit(1 / _MOST_ODDS), F.least(F.lit(_MOST_ODDS), F.col("odds"))))).cast("int")
+    counts = values.groupBy("source", "surface", step_of.alias("step")).agg(F.count(F.lit(1)).cast("double").alias("n"))
 
     def em(rows: Column, start: Column, weight: float) -> Column:
+        total = F.aggregate(rows, F.lit(float(weight)), lambda a, r: a + r["n"])
+
         def step(w: Column, _: Column) -> Column:
-            shared = F.transform(rows, lambda r: F.struct(r["n"].alias("n"), F.zip_with(r["bits"], w, lambda b, x: b * x).alias("p")))
-            shared = F.transform(shared, lambda r: F.transform(r["p"], lambda p: r["n"] * p / F.greatest(F.aggregate(r["p"], F.lit(0.0), lambda a, x: a + x), F.lit(1e-300))))
-            summed = F.aggregate(shared, F.transform(start, lambda s: s * weight), lambda a, r: F.zip_with(a, r, lambda x, y: x + y))
-            total = F.aggregate(summed, F.lit(0.0), lambda a, x: a + x)
-            return F.transform(summed, lambda x: x / F.greatest(total, F.lit(1e-300)))
+            share = F.aggregate(rows, start * weight, lambda a, r: a + r["n"] * w * r["odds"] / (w * r["odds"] + 1 - w))
+            return F.greatest(F.lit(_LEAST_WEIGHT), F.least(F.lit(1 - _LEAST_WEIGHT), share / total))
         return F.aggregate(F.sequence(F.lit(1), F.lit(rounds)), start, step)
 
-    overall = counts.groupBy("surface", "mask").agg(F.sum("n").alias("n")).withColumn("row", F.struct(F.col("n").cast("double").alias("n"), bits.alias("bits"))) \
-        .groupBy("surface").agg(F.collect_list("row").alias("rows")).select("surface", em(F.col("rows"), flat, 1e-3).alias("prior"))
-    own = counts.groupBy("source", "surface").agg(F.collect_list("row").alias("rows"), F.bool_or("open").alias("open")).where("open")
-    return own.join(overall, "surface").select("source", "surface", em(F.col("rows"), F.col("prior"), prior).alias("weights"))
+    row = F.collect_list(F.struct("n", F.exp(F.col("step").cast("double")).alias("odds"))).alias("rows")
+    overall = counts.groupBy("surface", "step").agg(F.sum("n").alias("n")).groupBy("surface").agg(row).select("surface", em(F.col("rows"), F.lit(0.5), 1e-3).alias("prior"))
+    return counts.groupBy("source", "surface").agg(row).join(overall, "surface").select("source", "surface", em(F.col("rows"), F.col("prior"), prior).alias("day_first"))
 
 
-def normalise(df: DataFrame, text: str, zone: str, source: str, evidence: str | None = None, sure: float = 0.9) -> DataFrame:
+def normalise(df: DataFrame, text: str, zone: str, source: str, evidence: str | None = None, sure: float = 0.9, spread: float = 60.0) -> DataFrame:
     """``df`` with ``utc_micros``, ``reading``, ``posterior`` and ``status`` of each ``text``.
 
-    ``zone`` names the column of the IANA zone for texts without one, ``evidence`` a column of epoch microseconds near
-    which the value must lie. A value contributes likelihood 1 to each valid reading nearest to its evidence, else 0, and to
-    all valid readings without evidence; where one instant is left, its posterior is 1 (``certain``, or
-    ``by evidence``). The others take the reading of highest posterior under their source's mixture (``by mixture``), marked
-    ``ambiguous`` below ``sure``; ties go to the smaller kind. Null, empty and unreadable texts give null and ``unreadable``.
-    No row is lost. Only undecided values are joined with the mixtures. Columns that carry an added name are replaced;
-    names that begin with two underscores are kept for the operator.
+    ``zone`` names the column of the IANA zone for texts without one, ``evidence`` a column of epoch microseconds near which
+    the value should lie. A reading's likelihood falls with its distance from the evidence, by e every ``spread`` seconds; it is
+    weighed by the share that its order of day and month has in the mixture of its source and spelling, and the
+    reading of the highest posterior is taken, on a tie the smaller kind. ``status`` is ``certain`` (one instant only), ``by evidence``
+    (the likelihoods alone reach ``sure``), ``by mixture`` (the posterior does) or ``ambiguous``. Null, empty and unreadable
+    texts give null and ``unreadable``. No row is lost. Columns that carry an added name are replaced; names that begin
+    with two underscores are kept for the operator.
+
+    Only dates in two possible orders need a mixture. They are told by their spelling, so every other row is parsed once
+    and joined with nothing; they are parsed a second time to be counted.
     """
     df = df.drop(*[c for c in ("utc_micros", "reading", "posterior", "status") if c not in (text, zone, source, evidence)])
     near = F.col(evidence) if evidence else F.lit(None).cast("bigint")
+    two_orders = F.coalesce(plain_text(F.col(text)).rlike(_TWO_ORDERS), F.lit(False))
     surface = F.regexp_replace(F.regexp_replace(plain_text(F.col(text)), r"\d+", "9"), r"[A-Z]{3,}", "A")
-    read = with_readings(df, F.col(text), F.col(zone), "__all")
-    read = read.withColumn("__left", _surviving(F.col("__all"), near))
-    read = _apart(read, __instants=F.size(F.array_distinct(F.transform("__left", lambda r: r["micros"]))))
-    decided = read.where("__instants <= 1").select(
-        *df.columns, F.when(F.size("__left") > 0, F.col("__left")[0]["micros"]).alias("utc_micros"), F.when(F.size("__left") > 0, F.col("__left")[0]["kind"]).alias("__kind"),
-        F.when(F.size("__left") > 0, F.lit(1.0)).alias("posterior"),
-        F.when(F.size("__left") == 0, "unreadable").when(F.size(F.array_distinct(F.transform("__all", lambda r: r["micros"]))) > 1, "by evidence").otherwise("certain").alias("status"))
-    weights = format_mixtures(_apart(read.select(F.col(source).cast("string").alias("source"), F.col(text), F.col("__left").alias("left")), surface=surface))
-    undecided = read.where("__instants > 1").withColumn("__surface", surface)
-    joined = undecided.join(weights.select(F.col("source").alias("__s"), F.col("surface").alias("__f"), F.col("weights").alias("__w")),
-                            F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__surface") == F.col("__f")), "left")
-    shares = F.transform("__left", lambda r: F.struct(F.coalesce(F.element_at("__w", r["kind"] + 1), F.lit(1.0)).alias("p"), (-r["kind"]).alias("minus"), r["micros"].alias("micros")))
-    joined = joined.withColumn("__p", shares).withColumn("__best", F.array_max("__p"))
-    posterior = F.col("__best.p") / F.aggregate("__p", F.lit(0.0), lambda a, x: a + x["p"])
-    chosen = joined.select(*df.columns, F.col("__best.micros").alias("utc_micros"), (-F.col("__best.minus")).alias("__kind"), posterior.alias("posterior"),
-                           F.when(posterior >= sure, "by mixture").otherwise("ambiguous").alias("status"))
-    out = decided.unionByName(chosen)
-    return out.withColumn("reading", F.element_at(F.array(*[F.lit(k) for k in KINDS]), F.col("__kind") + 1)).drop("__kind")
+    u = _likelihoods(near, spread)
+
+    def chosen(read: DataFrame, weight: Column) -> DataFrame:
+        staged = read.withColumn("__w", weight).withColumns({f"__u{i}": x for i, x in enumerate(u)})
+        staged = staged.withColumns({f"__e{i}": F.col(f"__u{i}") * (F.col("__w") if i < 2 else 1 - F.col("__w")) for i in range(4)}).withColumn("__top", F.greatest(*[f"__e{i}" for i in range(4)]))
+        at = F.when(F.col("__top") <= 0, F.lit(None).cast("int"))
+        for i in range(4):
+            at = at.when(F.col(f"__e{i}") == F.col("__top"), i)
+        staged = staged.withColumn("__at", at)
+        pick = lambda stem: F.when(F.col("__at") == 0, F.col(f"{stem}0")).when(F.col("__at") == 1, F.col(f"{stem}1")).when(F.col("__at") == 2, F.col(f"{stem}2")).when(F.col("__at") == 3, F.col(f"{stem}3"))
+        share = lambda stem: pick(stem) / (F.col(f"{stem}0") + F.col(f"{stem}1") + F.col(f"{stem}2") + F.col(f"{stem}3"))
+        several = sum((F.col(f"__r{i}").isNotNull().cast("int") for i in range(4)), F.lit(0)) > 1
+        kind = F.col("__at") + F.when(F.col("__last") | (F.col("__at") >= 2), 2).otherwise(0)
+        posterior = F.when(F.col("__at").isNotNull(), share("__e"))
+        status = F.when(F.col("__at").isNull(), "unreadable").when(~several, "certain").when(share("__u") >= sure, "by evidence").when(posterior >= sure, "by mixture").otherwise("ambiguous")
+        added = {"utc_micros": pick("__r"), "reading": F.try_element_at(F.array(*[F.lit(k) for k in KINDS]), kind + 1), "posterior": posterior, "status": status}
+        return _apart(staged, **added).select(*df.columns, *added)
+
+    plain = chosen(with_readings(df.where(~two_orders), F.col(text), F.col(zone)), F.lit(0.5))
+    open_ = df.where(two_orders)
+    counted = open_.select(F.col(source).cast("string").alias("source"), surface.alias("surface"), F.col(text).alias("__text"), F.col(zone).alias("__of"), near.alias("__near"))
+    v = _likelihoods(F.col("__near"), spread)
+    counted = with_readings(counted, F.col("__text"), F.col("__of")).where("NOT __same").select("source", "surface", F.greatest(v[0], v[1]).alias("day"), F.greatest(v[2], v[3]).alias("month"))
+    counted = counted.where("day > 0 OR month > 0").select("source", "surface", (F.col("day") / F.greatest("month", F.lit(1 / _MOST_ODDS))).alias("odds"))
+    weights = format_mixtures(counted).select(F.col("source").alias("__s"), F.col("surface").alias("__f"), F.col("day_first").alias("__v"))
+    weighed = open_.withColumn("__surface", surface).join(weights, F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__surface") == F.col("__f")), "left")
+    return plain.unionByName(chosen(with_readings(weighed.drop("__s", "__f", "__surface"), F.col(text), F.col(zone)), F.coalesce("__v", F.lit(0.5))))
 
 
 def clock_seconds(text: Column) -> Column:
     """A clock as seconds from 00:00, hours past 24 kept; ``H:MM``, ``HHMM``, ``HH:MM:SS``, full-width and Japanese marks. Null if unreadable."""
-    pattern = r"^(\d{1,2}):?(\d{2})(?::?(\d{2}))?$"
-    t = plain_text(text)
-    h, m, s = (_number(t, pattern, i) for i in (1, 2, 3))
-    return F.when((m < 60) & (F.coalesce(s, F.lit(0)) < 60), h * 3600 + m * 60 + F.coalesce(s, F.lit(0)))
+    part = F.split(F.regexp_replace(plain_text(text), r"^(\d{1,2}):?(\d{2})(?::?(\d{2}))?$", "$1|$2|$3"), r"\|")
+    h, m, s = (F.try_element_at(part, F.lit(i)).try_cast("int") for i in (1, 2, 3))
+    return F.when((F.size(part) == 3) & (m < 60) & (F.coalesce(s, F.lit(0)) < 60), h * 3600 + m * 60 + F.coalesce(s, F.lit(0)))
 
 
 def running_clock(clocks: Column) -> Column:

@@ -10,6 +10,9 @@ from tidetable.session import broadcast_if_small, load
 
 MESSAGE = ["city", "trip_uid", "stop_id", "stop_sequence", "arr_pred_ts_utc", "dep_pred_ts_utc", "arr_delay_sec", "dep_delay_sec", "schedule_relationship", "stu_schedule_relationship"]
 ROUTE_STATE = ["agency_id", "route_short_name", "route_long_name", "route_type", "route_color"]
+#: Seconds of further distance from the feed's time that cost a reading a factor of e. So short, the nearest reading always wins, as the problem
+#: asks, and the mixture only settles what the feed's time leaves open.
+SPREAD = 0.001
 ROUTE_KNOWN = ["route_key", "agency_id", "route_short_name", "route_long_name", "route_type", "mode", "route_color"]
 
 
@@ -48,19 +51,25 @@ def read_envelopes(spark: SparkSession, sf_dir: str, columns: list[str]) -> Data
 def arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per delivered vehicle record: endpoint, vehicle as ``record``, own time, arrival."""
     read = read_envelopes(spark, sf_dir, ["payload"]).withColumn("payload", F.transform(F.col("payload"), lambda x: F.struct(x["vehicle_id"].alias("vehicle_id"), x["timestamp"].alias("timestamp"))))
-    read = timestamps.normalise(read, "fetched_at", "zone", "endpoint", "near").where("utc_micros IS NOT NULL")
+    read = timestamps.normalise(read, "fetched_at", "zone", "endpoint", "near", spread=SPREAD).where("utc_micros IS NOT NULL")
     return read.select("endpoint", "feed_ts", "utc_micros", F.explode("payload").alias("x")).select(
         "endpoint", F.col("x.vehicle_id").alias("record"), F.coalesce("x.timestamp", "feed_ts").alias("event_s"), F.col("utc_micros").alias("arrival_us"))
 
 
 def p4_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cells = late.triangle(arrivals(spark, sf_dir), "endpoint", length=3600, step=600, cutoff=7200)
-    return spark.sql("SELECT DISTINCT endpoint, period_start AS hour_start FROM {cells} WHERE arrival_period > 1", cells=cells)
+    revisions = p4_revisions(spark, sf_dir)
+    # the count that stood ten minutes after the hour's end was put right later
+    return late.corrected(revisions, "endpoint", after=1).select("endpoint", F.col("period_start").alias("hour_start"))
 
 
 def p4_revisions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every corrected hourly count per endpoint within the cut-off."""
-    return late.revisions(late.triangle(arrivals(spark, sf_dir), "endpoint", length=3600, step=600, cutoff=7200), "endpoint")
+    return late.revisions(p4_cells(spark, sf_dir), "endpoint")
+
+
+def p4_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The triangle itself: arrivals per endpoint, hour and ten minutes of lateness."""
+    return late.triangle(arrivals(spark, sf_dir), "endpoint", length=3600, step=600, cutoff=7200)
 
 
 def listed_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -87,19 +96,29 @@ def p7_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     texts = sent.select(F.lit("envelope").alias("src"), F.col("envelope_id").alias("record_id"), F.col("fetched_at").alias("text"), "zone", F.col("endpoint").alias("source"), "near", F.lit(None).cast("array<string>").alias("clocks")).unionByName(
         table.select(F.lit("timetable").alias("src"), F.col("timetable_id").alias("record_id"), F.col("dc_date").alias("text"), F.lit("Asia/Tokyo").alias("zone"), F.lit("timetable").alias("source"), F.lit(None).cast("bigint").alias("near"),
                      F.col("odpt_train_timetable_object.departure_time").alias("clocks")))
-    read = timestamps.normalise(texts, "text", "zone", "source", "near").where("utc_micros IS NOT NULL")
+    read = timestamps.normalise(texts, "text", "zone", "source", "near", spread=SPREAD).where("utc_micros IS NOT NULL")
     day = F.unix_date(F.to_date(F.from_utc_timestamp(F.timestamp_micros("utc_micros"), "Asia/Tokyo"))).cast("bigint") * timestamps.DAY
     # the value itself as item 0, then the list's clocks on the local day
-    stops = F.transform(timestamps.running_clock(F.col("clocks")), lambda x: F.struct(x["item"].alias("item_no"), timestamps.local_instants(day + x["seconds"] * 1_000_000, F.lit("Asia/Tokyo"))[0].alias("utc_micros")))
-    own = F.array(F.struct(F.lit(0).alias("item_no"), F.col("utc_micros").alias("utc_micros")))
-    items = read.withColumn("items", F.concat(own, F.coalesce(stops, F.expr("cast(array() as array<struct<item_no int, utc_micros bigint>>)"))))
-    return items.select("src", "record_id", F.inline("items"))
+    own = F.array(F.struct(F.lit(0).alias("item"), F.lit(None).cast("bigint").alias("seconds")))
+    stops = F.coalesce(timestamps.running_clock(F.col("clocks")), F.expr("cast(array() as array<struct<item int, seconds bigint>>)"))
+    items = read.select("src", "record_id", "utc_micros", day.alias("day"), F.inline(F.concat(own, stops)))
+    local = F.col("day") + F.col("seconds") * 1_000_000
+    micros = F.when(F.col("item") == 0, F.col("utc_micros")).otherwise(timestamps.local_instants(local, F.lit("Asia/Tokyo"))[0])
+    return items.select("src", "record_id", F.col("item").alias("item_no"), micros.alias("utc_micros"))
 
 
 def p7_status(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How the fetch times were read, by status and reading."""
-    sent = timestamps.normalise(read_envelopes(spark, sf_dir, ["envelope_id"]), "fetched_at", "zone", "endpoint", "near")
+    sent = timestamps.normalise(read_envelopes(spark, sf_dir, ["envelope_id"]), "fetched_at", "zone", "endpoint", "near", spread=SPREAD)
     return sent.groupBy("status", "reading").agg(F.count(F.lit(1)).alias("n"))
 
 
-QUERIES = {f.__name__: f for f in (p2_found, p2_kept, p3_found, p3_attributes, p4_found, p4_revisions, p6_found, p6_history, p7_found, p7_status)}
+def p7_by_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fetch times whose day and month the mixture of their city decides, without the feed's time, and how many of them the feed's time reads alike."""
+    sent = timestamps.normalise(read_envelopes(spark, sf_dir, ["envelope_id"]), "fetched_at", "zone", "city")
+    sent = sent.where("status IN ('by mixture', 'ambiguous') AND reading IN ('day_first', 'month_first')").withColumnsRenamed({"utc_micros": "alone", "reading": "by_mixture"})
+    both = timestamps.normalise(sent, "fetched_at", "zone", "endpoint", "near", spread=SPREAD)
+    return both.groupBy("city", F.col("by_mixture").alias("reading")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("alone") == F.col("utc_micros")).alias("as_by_evidence"))
+
+
+QUERIES = {f.__name__: f for f in (p2_found, p2_kept, p3_found, p3_attributes, p4_found, p4_revisions, p4_cells, p6_found, p6_history, p7_found, p7_status, p7_by_mixture)}

@@ -33,25 +33,27 @@ count(r.route_color) AS with_color FROM {_VALID} GROUP BY 1, 2, 3""",
 FROM periods WHERE here""",
 }
 
-# Every reading of every text: (id, feed_ts, micros). ``texts`` holds id, txt, tz and feed_ts.
+# Every reading of every text: (id, feed_ts, micros, k), k being 0 written order, 2 day first, 4 month first, and 1 more for the later of two
+# instants. ``texts`` holds id, txt, tz and feed_ts.
 _READ = r"""
 t AS (SELECT id, tz, feed_ts, upper(trim(translate(regexp_replace(translate(txt, '０１２３４５６７８９：', '0123456789:'), '^\s+|\s+$', '', 'g'), '年月日時分', '-- :'))) AS t FROM texts WHERE txt IS NOT NULL),
 days AS (
-SELECT id, tz, feed_ts, regexp_extract(t, '^(\d{4})[-/]?(\d{1,2})[-/]?(\d{1,2})[T ]+(.*)$', ['y', 'm', 'd', 'rest']) AS p FROM t WHERE regexp_matches(t, '^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{8})[T ]')
-UNION ALL SELECT id, tz, feed_ts, regexp_extract(t, '^(\d{1,2})[./](\d{1,2})[./](\d{4}) (.*)$', ['d', 'm', 'y', 'rest']) FROM t WHERE regexp_matches(t, '^\d{1,2}[./]\d{1,2}[./]\d{4} ')
-UNION ALL SELECT id, tz, feed_ts, regexp_extract(t, '^(\d{1,2})/(\d{1,2})/(\d{4}) (.*)$', ['m', 'd', 'y', 'rest']) FROM t WHERE regexp_matches(t, '^\d{1,2}/\d{1,2}/\d{4} ')
-UNION ALL SELECT id, tz, feed_ts, struct_pack(d := p.d, m := CAST((instr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', p.mon) + 2) // 3 AS VARCHAR), y := p.y, rest := p.rest) FROM
+SELECT id, tz, feed_ts, 0 AS k, regexp_extract(t, '^(\d{4})[-/]?(\d{1,2})[-/]?(\d{1,2})[T ]+(.*)$', ['y', 'm', 'd', 'rest']) AS p FROM t WHERE regexp_matches(t, '^(\d{4}[-/]\d{1,2}[-/]\d{1,2}|\d{8})[T ]')
+UNION ALL SELECT id, tz, feed_ts, 2, regexp_extract(t, '^(\d{1,2})[./](\d{1,2})[./](\d{4}) (.*)$', ['d', 'm', 'y', 'rest']) FROM t WHERE regexp_matches(t, '^\d{1,2}[./]\d{1,2}[./]\d{4} ')
+UNION ALL SELECT id, tz, feed_ts, 4, regexp_extract(t, '^(\d{1,2})/(\d{1,2})/(\d{4}) (.*)$', ['m', 'd', 'y', 'rest']) FROM t WHERE regexp_matches(t, '^\d{1,2}/\d{1,2}/\d{4} ')
+UNION ALL SELECT id, tz, feed_ts, 0, struct_pack(d := p.d, m := CAST((instr('JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC', p.mon) + 2) // 3 AS VARCHAR), y := p.y, rest := p.rest) FROM
   (SELECT id, tz, feed_ts, regexp_extract(t, '^[A-Z]{3}, (\d{1,2}) ([A-Z]{3}) (\d{4}) (.*)$', ['d', 'mon', 'y', 'rest']) AS p FROM t WHERE regexp_matches(t, '^[A-Z]{3}, '))),
-clocks AS (SELECT id, tz, feed_ts, p.y AS y, p.m AS m, p.d AS d, regexp_extract(p.rest, '^(\d{1,2}):?(\d{2})(?::?(\d{2}))?(?:\.(\d+))?\s*([AP]M)?\s*(Z|[+-]\d{2}:?\d{2}|[A-Z]{3,4})?(?:\[.*\])?$', ['h', 'mi', 's', 'f', 'half', 'zone']) AS c FROM days
+clocks AS (SELECT id, tz, feed_ts, k, p.y AS y, p.m AS m, p.d AS d, regexp_extract(p.rest, '^(\d{1,2}):?(\d{2})(?::?(\d{2}))?(?:\.(\d+))?\s*([AP]M)?\s*(Z|[+-]\d{2}:?\d{2}|[A-Z]{3,4})?(?:\[.*\])?$', ['h', 'mi', 's', 'f', 'half', 'zone']) AS c FROM days
 WHERE regexp_matches(p.rest, '^(\d{1,2}):?(\d{2})(?::?(\d{2}))?(?:\.(\d+))?\s*([AP]M)?\s*(Z|[+-]\d{2}:?\d{2}|[A-Z]{3,4})?(?:\[.*\])?$')),
-locals AS (SELECT id, tz, feed_ts, nullif(c.zone, '') AS zone, epoch_us(TRY_CAST(y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') || ' ' || lpad(CAST(CASE c.half WHEN 'PM' THEN CAST(c.h AS INT) % 12 + 12 WHEN 'AM' THEN CAST(c.h AS INT) % 12 ELSE CAST(c.h AS INT) END AS VARCHAR), 2, '0')
+locals AS (SELECT id, tz, feed_ts, k, nullif(c.zone, '') AS zone, epoch_us(TRY_CAST(y || '-' || lpad(m, 2, '0') || '-' || lpad(d, 2, '0') || ' ' || lpad(CAST(CASE c.half WHEN 'PM' THEN CAST(c.h AS INT) % 12 + 12 WHEN 'AM' THEN CAST(c.h AS INT) % 12 ELSE CAST(c.h AS INT) END AS VARCHAR), 2, '0')
 || ':' || c.mi || ':' || CASE c.s WHEN '' THEN '00' ELSE c.s END AS TIMESTAMP)) + CAST(rpad(c.f, 6, '0')[:6] AS BIGINT) AS l FROM clocks),
 offsets AS (SELECT *, CASE WHEN zone IN ('Z', 'GMT') THEN 0 WHEN zone LIKE '+%' OR zone LIKE '-%' THEN (CASE WHEN zone LIKE '-%' THEN -1 ELSE 1 END) * (CAST(zone[2:3] AS INT) * 3600 + CAST(zone[-2:] AS INT) * 60)
 ELSE map {'PST': -28800, 'PDT': -25200, 'EST': -18000, 'EDT': -14400, 'NST': -12600, 'NDT': -9000, 'IST': 19800, 'JST': 32400, 'LHST': 37800, 'LHDT': 39600, 'EET': 7200, 'EEST': 10800, 'CET': 3600, 'CEST': 7200}[zone] END AS o FROM locals WHERE l IS NOT NULL),
 pairs AS (SELECT *, 2 * l - 86400000000 - epoch_us(timezone(tz, make_timestamptz(l - 86400000000))) AS one, 2 * l + 86400000000 - epoch_us(timezone(tz, make_timestamptz(l + 86400000000))) AS two FROM offsets WHERE o IS NULL),
 valid AS (SELECT *, epoch_us(timezone(tz, make_timestamptz(one))) = l AS one_ok, epoch_us(timezone(tz, make_timestamptz(two))) = l AS two_ok FROM pairs),
-readings AS (SELECT id, feed_ts, l - CAST(o AS BIGINT) * 1000000 AS micros FROM offsets WHERE o IS NOT NULL UNION SELECT id, feed_ts, one FROM valid WHERE one_ok OR NOT two_ok UNION SELECT id, feed_ts, two FROM valid WHERE two_ok
-UNION SELECT id, feed_ts, CAST(t AS BIGINT) * 1000 FROM t WHERE regexp_matches(t, '^\d{13}$') UNION SELECT id, feed_ts, CAST(split_part(t, '.', 1) AS BIGINT) * 1000000 + CAST(rpad(split_part(t, '.', 2), 6, '0')[:6] AS BIGINT) FROM t WHERE regexp_matches(t, '^\d{10}(\.\d+)?$')),
+readings AS (SELECT id, feed_ts, micros, min(k) AS k FROM (SELECT id, feed_ts, l - CAST(o AS BIGINT) * 1000000 AS micros, k FROM offsets WHERE o IS NOT NULL
+UNION ALL SELECT id, feed_ts, one, k + CASE WHEN one_ok AND two_ok AND one > two THEN 1 ELSE 0 END FROM valid WHERE one_ok OR NOT two_ok UNION ALL SELECT id, feed_ts, two, k + CASE WHEN one_ok AND two > one THEN 1 ELSE 0 END FROM valid WHERE two_ok
+UNION ALL SELECT id, feed_ts, CAST(t AS BIGINT) * 1000, 0 FROM t WHERE regexp_matches(t, '^\d{13}$') UNION ALL SELECT id, feed_ts, CAST(split_part(t, '.', 1) AS BIGINT) * 1000000 + CAST(rpad(split_part(t, '.', 2), 6, '0')[:6] AS BIGINT), 0 FROM t WHERE regexp_matches(t, '^\d{10}(\.\d+)?$')) GROUP BY 1, 2, 3),
 instants AS (SELECT id, arg_min(micros, (coalesce(abs(micros - feed_ts * 1000000), 0), micros)) AS micros FROM readings GROUP BY id)"""
 
 _TEXTS = r"""texts AS (SELECT envelope_id AS id, fetched_at AS txt, iana_tz AS tz, feed_ts FROM envelope LEFT JOIN dim_city ON city_key = city
@@ -70,9 +72,22 @@ firsts AS (SELECT endpoint, x.vehicle_id AS v, coalesce(x.timestamp, feed_ts) AS
 arrived AS (SELECT endpoint, CAST(floor(e / 3600.0) * 3600 AS BIGINT) AS h, greatest(0, CAST(ceil((a - (floor(e / 3600.0) + 1) * 3600000000) / 600000000.0) AS BIGINT)) AS k FROM firsts),
 cells AS (SELECT endpoint, h, k, count(*) AS n FROM arrived WHERE k <= 12 GROUP BY 1, 2, 3)"""
 
+_KIND = "CASE {0} WHEN 0 THEN 'plain' WHEN 1 THEN 'plain_later' WHEN 2 THEN 'day_first' WHEN 3 THEN 'day_first_later' WHEN 4 THEN 'month_first' WHEN 5 THEN 'month_first_later' END"
+# Of the undecided dates in two orders, the order that most dates of the same spelling prove, and how often it is the one nearest the feed's time.
+_ORDERS = r"""
+proof AS (SELECT txt LIKE '%M' AS half, CAST(regexp_extract(txt, '^(\d{1,2})/(\d{1,2})/', 1) AS INT) > 12 AS day_first FROM envelope_texts WHERE regexp_matches(txt, '^(1[3-9]|[23]\d)/\d{1,2}/|^\d{1,2}/(1[3-9]|[23]\d)/')),
+learned AS (SELECT half, CASE WHEN count(*) FILTER (WHERE day_first) * 2 > count(*) THEN 2 ELSE 4 END AS base FROM proof GROUP BY 1),
+open_ids AS (SELECT id FROM readings WHERE k >= 2 GROUP BY 1 HAVING count(DISTINCT micros) > 1 AND count(DISTINCT k // 2) > 1)"""
+
 ORACLES |= {
+    "p7_status": f"""WITH {_TEXTS}, {_READ}, picked AS (SELECT r.id, any_value(r.k) FILTER (WHERE r.micros = i.micros) AS k, count(*) AS several FROM readings r JOIN instants i ON i.id = r.id GROUP BY 1)
+SELECT CASE WHEN several IS NULL THEN 'unreadable' WHEN several > 1 THEN 'by evidence' ELSE 'certain' END AS status, {_KIND.format("k")} AS reading, count(*) AS n FROM envelope LEFT JOIN picked ON id = envelope_id GROUP BY 1, 2""",
+    "p7_by_mixture": f"""WITH {_TEXTS}, {_READ}, envelope_texts AS (SELECT upper(trim(txt)) AS txt FROM texts WHERE id > 0), {_ORDERS}
+SELECT city, {_KIND.format("base")} AS reading, count(*) AS n, count(*) FILTER (WHERE first = i.micros) AS as_by_evidence FROM envelope e JOIN open_ids o ON o.id = envelope_id JOIN learned ON half = (upper(trim(fetched_at)) LIKE '%M')
+JOIN (SELECT id, min(micros) FILTER (WHERE k = 2) AS d, min(micros) FILTER (WHERE k = 4) AS m FROM readings GROUP BY 1) r ON r.id = envelope_id JOIN instants i ON i.id = envelope_id, LATERAL (SELECT CASE WHEN base = 2 THEN d ELSE m END AS first) GROUP BY 1, 2""",
     "p6_history": f"""{_HISTORY} SELECT md5(concat_ws('|', p.city, p.route_id, strftime(d, '%Y-%m-%d'))) AS route_key, p.city AS city_key, p.route_id, s.agency_id, s.route_short_name, s.route_long_name, s.route_type, s.route_color, d AS valid_from, until AS valid_to,
 until IS NULL AS is_current, p.gtfs_version_id FROM periods p JOIN (SELECT DISTINCT * FROM gtfs_static_routes) s ON s.city = p.city AND s.route_id = p.route_id AND s.gtfs_version_id = p.gtfs_version_id WHERE here""",
+    "p4_cells": f"WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT endpoint, h AS period_start, k AS arrival_period, n AS arrived FROM cells",
     "p4_found": f"WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT DISTINCT endpoint, h AS hour_start FROM cells WHERE k > 1",
     "p4_revisions": f"""WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT endpoint, h AS period_start, k AS arrival_period, n AS arrived, CAST(sum(n) OVER (PARTITION BY endpoint, h ORDER BY k ROWS UNBOUNDED PRECEDING) AS BIGINT) AS total,
 CAST(row_number() OVER (PARTITION BY endpoint, h ORDER BY k) AS INT) AS revision, k = max(k) OVER (PARTITION BY endpoint, h) AS is_final FROM cells""",
