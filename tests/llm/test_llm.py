@@ -82,9 +82,28 @@ def test_bucket_error_order_and_merge(spark):
         assert got == pytest.approx(exact, rel=0.02)
 
 
+def test_buckets_of_the_least_and_greatest_doubles(spark):
+    values = [float("-inf"), -1.7976931348623157e308, -1e-300, -5e-324, 0.0, 5e-324, 2.3e-308, 1e-9, 1.0, 1e300, 1.7976931348623157e308, float("inf")]
+    df = spark.createDataFrame([(v,) for v in [*values, float("nan"), None]], "v double")
+    b = df.select("v", percentiles.bucket(F.col("v")).alias("b")).withColumn("x", percentiles.bucket_value(F.col("b"))).collect()
+    assert [r.b for r in b[len(values):]] == [None, None] and [r.b for r in b[:len(values)]] == sorted({r.b for r in b[:len(values)]})
+    assert all(r.x == r.v or abs(r.x / r.v - 1) <= percentiles.ACCURACY * 1.001 for r in b[:len(values)] if abs(r.v or 1) > 1e-300)
+    top = percentiles.percentiles(percentiles.sketch(df, [], "v"), [], {"p0": 0.0, "p100": 1.0}).collect()[0]
+    assert (top.n, top.p0, top.p100) == (len(values), float("-inf"), float("inf"))
+
+
+def test_key_marks_lose_no_partner(spark):
+    keys = spark.range(1000).select(F.when(F.col("id") % 50 > 0, F.concat(F.lit("k"), F.col("id"))).alias("a"), (F.col("id") % 7).alias("b"))
+    rows = spark.range(20_000).select(F.when(F.col("id") % 50 > 0, F.concat(F.lit("k"), F.col("id"))).alias("a"), (F.col("id") % 7).alias("b"))
+    kept = rows.where(percentiles.key_marks(keys, ["a", "b"]))
+    found = kept.join(keys.distinct(), rows["a"].eqNullSafe(keys["a"]) & (rows["b"] == keys["b"]), "left_semi").count()
+    assert found == rows.where("a IS NULL OR CAST(substr(a, 2) AS INT) < 1000").count() and kept.count() < 2000
+    assert rows.where(percentiles.key_marks(keys.where("false"), ["a", "b"])).count() == 0
+
+
 def test_percentiles_of_nulls_and_empty(spark):
     df = spark.createDataFrame([("a", None), (None, 5.0), (None, float("nan"))], "k string, v double")
-    out = percentiles.percentiles(percentiles.sketch(df.where("NOT isnan(v)"), ["k"], "v"), ["k"], {"p": 0.5}).collect()
+    out = percentiles.percentiles(percentiles.sketch(df, ["k"], "v"), ["k"], {"p": 0.5}).collect()
     assert [(r.k, r.n) for r in out] == [(None, 1)]
     assert percentiles.percentiles(percentiles.sketch(df.where("false"), ["k"], "v"), ["k"], {"p": 0.5}).count() == 0
 

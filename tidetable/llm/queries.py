@@ -44,23 +44,28 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = percentiles.rank_bounds(percentiles.sketch(delays, ROUTE_DAY, "delay_arr_sec"), stated, ROUTE_DAY, "p90_delay_sec").where("n > 0")
     b = b.withColumn("wrong", (F.col("below_least") > 0.95 * F.col("n")) | (F.col("upto_most") < 0.85 * F.col("n")))
     b = b.withColumn("open", ~F.col("wrong") & ((F.col("below_most") > 0.95 * F.col("n")) | (F.col("upto_least") < 0.85 * F.col("n"))))
-    # route-days whose own bucket straddles a line are counted exactly, over their own events alone
-    undecided = b.where("open").select("route_day_key", *[F.col(c).alias(f"_{c}") for c in ROUTE_DAY], "p90_delay_sec", F.col("n").alias("_n"))
-    same = [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in ROUTE_DAY]
-    exact = delays.where("delay_arr_sec IS NOT NULL").join(undecided, same[0] & same[1] & same[2] & same[3]).groupBy("route_day_key").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if(F.col("delay_arr_sec") < F.col("p90_delay_sec")).alias("below"), F.count_if(F.col("delay_arr_sec") <= F.col("p90_delay_sec")).alias("upto"))
-    return b.where("wrong").select("route_day_key").unionByName(exact.where("below > 0.95 * n OR upto < 0.85 * n").select("route_day_key"))
+    # route-days whose own bucket straddles a line are counted exactly: their own bucket's values alone, equal ones combined before the shuffle
+    same = [*ROUTE_DAY, "at"]
+    undecided = b.where("open").select("route_day_key", *same, "p90_delay_sec", "n", F.col("below_least").alias("below"), F.col("upto_least").alias("upto"))
+    own = delays.where("delay_arr_sec IS NOT NULL").withColumn("at", percentiles.bucket(F.col("delay_arr_sec")))
+    own = own.where(percentiles.key_marks(undecided, same)).groupBy(*same, "delay_arr_sec").agg(F.count(F.lit(1)).alias("c"))
+    on = F.lit(True)
+    for c in same:
+        on = on & own[c].eqNullSafe(undecided[c])
+    x, v = F.col("delay_arr_sec"), F.col("p90_delay_sec")
+    exact = undecided.join(own, on).groupBy("route_day_key", "n", "below", "upto").agg(F.sum(F.when(x < v, F.col("c")).otherwise(0)).alias("b"), F.sum(F.when(x <= v, F.col("c")).otherwise(0)).alias("u"))
+    return b.where("wrong").select("route_day_key").unionByName(exact.where("below + b > 0.95 * n OR upto + u < 0.85 * n").select("route_day_key"))
 
 
 def p5_city_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentiles of each city over all days, from the route-days' sketches put together."""
     days = percentiles.sketch(_delays(spark, sf_dir), ROUTE_DAY, "delay_arr_sec")
-    return percentiles.percentiles(percentiles.merge(days, ["city_key"]), ["city_key"], SHARES)
+    return percentiles.percentiles(percentiles.merge(days, ["city_key"]), ["city_key"], SHARES).select("city_key", "n", *[F.round(p, 6).alias(p) for p in SHARES])
 
 
 def p5_route_day_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Percentiles of each route-day."""
-    return percentiles.percentiles(percentiles.sketch(_delays(spark, sf_dir), ROUTE_DAY, "delay_arr_sec"), ROUTE_DAY, SHARES)
+    return percentiles.percentiles(percentiles.sketch(_delays(spark, sf_dir), ROUTE_DAY, "delay_arr_sec"), ROUTE_DAY, SHARES).select(*ROUTE_DAY, "n", *[F.round(p, 6).alias(p) for p in SHARES])
 
 
 def p5_within_bound(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,6 +119,9 @@ m AS (SELECT trip_uid, trip_id, abs(sec - origin) AS d, row_number() OVER (PARTI
       FROM rt JOIN st ON rt.city = st.city AND rt.route_id = st.route_id AND (rt.direction_id = st.direction_id OR rt.direction_id IS NULL OR st.direction_id IS NULL)
       WHERE abs(sec - origin) <= 300)
 """
+#: The value that stands for the bucket of the exact percentile.
+_STANDS = "round(CASE WHEN {0} = 0 THEN 0 ELSE sign({0}) * exp(ceil(ln(abs({0})) / ln(1.005 / 0.995)) * ln(1.005 / 0.995)) * 2 / (1 + 1.005 / 0.995) END, 6)"
+_SKETCHED = ", ".join(f"{_STANDS.format(f'quantile_disc(CAST(delay_arr_sec AS DOUBLE), {s})')} AS {p}" for p, s in SHARES.items())
 _EXACT = "CAST(quantile_disc(delay_arr_sec, {}) AS INT)"
 ORACLES = {
     "p1_found": f"{_MATCHES} SELECT trip_uid, trip_id AS static_trip_id FROM m WHERE rn = 1",
@@ -121,6 +129,8 @@ ORACLES = {
     "p5_found": """SELECT route_day_key FROM fct_route_reliability_daily f JOIN fct_stop_events e ON e.city_key = f.city_key AND e.service_date = f.service_date AND e.route_id IS NOT DISTINCT FROM f.route_id
 AND coalesce(e.direction_id, -1) = f.direction_id WHERE f.p90_delay_sec IS NOT NULL AND e.delay_arr_sec IS NOT NULL GROUP BY route_day_key
 HAVING count(*) FILTER (WHERE e.delay_arr_sec < f.p90_delay_sec) > 0.95 * count(*) OR count(*) FILTER (WHERE e.delay_arr_sec <= f.p90_delay_sec) < 0.85 * count(*)""",
+    "p5_city_percentiles": f"SELECT city_key, count(*) AS n, {_SKETCHED} FROM fct_stop_events WHERE delay_arr_sec IS NOT NULL GROUP BY 1",
+    "p5_route_day_percentiles": f"SELECT city_key, service_date, route_id, coalesce(direction_id, -1) AS direction_id, count(*) AS n, {_SKETCHED} FROM fct_stop_events WHERE delay_arr_sec IS NOT NULL GROUP BY ALL",
     "p5_within_bound": f"""SELECT city_key, true AS within_bound, {_EXACT.format(0.5)} AS exact_p50, {_EXACT.format(0.9)} AS exact_p90, {_EXACT.format(0.95)} AS exact_p95, {_EXACT.format(0.99)} AS exact_p99
 FROM fct_stop_events WHERE delay_arr_sec IS NOT NULL GROUP BY city_key""",
 }
