@@ -243,15 +243,45 @@ def test_stuffed_pages_on_labelled_rows(spark, data):
 
 
 def test_features_of_a_very_long_text():
-    lang, values = stuffed.features("metro map compare " * 60_000)
-    assert values[stuffed.NAMES.index("stuffed_share")] > 0.9
+    lang, values = stuffed.features(["metro map compare " * 60_000, "x"])
+    assert values["stuffed_share"][0] > 0.9 and values["n_chars"][1] == 1
+
+
+def test_features_do_not_depend_on_the_texts_beside():
+    texts = [t for t in [*STUFFED, *GENUINE] if t and t.strip()] + [p + sep.join(words * 20) for p, sep, words in KEYWORDS]
+    lang, values = stuffed.features(texts)
+    for i, t in enumerate(texts):
+        own_lang, own = stuffed.features([t])
+        assert own_lang[0] == lang[i] and {n: v[0] for n, v in own.items()} == {n: v[i] for n, v in values.items()}
+
+
+def test_keywords_in_any_order_links_of_any_domain_and_other_languages(spark):
+    rng = random.Random(3)
+    en = "night bus ticket cheap fare metro map timetable coach pass online book station airport shuttle tram day discount rail travel deal price".split()
+    de = "Nachtbus Fahrkarte günstig Tarif Fahrplan Haltestelle Flughafen Shuttle Tageskarte Rabatt Bahn Reise Angebot Preis Zug Monatskarte online buchen Auskunft".split()
+    cases = [" ".join(rng.choice(en) for _ in range(n)) for n in (300, 80)] + [" ".join(rng.choice(de) for _ in range(300))]
+    cases += ["\n".join(f"best-fares{i}.io" for i in range(80)), " ".join(f"ticket{i}.shop/buy" for i in range(80)), "[" + "a very long anchor " * 30 + "](https://x.example/y) \n" * 1]
+    genuine = ["Tågen mellan stationerna är inställda på grund av ett signalfel och resenärer uppmanas att ta ersättningsbussen från torget istället. " * 3,
+               "Mr. Smith arrived at St.Peter on time.The bus left e.g. at 7 a.m. and the driver waved." * 3, "[" * 50_000]
+    df = spark.createDataFrame(list(enumerate([*cases, *genuine])), "doc_id int, text string")
+    assert sorted(r.doc_id for r in stuffed.stuffed_pages(df, "doc_id", "text").collect()) == list(range(len(cases)))
 
 
 def test_calibration_judges_by_the_rule_itself(spark):
-    # a link alone makes a case without any recurrence, a page of bare units none
-    texts = ["https://www.host.example/" + "fares" * 40, "\n".join("Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Iota Kappa".split()), PROSE * 3, STUFFED[0]]
+    texts = ["https://www.host.example/" + "fares" * 40, "\n".join("Alpha Beta Gamma Delta Epsilon Zeta Eta Theta Iota Kappa".split()), PROSE * 3, STUFFED[0], None]
     df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string")
     found = {r.doc_id for r in stuffed.stuffed_pages(df, "doc_id", "text").collect()}
-    labels = spark.createDataFrame([(i, int(i in found)) for i in range(4)], "doc_id int, stuffed int")
-    rows = [r for r in stuffed.calibration(df, labels, "doc_id", "text", "stuffed").collect() if r.ngram_limit == stuffed.NGRAM_LIMITS.get(r.page_lang, stuffed.NGRAM_LIMIT)]
-    assert 0 in found and 1 not in found and (sum(r.hits for r in rows), sum(r.false_alarms for r in rows), sum(r.misses for r in rows)) == (len(found), 0, 0)
+    labels = spark.createDataFrame([(i, int(i in found)) for i in range(5)], "doc_id int, stuffed int")
+    rows = stuffed.calibration(df, labels, "doc_id", "text", "stuffed").collect()
+    assert 0 in found and 1 not in found and (sum(r.hits for r in rows), sum(r.false_alarms for r in rows), sum(r.misses for r in rows), sum(r.n for r in rows)) == (len(found), 0, 0, 4)
+
+
+def test_limits_move_only_where_the_labels_ask_for_it(spark):
+    import pandas as pd
+
+    clear = {n: 0.0 for n in stuffed.NAMES} | {"function_share": 0.3, "prose_share": 0.4, "page_lang": "en"}
+    # in this language genuine pages recur a lot
+    recurring = clear | {"page_lang": "fi", "ngram_share": 0.4, "stuffed_share": 0.6, "label": 0}
+    rows = pd.DataFrame([clear | {"ngram_share": 0.5, "stuffed_share": 0.9, "prose_share": 0.1, "label": 1}, clear | {"ngram_share": 0.1, "label": 0}] * 20 + [recurring] * 20)
+    fitted = stuffed.fit_limits(rows)
+    assert set(fitted) == {"other", "fi"} and fitted["other"] == stuffed.LIMITS["other"] and set(fitted["fi"]) == {"ngram"} and 0.4 < fitted["fi"]["ngram"] <= 0.55

@@ -104,11 +104,17 @@ def p10_found(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def p10_calibration(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hits, false alarms and misses on the labelled rows by language and n-gram limit."""
+    """Hits, false alarms and misses on the labelled rows by language, on those the limits were fitted on and on the others."""
     return stuffed.calibration(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), "doc_id", "text", "stuffed")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_city_percentiles, p5_route_day_percentiles, p5_within_bound, p8_ids, p9_packed, p9_fill, p10_found, p10_calibration)}
+def p10_on_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled rows with text by label, and whether at least 98 % of the cases and at most 1 % of the others are found."""
+    found = stuffed.judged(load(spark, sf_dir, "documents"), load(spark, sf_dir, "labels"), "doc_id", "text", "stuffed").groupBy("label").agg(F.count(F.lit(1)).alias("n"), F.count_if("case").alias("f"))
+    return found.select(F.col("label").alias("stuffed"), "n", F.when(F.col("label") == 1, F.col("f") >= 0.98 * F.col("n")).otherwise(F.col("f") <= 0.01 * F.col("n")).alias("within_bound"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_city_percentiles, p5_route_day_percentiles, p5_within_bound, p8_ids, p9_packed, p9_fill, p10_found, p10_calibration, p10_on_labels)}
 
 _SECONDS = "CAST(split_part({0}, ':', 1) AS INT) * 3600 + CAST(split_part({0}, ':', 2) AS INT) * 60 + CAST(split_part({0}, ':', 3) AS INT)"
 _MATCHES = f"""
@@ -124,6 +130,7 @@ _STANDS = "round(CASE WHEN {0} = 0 THEN 0 ELSE sign({0}) * exp(ceil(ln(abs({0}))
 _SKETCHED = ", ".join(f"{_STANDS.format(f'quantile_disc(CAST(delay_arr_sec AS DOUBLE), {s})')} AS {p}" for p, s in SHARES.items())
 _EXACT = "CAST(quantile_disc(delay_arr_sec, {}) AS INT)"
 ORACLES = {
+    "p10_on_labels": "SELECT stuffed, count(*) AS n, true AS within_bound FROM labels JOIN documents USING (doc_id) WHERE regexp_matches(text, '\\S') GROUP BY 1",
     "p1_found": f"{_MATCHES} SELECT trip_uid, trip_id AS static_trip_id FROM m WHERE rn = 1",
     "p1_matches": f"{_MATCHES} SELECT trip_uid, trip_id AS static_trip_id, CAST(d AS BIGINT) AS distance, round(1 - d / 600.0, 4) AS match_confidence FROM m WHERE rn = 1",
     "p5_found": """SELECT route_day_key FROM fct_route_reliability_daily f JOIN fct_stop_events e ON e.city_key = f.city_key AND e.service_date = f.service_date AND e.route_id IS NOT DISTINCT FROM f.route_id

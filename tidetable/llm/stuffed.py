@@ -4,13 +4,16 @@ from __future__ import annotations
 
 import re
 import unicodedata
-from collections import Counter
 from collections.abc import Iterable, Iterator
 
+import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+#: Characters of text whose tokens are counted together; it bounds memory and changes no result.
+SLICE = 2_000_000
 #: Frequent function words of the corpus' languages; Japanese is judged by its particles and endings instead.
 FUNCTION_WORDS = {
     "en": "the a an of to in on at is was are were be been has have had it that this which and or but for from with by as not no if so than then they we you i he she his her its their our your will would can could should must may into after before until while because when where who about there did do does more all any each out up over between during",
@@ -22,177 +25,281 @@ FUNCTION_WORDS = {
 _LANGS = list(FUNCTION_WORDS)
 #: Positions in ``_LANGS`` of the languages that have the word.
 _OWNERS: dict[str, tuple[int, ...]] = {w: tuple(i for i, lang in enumerate(_LANGS) if w in set(FUNCTION_WORDS[lang].split())) for words in FUNCTION_WORDS.values() for w in words.split()}
-_PARTICLE = re.compile("[はがをにでもへやとのたすいるてなりれま]")
-_LINK = re.compile(r"\[[^\]\n]{0,200}\]\([^)\s]*\)|https?://\S+|www\.\S+|\b[\w-]+(?:\.[\w-]+)*\.(?:example|test|invalid|com|net|org|info)\b\S*|\[\d{1,3}\](?=\s|$|\|)", re.IGNORECASE)
+#: A link: markdown, with a scheme, ``www.``, a host name of any top-level domain in small letters, or a footnote mark at a cell's end.
+_LINK = re.compile(r"\[[^\[\]\n]*\]\([^)\s]*\)|https?://\S+|www\.\S+|(?<![\w@.-])[a-z0-9][\w-]+(?:\.[\w-]+)*\.[a-z]{2,}(?![\w-])(?:[/:?]\S*)?|\[\d{1,3}\](?=\s|$|\|)", re.ASCII)
 #: What every link holds; a text without it is spared the search for links.
-_MAYBE_LINK = re.compile(r"://|www\.|\]\(|\[\d|\.(?:example|test|invalid|com|net|org|info)", re.IGNORECASE)
-_TAG = re.compile(r"#\w+|\bSKU-\w+", re.IGNORECASE)
-_SEPARATOR = re.compile(r"[\n|•·;,、。»→/!?！？]+|(?<=[^\W\d])\.(?=\s|$)|\s-\s|\s[–—]\s")
-_DATUM = re.compile(r"(?<!\d)\d{1,2}[:h][0-5]\d(?!\d)|\d+[.,]\d+|[+-]\d+ s\b|^\s*\d{1,2}[.)]\s", re.MULTILINE)
-_WORD = re.compile(r"[^\W_]+", re.UNICODE)
-_HIDDEN = re.compile("[​-‏⁠﻿­]")
-_DIGIT = re.compile(r"\d")
-_SENTENCES = re.compile(r"[.。!?][\s ]")
-_EAST = re.compile("[゠-ヿ]+|[㐀-鿿]|[぀-ゟ]|[a-z0-9]+")
+_MAYBE_LINK = re.compile(r"://|www\.|\]\(|\[\d|[a-z0-9]\.[a-z]{2}")
+_TAG = re.compile(r"#\w+|\bsku-\w+")
+_HIDDEN = re.compile("[\u200b-\u200f\u2060\ufeff\u00ad]")
+_LEET_WORD = re.compile(r"(?<![\w@$])(?=[\w@$]*[a-z])(?=[\w@$]*[0134$@57])[a-z0-9@$]{3,}(?![\w@$])")
 _LEET = str.maketrans("013457@$", "oieastas")
-_CJK = re.compile("[぀-ヿ㐀-鿿]")
+_MAYBE_LEET = re.compile(r"[a-z][\d@$]|[\d@$][a-z]")
+_CJK = re.compile("[\u3040-\u30ff\u3400-\u9fff]")
+#: Tokens: data (clocks, decimals, deviations, leading numbers), words, and separators; in Japanese words are runs of katakana and single other characters.
+_DATUM = r"(?<!\d)\d{1,2}[:h][0-5]\d(?!\d)|\d+[.,]\d+|[+-]\d+ s\b|^\s*\d{1,2}[.)](?=\s)"
+_SEPARATOR = r"[\n|•·;,、。»→/!?！？]+|(?<=[^\W\d])\.(?=\s|$)|\s[-–—](?=\s)"
+_TOKEN = re.compile(rf"{_DATUM}|[^\W_]+|{_SEPARATOR}", re.MULTILINE)
+_EAST = re.compile(rf"{_DATUM}|[\u30a0-\u30ff]+|[\u3040-\u309f\u3400-\u9fff]|[^\W_\u3040-\u30ff\u3400-\u9fff]+|{_SEPARATOR}", re.MULTILINE)
+_IS_DATUM = re.compile(r"\d{1,2}[:h][0-5]\d$|\d+[.,]\d+$|[+-]\d+ s$|\s*\d{1,2}[.)]$")
+_IS_WORD = re.compile(r"[^\W_]+$")
+_PARTICLES = frozenset("はがをにでもへやとのたすいるてなりれま")
 
 
-def plain(text: str) -> str:
-    """NFKC in lower case without invisible characters; digits and signs inside words read as the letters they stand for."""
-    t = text.lower() if text.isascii() else _HIDDEN.sub("", unicodedata.normalize("NFKC", text)).lower()
-    if "@" in t or "$" in t or re.search(r"[a-z]\d[a-z]|\d[a-z]\d", t):
-        t = re.sub(r"(?<![\w@$])(?=[\w@$]*[a-z])(?=[\w@$]*[0134$@57])[a-z0-9@$]{3,}(?![\w@$])", lambda m: m[0].translate(_LEET) if len(re.findall(r"[a-z]", m[0])) >= len(m[0]) / 3 else m[0], t)
-    return t
+def plain(text: str) -> tuple[str, int, int]:
+    """A text in lower case under NFKC, without invisible characters, links and tags, in whose place ``|`` stands, digits and signs inside words read as the
+    letters they stand for; the characters of its links and tags, and their number."""
+    t = text if text.isascii() else _HIDDEN.sub("", unicodedata.normalize("NFKC", text))
+    found: list[str] = []
+    if _MAYBE_LINK.search(t):
+        found = _LINK.findall(t)
+        t = _LINK.sub(" | ", t) if found else t
+    t = t.lower()
+    if "#" in t or "sku-" in t:
+        tags = _TAG.findall(t)
+        found += tags
+        t = _TAG.sub(" | ", t) if tags else t
+    if _MAYBE_LEET.search(t):
+        t = _LEET_WORD.sub(lambda m: m[0].translate(_LEET) if 3 * sum(c.isalpha() for c in m[0]) >= len(m[0]) else m[0], t)
+    return t, sum(len(m) - m.count(" ") for m in found), len(found)
 
 
 NAMES = ("n_chars", "function_share", "top_word_share", "ngram_share", "duplicate_share", "link_share", "separator_density", "datum_share", "stuffed_share", "prose_share", "bare_share", "n_links", "n_units")
+LANGUAGES = [*_LANGS, "ja", "und"]
+#: Multiplier of the rolling hash that names a unit by its words.
+_ROLL = np.uint64(0x9E3779B97F4A7C15)
 
 
-def _is_datum(unit: str) -> bool:
-    return _DIGIT.search(unit) is not None and _DATUM.search(unit) is not None
+def _counts(*parts: np.ndarray, weight: np.ndarray | None = None) -> np.ndarray:
+    """Of each row, how many rows (or how much weight) agree with it in all parts, by a 64-bit hash of them."""
+    key = np.zeros(len(parts[0]), np.uint64)
+    for part in parts:
+        key = (key ^ part.astype(np.uint64)) * _ROLL
+        key ^= key >> np.uint64(29)
+    codes, _ = pd.factorize(key)
+    return np.bincount(codes, weights=weight)[codes] if len(codes) else np.zeros(0)
 
 
-def features(text: str | None) -> tuple[str, list[float]] | None:
-    """Language by function words and the features :data:`NAMES` of a whole text; None if null, empty or blank.
+def features(texts: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
+    """Language (index into :data:`LANGUAGES`) by function words and the features :data:`NAMES` of whole texts, none of them null, empty or blank.
 
-    Shares are of the text's characters, except those of words and n-grams. A text falls into links, tags and units between
-    separators: units with a clock, a decimal or a leading number (``datum_share``), units repeated often or whose word
-    pairs recur throughout the text without function words (``stuffed_share``), units with function words
-    (``prose_share``) and other short units without them (``bare_share``).
+    Each text is cut into tokens once; all counting runs over the tokens of all texts together, as arrays. Shares are of the
+    characters of words, links and tags, except those of words and n-grams. A text falls into links, tags and units between separators: units
+    with a clock, a decimal or a leading number (``datum_share``), units repeated often, whose word pairs recur throughout the text
+    or whose words do, without function words (``stuffed_share``), units with function words (``prose_share``) and other short units
+    without them (``bare_share``). A line of data without sentences is one unit. Repeats of units of more than eight words count
+    once in pairs and words, as whole sentences are repeated in genuine notices too.
     """
-    if text is None or not text.strip():
-        return None
-    t = plain(text)
-    total = max(1, len(t) - t.count(" ") - t.count("\n"))
-    links = _LINK.findall(t) if _MAYBE_LINK.search(t) else []
-    rest = _LINK.sub(" | ", t) if links else t
-    tags = _TAG.findall(rest) if "#" in rest or "sku-" in rest else []
-    rest = _TAG.sub(" | ", rest) if tags else rest
-    linked, some = sum(len(m) - m.count(" ") for m in links + tags), len(links) + len(tags)
-    units, separators = [], rest.count("\n")
-    for line in rest.split("\n"):
-        # a line of data is one unit; its commas and points are part of it
-        pieces = [line] if _is_datum(line) and not _SENTENCES.search(line) else _SEPARATOR.split(line)
-        separators += len(pieces) - 1
-        units += [u for u in pieces if u and not u.isspace()]
-    east = [not u.isascii() and _CJK.search(u) is not None for u in units]
-    words = [_EAST.findall(u) if e else _WORD.findall(u) for u, e in zip(units, east, strict=True)]
-    flat = [w for ws in words for w in ws]
-    owners, per_unit, hits = _OWNERS, [], [0] * len(_LANGS)
-    for ws in words:
-        mine, known = [0] * len(_LANGS), 0
-        for w in ws:
-            if w in owners:
-                known += 1
-                for i in owners[w]:
-                    mine[i] += 1
-                    hits[i] += 1
-        per_unit.append((mine, known))
-    kana = sum(len(_PARTICLE.findall(u)) for u, e in zip(units, east, strict=True) if e)
-    cjk = len(_CJK.findall(rest)) if any(east) else 0
-    lang = "ja" if cjk > 0.3 * max(1, sum(map(len, flat))) else _LANGS[max(range(len(_LANGS)), key=lambda i: (hits[i], _LANGS[i] == "en"))] if any(hits) else "und"
-    single, pairs, whole = Counter(flat), Counter(p for ws in words for p in zip(ws, ws[1:], strict=False)), Counter(tuple(ws) for ws in words)
-    n = max(1, len(flat))
-    often = max(3, 0.004 * n)
-    # a unit of one word has no pair; it counts as an n-gram of its own
-    alone = [ws[0] for ws in words if len(ws) == 1]
-    stuffed = prose = datum = doubled = bare = 0
-    for u, e, ws, (mine, known) in zip(units, east, words, per_unit, strict=True):
-        size = len(u) - u.count(" ") - u.count("\t")
-        if not ws:
-            continue
-        doubled += size * (whole[tuple(ws)] > 1)
-        if e:
-            functional = len(_PARTICLE.findall(u)) / max(1, len(_CJK.findall(u)))
-            full = functional >= 0.25
-        else:
-            functional = (max(mine) if lang in FUNCTION_WORDS else known) / len(ws)
-            full = functional >= 0.2 and len(ws) >= 4
-        recurring = sum(pairs[p] >= often for p in zip(ws, ws[1:], strict=False)) / (len(ws) - 1) if len(ws) > 1 else float(single[ws[0]] >= often)
-        if _is_datum(u):
-            datum += size
-        elif whole[tuple(ws)] >= 4 and len(ws) <= 8 and not (full and len(ws) > 5) or recurring >= 0.4 and functional < (0.15 if lang == "ja" else 0.3 if len(ws) < 10 else 0.2):
-            stuffed += size
-        elif full:
-            prose += size
-        elif functional < 0.3 and len(ws) <= 7:
-            bare += size
-    values = [float(len(text)), (kana / max(1, cjk) if lang == "ja" else (hits[_LANGS.index(lang)] if lang in FUNCTION_WORDS else 0) / n), max(single.values(), default=0) / n,
-              (sum(c for c in pairs.values() if c >= often) + sum(single[w] >= often for w in alone)) / max(1, sum(pairs.values()) + len(alone)), doubled / total, min(1.0, linked / total),
-              separators / total, datum / total, stuffed / total, prose / total, bare / total, float(some), float(len(units))]
-    return lang, values
-
-
-#: Least share of recurring n-grams (word pairs, and units of one word) by language, calibrated on the labelled rows of the small tables: what inflects or has
-#: few function words recurs more in prose; texts without any function word (und) need no recurrence beyond their units'.
-NGRAM_LIMITS = {"fi": 0.55, "ja": 0.5, "und": 0.0}
-NGRAM_LIMIT = 0.25
-#: Least share of the most frequent word by language, above that of every genuine labelled row of the small tables; it counts where function words
-#: are rarer than FUNCTION_LIMIT, as the most frequent word of prose is one of them.
-TOP_WORD_LIMITS = {"en": 0.35, "de": 0.25, "es": 0.25}
-TOP_WORD_LIMIT = 0.15
+    n_docs = len(texts)
+    linked, some, tokens, lens = np.zeros(n_docs), np.zeros(n_docs), [], np.zeros(n_docs, np.int64)
+    for i, text in enumerate(texts):
+        t, linked[i], some[i] = plain(text)
+        found = (_TOKEN if t.isascii() or not _CJK.search(t) else _EAST).findall(t)
+        lens[i] = len(found)
+        tokens += found
+    codes, uniques = pd.factorize(np.array(tokens, dtype=object)) if tokens else (np.zeros(0, np.int64), np.zeros(0, object))
+    word = np.array([_IS_WORD.match(u) is not None for u in uniques], bool)
+    datum_of = np.array([not w and _IS_DATUM.match(u) is not None for u, w in zip(uniques, word, strict=True)], bool)
+    newline_of = np.array([not w and not d and "\n" in u for u, w, d in zip(uniques, word, datum_of, strict=True)], bool)
+    stop_of = np.array([not w and u[0] in ".。!?！？" for u, w in zip(uniques, word, strict=True)], bool)
+    size_of = np.array([len(u.strip()) for u in uniques], np.float64)
+    owner_of = np.zeros((len(_LANGS), len(uniques)), bool)
+    for j, u in enumerate(uniques):
+        for i in _OWNERS.get(u, ()):
+            owner_of[i, j] = True
+    east_of = np.array([_CJK.match(u) is not None for u in uniques], bool)
+    particle_of = np.array([u in _PARTICLES for u in uniques], bool)
+
+    # lines and units
+    doc = np.repeat(np.arange(n_docs), lens)
+    starts = np.ones(len(doc), bool)
+    starts[1:] = doc[1:] != doc[:-1]
+    newline = newline_of[codes]
+    line = np.cumsum(starts | newline) - 1
+    separator = ~(word | datum_of)[codes]
+    last = np.ones(len(doc), bool)
+    last[:-1] = starts[1:] | newline[1:]
+    n_lines = int(line[-1]) + 1 if len(line) else 0
+    data = (np.bincount(line, weights=datum_of[codes], minlength=n_lines) > 0) & (np.bincount(line, weights=stop_of[codes] & ~last, minlength=n_lines) == 0)
+    separator &= newline | ~data[line]
+    unit = np.cumsum(starts | separator) - 1
+    separators = np.bincount(doc, weights=separator, minlength=n_docs)
+    keep = (word | datum_of)[codes]
+    w, d, u = codes[keep], doc[keep], unit[keep]
+    first = np.ones(len(u), bool)
+    first[1:] = u[1:] != u[:-1]
+    at = np.flatnonzero(first)
+    n_units = len(at)
+    k = np.cumsum(first) - 1
+    sums = lambda x: np.bincount(k, weights=x, minlength=n_units)
+    length, size, of = sums(None), sums(size_of[w]), d[at]
+    is_datum = sums(datum_of[w]) > 0
+    place = np.arange(len(u)) - at[k] if len(u) else np.zeros(0, np.int64)
+    powers = np.cumprod(np.full(int(place.max()) + 1 if len(u) else 1, _ROLL, np.uint64))
+    name = np.add.reduceat((w.astype(np.uint64) + np.uint64(1)) * powers[place], at) if n_units else np.zeros(0, np.uint64)
+    whole = _counts(of, name, length)
+    again = np.zeros(n_units, bool)
+    if n_units:
+        again = pd.DataFrame({"d": of, "n": name, "l": length}).duplicated().to_numpy()
+    once = np.where((again & (length > 8))[k], 0.0, 1.0) if n_units else np.zeros(0)
+
+    # words and pairs
+    total_words = np.maximum(1, np.bincount(d, minlength=n_docs))
+    often = np.maximum(3, 0.004 * total_words)
+    single = _counts(d, w, weight=once)
+    top = np.zeros(n_docs)
+    np.maximum.at(top, d, _counts(d, w))
+    inner = np.flatnonzero(~first)
+    pair = _counts(d[inner], w[inner - 1], w[inner], weight=once[inner])
+    recurs = pair >= often[d[inner]]
+    alone = (length == 1)[k] if n_units else np.zeros(0, bool)
+    grams = np.bincount(d[inner], weights=once[inner], minlength=n_docs) + np.bincount(d, weights=alone, minlength=n_docs)
+    recurrent = np.bincount(d[inner], weights=recurs * once[inner], minlength=n_docs) + np.bincount(d, weights=alone & (single >= often[d]), minlength=n_docs)
+    recurring = np.where(length > 1, np.bincount(k[inner], weights=recurs, minlength=n_units) / np.maximum(1, length - 1), sums(single >= often[d]))
+    common = sums(single >= often[d]) / np.maximum(1, length)
+
+    # languages and function words
+    by_unit = np.stack([sums(owner_of[i][w]) for i in range(len(_LANGS))]) if n_units else np.zeros((len(_LANGS), 0))
+    hits = np.stack([np.bincount(of, weights=x, minlength=n_docs) for x in by_unit])
+    cjk, kana = sums(east_of[w] * size_of[w]), sums(particle_of[w])
+    chars, east = np.bincount(of, weights=size, minlength=n_docs), np.bincount(of, weights=cjk, minlength=n_docs)
+    lang = np.where(hits.max(0) > 0, hits.argmax(0), LANGUAGES.index("und"))
+    lang = np.where(east > 0.3 * np.maximum(1, chars), LANGUAGES.index("ja"), lang)
+    known = sums(owner_of.any(0)[w])
+    functional = np.where(cjk > 0, kana / np.maximum(1, cjk), np.where((lang < len(_LANGS))[of], by_unit.max(0), known) / np.maximum(1, length)) if n_units else np.zeros(0)
+    full = np.where(cjk > 0, functional >= 0.25, (functional >= 0.2) & (length >= 4))
+    own = hits[np.minimum(lang, len(_LANGS) - 1), np.arange(n_docs)] / total_words
+    function = np.where(lang == LANGUAGES.index("ja"), np.bincount(of, weights=kana, minlength=n_docs) / np.maximum(1, east), np.where(lang < len(_LANGS), own, 0))
+
+    # what each unit is
+    limit = np.where(cjk > 0, 0.15, np.where(length < 10, 0.3, 0.2))
+    repeated = (whole >= 4) & np.where(length <= 8, ~(full & (length > 5)), functional < 0.1)
+    run = (length >= 8) & (functional < 0.05) & (common >= 0.6) & (cjk == 0)
+    stuffed = ~is_datum & (repeated | (recurring >= 0.4) & (functional < limit) | run)
+    prose = ~is_datum & ~stuffed & full
+    bare = ~is_datum & ~stuffed & ~full & (functional < 0.3) & (length <= 7)
+    part = lambda x: np.bincount(of, weights=size * x, minlength=n_docs)
+    total = np.maximum(1, chars + linked)
+    values = [np.array([float(len(t)) for t in texts]), function, top / total_words, recurrent / np.maximum(1, grams), part(whole > 1) / total, linked / total, separators / total,
+              part(is_datum) / total, part(stuffed) / total, part(prose) / total, part(bare) / total, some, np.bincount(of, minlength=n_docs).astype(float)]
+    return lang, dict(zip(NAMES, values, strict=True))
+
+
+#: Limits by language that :func:`fit_limits` gave on the labelled rows of the small tables whose id is even; ``other`` holds its start, which it
+#: keeps for languages without a reason to move. ``ngram``: least share of recurring n-grams (word pairs, and units of one word). ``top``: least share of the most frequent word, where
+#: function words are rarer than FUNCTION_LIMIT, as the most frequent word of prose is one of them. ``duplicate``: least share of repeated units, where
+#: separators are at least as dense as SEPARATOR_LIMIT, as paragraphs repeat too. ``missing``: function words rarer than this are missing, and keywords
+#: then need neither recur in order nor prevail.
+LIMITS = {
+    "other": {"ngram": 0.25, "top": 0.15, "duplicate": 0.4, "missing": 0.1},
+    "fi": {"ngram": 0.55, "missing": 0.03},
+}
 FUNCTION_LIMIT = 0.2
-#: Least share of repeated units by language, above that of every genuine labelled row of the small tables; it counts where separators are at least
-#: as dense as SEPARATOR_LIMIT, as paragraphs repeat too.
-DUPLICATE_LIMITS = {"en": 0.6, "fr": 0.5}
-DUPLICATE_LIMIT = 0.4
 SEPARATOR_LIMIT = 0.04
 #: Least number of links and tags that make a link list, whose short bare units then count as its captions.
 LIST_LINKS = 3
-#: Share of the characters that stuffed material must reach.
-GREATER_PART = 0.5
+#: Share of the characters that stuffed material must reach, and the share from which :func:`fit_limits` keeps genuine pages away from a limit.
+GREATER_PART, NEAR = 0.5, 0.4
 
 
 def with_features(df: DataFrame, key: str, text: str) -> DataFrame:
     """``key``, ``page_lang`` and the features of every row with text; null, empty and blank texts give no row. No shuffle."""
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep, langs, columns = [], [], [[] for _ in NAMES]
-            for i, t in enumerate(batch.column(1).to_pylist()):
-                if found := features(t):
-                    keep.append(i)
-                    langs.append(found[0])
-                    for c, v in zip(columns, found[1], strict=True):
-                        c.append(v)
-            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array(langs, pa.string()), *[pa.array(c, pa.float64()) for c in columns]], [key, "page_lang", *NAMES])
+            texts = batch.column(1).to_pylist()
+            begin = 0
+            while begin < len(texts):
+                # slices of bounded size, so that long texts do not add up in memory; a text is never cut
+                end, held = begin, 0
+                while end < len(texts) and (end == begin or held < SLICE):
+                    held += len(texts[end] or "")
+                    end += 1
+                keep = [i for i in range(begin, end) if texts[i] and not texts[i].isspace()]
+                if keep:
+                    lang, values = features([texts[i] for i in keep])
+                    yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(keep, pa.int64())), pa.array([LANGUAGES[x] for x in lang], pa.string()), *[pa.array(values[n], pa.float64()) for n in NAMES]], [key, "page_lang", *NAMES])
+                begin = end
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, page_lang string, " + ", ".join(f"{n} double" for n in NAMES))
 
 
-def _limit(limits: dict[str, float], other: float) -> F.Column:
-    return F.coalesce(F.try_element_at(F.create_map(*[F.lit(x) for k, v in limits.items() for x in (k, v)]), F.col("page_lang")), F.lit(other))
+def limits_of(lang: str, limits: dict[str, dict[str, float]] = LIMITS) -> dict[str, float]:
+    return limits["other"] | limits.get(lang, {})
 
 
-def is_stuffed(limits: dict[str, float] | F.Column | None = None) -> F.Column:
-    """Whether a row of :func:`with_features` consists for the greater part of keywords, links or product tags.
+#: The decision over the features and the four limits of the page's language (``<name>_limit``), as SQL that Spark and DuckDB both read.
+#: Links and tags count if they form a list or nearly the whole text, so sentences followed by some links are no case. Repeated
+#: units count if n-grams recur, one word prevails, units repeat or function words are missing as much as the language's limits ask. Bare units
+#: count within lists of links or tags, and within keyword pages without prose. All of it must make up the greater part, and outweigh prose and data.
+CONDITIONS = {
+    "ngram": "ngram_share >= ngram_limit",
+    "top": f"top_word_share >= top_limit AND function_share < {FUNCTION_LIMIT}",
+    "duplicate": f"duplicate_share >= duplicate_limit AND separator_density >= {SEPARATOR_LIMIT}",
+    "missing": "function_share < missing_limit",
+}
+_OPEN = "(" + " OR ".join(CONDITIONS.values()) + ")"
+_SHARE = f"""(CASE WHEN n_links >= {LIST_LINKS} OR link_share >= 0.85 THEN link_share ELSE 0 END
+ + CASE WHEN n_links >= {LIST_LINKS} OR {_OPEN} THEN stuffed_share ELSE 0 END
+ + CASE WHEN n_links >= {LIST_LINKS} OR {_OPEN} AND stuffed_share >= 0.3 AND prose_share < 0.15 THEN bare_share ELSE 0 END)"""
+RULE = f"({_SHARE} >= {GREATER_PART} AND {_SHARE} > prose_share + datum_share)"
 
-    Links and tags count if they form a list or nearly the whole text, so sentences followed by some links are no case.
-    Recurring units count if n-grams recur, one word prevails or units repeat as much as the language's limits ask. Bare units count within lists of links or
-    tags, and within keyword pages without prose. All of it must also outweigh prose and data.
-    """
-    limits = NGRAM_LIMITS if limits is None else limits
-    ngrams = limits if isinstance(limits, F.Column) else _limit(limits, NGRAM_LIMIT)
-    prevails = (F.col("top_word_share") >= _limit(TOP_WORD_LIMITS, TOP_WORD_LIMIT)) & (F.col("function_share") < FUNCTION_LIMIT)
-    repeats = (F.col("duplicate_share") >= _limit(DUPLICATE_LIMITS, DUPLICATE_LIMIT)) & (F.col("separator_density") >= SEPARATOR_LIMIT)
-    many, recurs = F.col("n_links") >= LIST_LINKS, (F.col("ngram_share") >= ngrams) | prevails | repeats
-    links = F.when(many | (F.col("link_share") >= 0.85), F.col("link_share")).otherwise(0.0)
-    keywords = F.when(many | recurs, F.col("stuffed_share")).otherwise(0.0)
-    captions = F.when(many | recurs & (F.col("stuffed_share") >= 0.3) & (F.col("prose_share") < 0.15), F.col("bare_share")).otherwise(0.0)
-    share = links + keywords + captions
-    return (share >= GREATER_PART) & (share > F.col("prose_share") + F.col("datum_share"))
+
+def with_limits(features_: DataFrame, limits: dict[str, dict[str, float]] = LIMITS) -> DataFrame:
+    """Rows of :func:`with_features` with the limits of their language."""
+    def of(name: str) -> F.Column:
+        return F.try_element_at(F.create_map(*[F.lit(x) for lang in LANGUAGES for x in (lang, limits_of(lang, limits)[name])]), F.col("page_lang"))
+
+    return features_.withColumns({f"{n}_limit": of(n) for n in limits["other"]})
 
 
 def stuffed_pages(df: DataFrame, key: str, text: str) -> DataFrame:
-    """``key`` of every stuffed page. One narrow pass over whole texts."""
-    return with_features(df, key, text).where(is_stuffed()).select(key)
+    """``key`` of every page that consists for the greater part of keywords, links or product tags. One narrow pass over whole texts."""
+    return with_limits(with_features(df, key, text)).where(RULE).select(key)
+
+
+def judged(df: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """The labelled rows with text: ``key``, ``label``, features, limits and ``case``, the decision of :func:`stuffed_pages` itself."""
+    known = labels.select(F.col(key).alias("__key"), F.col(label).alias("__label")).distinct()
+    rows = df.join(known, df[key] == F.col("__key"), "left_semi")
+    return with_limits(with_features(rows, key, text)).join(known, F.col(key) == F.col("__key")).drop("__key").withColumnRenamed("__label", "label").withColumn("case", F.expr(RULE))
+
+
+def fit_limits(rows: pd.DataFrame, start: dict[str, float] = LIMITS["other"], least: int = 20) -> dict[str, dict[str, float]]:
+    """Limits per language from labelled rows (``page_lang``, ``label`` and the features), a bounded sample held in memory.
+
+    Language by language, each limit in turn is tried at every twentieth (``missing`` at every hundredth) with the others as they are. It moves
+    from ``start`` only where that leaves fewer wrong rows, or as many and fewer genuine rows that pass its own condition and
+    are stuffed for at least NEAR of the page, were all conditions met; then one step past the nearest best value, if that is as good. Languages of fewer than ``least`` rows keep ``start``.
+    """
+    import duckdb
+
+    con = duckdb.connect(":memory:", config={"threads": 1})
+    out = {"other": dict(start)}
+    whole = _SHARE.replace(_OPEN, "true")
+    for lang, part in rows.groupby("page_lang"):
+        if len(part) < least:
+            continue
+        con.register("part", part.reset_index(drop=True))
+        now = dict(start)
+
+        def cost(name: str, x: float, now: dict[str, float] = now) -> tuple[int, int]:
+            given = ", ".join(f"{v} AS {n}_limit" for n, v in (now | {name: x}).items())
+            return con.execute(f"SELECT count(*) FILTER (WHERE {RULE} <> (label = 1)), count(*) FILTER (WHERE {CONDITIONS[name]} AND label = 0 AND {whole} >= {NEAR}) FROM (SELECT *, {given} FROM part)").fetchall()[0]
+
+        for name in CONDITIONS:
+            steps = [i / 100 for i in range(21)] if name == "missing" else [i / 20 for i in range(18)]
+            tried = sorted((cost(name, x), abs(x - start[name]), x) for x in steps)
+            if tried[0][0] < cost(name, start[name]):
+                now[name] = tried[1][2] if tried[1][0] == tried[0][0] else tried[0][2]
+        if moved := {n: v for n, v in now.items() if v != start[n]}:
+            out[str(lang)] = moved
+        con.unregister("part")
+    con.close()
+    return out
 
 
 def calibration(df: DataFrame, labels: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """Per language, hits, false alarms and misses of :func:`is_stuffed` on the labelled rows at each candidate n-gram limit, the other limits as they are."""
-    known = with_features(df.join(labels.select(key, label), key), key, text).join(labels.select(key, label), key)
-    grid = known.withColumn("ngram_limit", F.explode(F.array(*[F.lit(x / 20) for x in range(0, 17)])))
-    case = is_stuffed(F.col("ngram_limit"))
-    return grid.groupBy("page_lang", "ngram_limit").agg(F.count_if(case & (F.col(label) == 1)).alias("hits"), F.count_if(case & (F.col(label) == 0)).alias("false_alarms"),
-                                                       F.count_if(~case & (F.col(label) == 1)).alias("misses"))
+    """Hits, false alarms and misses of :func:`stuffed_pages` per language, apart for the rows the limits were fitted on (even ``key``) and the rest."""
+    rows = judged(df, labels, key, text, label).withColumn("held_out", F.pmod(F.col(key), F.lit(2)) == 1)
+    return rows.groupBy("page_lang", "held_out").agg(F.count_if(F.col("case") & (F.col("label") == 1)).alias("hits"), F.count_if(F.col("case") & (F.col("label") == 0)).alias("false_alarms"),
+                                                     F.count_if(~F.col("case") & (F.col("label") == 1)).alias("misses"), F.count(F.lit(1)).alias("n"))
