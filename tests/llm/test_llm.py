@@ -184,7 +184,7 @@ def test_local_search_empties_containers():
 
 def test_pack_documents_splits_only_what_exceeds(spark):
     rows = [(1, 250, "x"), (2, 100, "x"), (3, 0, "x"), (4, None, "x"), (None, 30, "x"), (5, 70, "x"), (5, 70, "x"), (6, 200, "x")]
-    out = packing.pack_documents(spark.createDataFrame(rows, "doc int, n int, part string").coalesce(1), "doc", "n", 100)
+    out = packing.pack_documents(spark.createDataFrame(rows, "doc int, n int, part string"), "doc", "n", 100, F.lit(1))
     rows = out.collect()
     by = {}
     for r in rows:
@@ -192,7 +192,22 @@ def test_pack_documents_splits_only_what_exceeds(spark):
     assert max(by.values()) <= 100 and sum(by.values()) == 720
     assert sorted(r.n_tokens for r in rows if r.doc == 1) == [50, 100, 100] and [r.n_tokens for r in rows if r.doc == 6] == [100, 100]
     assert sum(r.doc == 5 for r in rows) == 2 and sum(r.doc in (3, 4) for r in rows) == 2
-    assert packing.pack_documents(spark.createDataFrame([], "doc int, n int"), "doc", "n", 100).count() == 0
+    assert packing.pack_documents(spark.createDataFrame([], "doc int, n int"), "doc", "n", 100, F.lit(1)).count() == 0
+
+
+def test_local_search_ends_where_no_exchange_helps():
+    rng = random.Random(4)
+    sizes = [rng.randint(400, 900) for _ in range(5000)]
+    end = packing.pack(sizes, 2048)
+    squared = lambda bins: sum(sum(sizes[i] for i in b) ** 2 for b in bins)
+    assert squared(packing._raise_fills(end, sizes, 2048)) == squared(end) and len(end) < len(packing._raise_fills(packing.best_fit(sizes, 2048), sizes, 2048))
+
+
+def test_containers_do_not_depend_on_the_split(spark):
+    items = spark.range(900).select(F.when(F.col("id") % 3 > 0, F.col("id")).alias("doc"), (F.col("id") * 37 % 140).alias("n"))
+    n = packing.chunk_count(items, 200)
+    one, other = (sorted(map(str, packing.pack_documents(items.repartition(p, "n"), "doc", "n", 100, n).collect())) for p in (1, 7))
+    assert one == other and len({r.split("part=")[0].split(",")[0] for r in one}) > 4
 
 
 def test_p9_fills_well(spark, data):

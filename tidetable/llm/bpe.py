@@ -136,6 +136,17 @@ class Encoder:
         return [list(chain.from_iterable(map(known.__getitem__, ws))) for ws in cut]
 
 
+class Decoder:
+    """Ids back to texts: the bytes of each id's letters."""
+
+    def __init__(self, raw: bytes):
+        byte = {c: b for b, c in enumerate(byte_letters())}
+        self.bytes = {i: bytes(byte[c] for c in letters) for letters, i in json.loads(raw)["model"]["vocab"].items() if all(c in byte for c in letters)}
+
+    def decode(self, ids: list[int]) -> str:
+        return b"".join(map(self.bytes.__getitem__, ids)).decode("utf-8", "replace")
+
+
 _ENCODERS: dict[str, Encoder] = {}
 
 
@@ -202,3 +213,19 @@ def count_tokens(df: DataFrame, key: str, text: str, folder: str = TOKENIZERS, n
 
     kind = df.schema[key].dataType.simpleString()
     return df.select(F.col(key), F.col(text)).mapInArrow(run, f"`{key}` {kind}, n_tokens bigint")
+
+
+def round_trip(df: DataFrame, key: str, text: str, folder: str = TOKENIZERS, name: str = "byte_bpe_50k") -> DataFrame:
+    """``key``, ``n_tokens`` and ``same``, whether the ids of a row decode to its very text; null for null texts."""
+    raw, _ = vocabulary(df.sparkSession, folder, name)
+    ids = encode(df.select(F.struct(F.col(key).alias("k"), F.col(text).alias("t")).alias("row"), F.col(text).alias("text")), "row", "text", folder, name).select("row.*", "ids")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = Decoder(raw.value)
+        for batch in batches:
+            rows = batch.column(2).to_pylist()
+            same = [None if t is None else own.decode(i) == t for t, i in zip(batch.column(1).to_pylist(), rows, strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([len(i) for i in rows], pa.int64()), pa.array(same, pa.bool_())], [key, "n_tokens", "same"])
+
+    kind = df.schema[key].dataType.simpleString()
+    return ids.mapInArrow(run, f"`{key}` {kind}, n_tokens bigint, same boolean")

@@ -7,12 +7,11 @@ from collections import defaultdict
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Items packed together. A bound of memory: every chunk is packed, and each leaves at most about one container underfull.
-CHUNK = 50_000
+#: Items packed together. A bound of memory and time: every chunk is packed, and each leaves at most about one container underfull.
+CHUNK = 10_000
 
 
 def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
@@ -39,12 +38,28 @@ def best_fit(sizes: list[int], capacity: int) -> list[list[int]]:
 
 
 def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
-    """Exchange items between underfull bins as long as the sum of squared fills rises; emptied bins vanish.
+    """Passes of :func:`_raise_fills` until one raises the sum of squared fills no more: a local optimum of its exchanges.
+
+    The sum is a whole number that rises with every pass and is bounded by the sizes, so the search ends.
+    """
+    def squared(bins: list[list[int]]) -> int:
+        return sum(sum(sizes[i] for i in b) ** 2 for b in bins)
+
+    now = squared(bins)
+    while True:
+        bins = _raise_fills(bins, sizes, capacity)
+        after = squared(bins)
+        if after <= now:
+            return bins
+        now = after
+
+
+def _raise_fills(bins: list[list[int]], sizes: list[int], capacity: int) -> list[list[int]]:
+    """One pass of exchanges between underfull bins, each of which raises the sum of squared fills; emptied bins vanish.
 
     Bins are taken from the fullest underfull one down. For its room the item closest to filling it is moved in from an
     emptier bin; else one of its items is exchanged for a larger one, or two of its items for one larger, or one for two of
-    the emptiest bin, always the exchange that fills most. Each step raises a fuller bin at the cost of an emptier one,
-    so the squared fill rises strictly and the search ends.
+    the emptiest bin, always the exchange that fills most. Each step raises a fuller bin at the cost of an emptier one.
     """
     fill = [sum(sizes[i] for i in b) for b in bins]
     home = {i: b for b, items in enumerate(bins) for i in items}
@@ -119,31 +134,37 @@ def local_search(bins: list[list[int]], sizes: list[int], capacity: int) -> list
     return [sorted(h) for h in held if h]
 
 
-def pack(sizes: list[int], capacity: int) -> list[list[int]]:
-    """Bins of item indexes; every item once, no bin over ``capacity``. Sizes lie within 0..capacity."""
-    return local_search(best_fit(sizes, capacity), sizes, capacity)
+def pack(sizes: list[int], capacity: int, search: bool = True) -> list[list[int]]:
+    """Bins of item indexes; every item once, no bin over ``capacity``. Sizes lie within 0..capacity. Without ``search`` the start alone."""
+    start = best_fit(sizes, capacity)
+    return local_search(start, sizes, capacity) if search else start
+
 
+def chunk_count(items: DataFrame, chunk: int = CHUNK) -> Column:
+    """How many chunks of about ``chunk`` rows ``items`` make, by a scalar subquery."""
+    return items.agg(F.greatest(F.lit(1), F.ceil(F.count(F.lit(1)) / chunk)).cast("bigint").alias("n")).scalar()
 
-def pack_documents(items: DataFrame, key: str, size: str, capacity: int, chunk: int = CHUNK) -> DataFrame:
+
+def pack_documents(items: DataFrame, key: str, size: str, capacity: int, chunks: Column, search: bool = True) -> DataFrame:
     """``container_id``, ``key``, ``part`` and ``n_tokens``: every item in one container, an item above ``capacity`` in parts.
 
     Only items above the capacity are split: into full containers and one remainder that is packed like an item. Items of
     size 0 or null size take no room and lie in some container as part 0 with size 0. Repeated and null keys are items of
-    their own. Each task packs its own rows in chunks, without shuffle, so no group can grow with the data and no
-    key can be hot; a task that is run again over the same input gives the same containers.
+    their own. Items fall into ``chunks`` (:func:`chunk_count`) by a hash of key, size and number of the copy, so that equal rows are spread too,
+    and each chunk is packed in the order of size, key and copy: the containers depend on the items alone, not on how the input
+    is split or on which task runs again. What is shuffled is key, size and count, not the texts.
     """
+    counted = items.select(F.col(key).alias("k"), F.coalesce(F.col(size), F.lit(0)).cast("bigint").alias("s")).groupBy("k", "s").agg(F.count(F.lit(1)).alias("n"))
+    copies = counted.select("k", "s", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("n"))).alias("c"))
+    placed = copies.select(F.pmod(F.xxhash64("k", "s", "c"), chunks).alias("chunk"), "k", "s", "c")
+    placed = placed.repartition("chunk").sortWithinPartitions("chunk", F.col("s").desc(), "k", "c").select("chunk", "k", "s")
+
     def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        context = TaskContext.get()
-        next_id = (context.partitionId() if context else 0) << 36
-        keys: list = []
-        sizes: list[int] = []
         kind = None
+        held: tuple[int, list, list[int]] | None = None
 
-        def out(ids: list[int], rows: list, parts: list[int], n: list[int]) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, kind), pa.array(parts, pa.int32()), pa.array(n, pa.int64())], ["container_id", key, "part", "n_tokens"])
-
-        def flush() -> pa.RecordBatch:
-            nonlocal next_id
+        def packed(chunk: int, keys: list, sizes: list[int]) -> pa.RecordBatch:
+            next_id = chunk << 36
             ids, rows, parts, n = [], [], [], []
             rest, part = [], []
             for k, s in zip(keys, sizes, strict=True):
@@ -156,25 +177,26 @@ def pack_documents(items: DataFrame, key: str, size: str, capacity: int, chunk:
                     next_id += 1
                 rest.append(s - full * capacity)
                 part.append(full)
-            for b in pack(rest, capacity):
+            for b in pack(rest, capacity, search):
                 for i in b:
                     ids.append(next_id)
                     rows.append(keys[i])
                     parts.append(part[i])
                     n.append(rest[i])
                 next_id += 1
-            keys.clear()
-            sizes.clear()
-            return out(ids, rows, parts, n)
+            return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, kind), pa.array(parts, pa.int32()), pa.array(n, pa.int64())], ["container_id", key, "part", "n_tokens"])
 
         for batch in batches:
-            kind = batch.schema.field(0).type
-            keys += batch.column(0).to_pylist()
-            sizes += [s or 0 for s in batch.column(1).to_pylist()]
-            if len(keys) >= chunk:
-                yield flush()
-        if keys:
-            yield flush()
+            kind = batch.schema.field(1).type
+            for chunk, k, s in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
+                if held is None or held[0] != chunk:
+                    if held is not None:
+                        yield packed(*held)
+                    held = (chunk, [], [])
+                held[1].append(k)
+                held[2].append(s)
+        if held is not None:
+            yield packed(*held)
 
     kind = items.schema[key].dataType.simpleString()
-    return items.select(F.col(key), F.col(size)).mapInArrow(run, f"container_id bigint, `{key}` {kind}, part int, n_tokens bigint")
+    return placed.mapInArrow(run, f"container_id bigint, `{key}` {kind}, part int, n_tokens bigint")

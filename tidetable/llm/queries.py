@@ -87,9 +87,35 @@ def p8_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(load(spark, sf_dir, "documents"), "doc_id", "text")
 
 
+def p8_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents, those with text, those whose ids decode to their very text, and those without ids."""
+    r = bpe.round_trip(load(spark, sf_dir, "documents"), "doc_id", "text")
+    return r.agg(F.count(F.lit(1)).alias("documents"), F.count("same").alias("with_text"), F.count_if("same").alias("same"), F.count_if(F.col("n_tokens") == 0).alias("without_ids"))
+
+
 def p9_packed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    sizes = bpe.count_tokens(load(spark, sf_dir, "documents"), "doc_id", "text")
-    return packing.pack_documents(sizes, "doc_id", "n_tokens", CAPACITY)
+    documents = load(spark, sf_dir, "documents")
+    return packing.pack_documents(bpe.count_tokens(documents, "doc_id", "text"), "doc_id", "n_tokens", CAPACITY, packing.chunk_count(documents))
+
+
+def p9_whole(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Whether the containers hold every document's tokens, none more than its capacity, and parts only of documents above it."""
+    packed = p9_packed(spark, sf_dir)
+    fullest = packed.groupBy("container_id").agg(F.sum("n_tokens").alias("fill")).agg(F.max("fill")).scalar()
+    held = packed.groupBy("doc_id").agg(F.sum("n_tokens").alias("held"), F.count(F.lit(1)).alias("parts"))
+    both = bpe.count_tokens(load(spark, sf_dir, "documents"), "doc_id", "text").join(held, "doc_id", "left")
+    whole, unsplit = F.col("held") == F.col("n_tokens"), F.col("parts") == F.greatest(F.lit(1), F.ceil(F.col("n_tokens") / CAPACITY))
+    return both.agg(F.count(F.lit(1)).alias("documents"), F.bool_and(F.coalesce(whole, F.lit(False))).alias("whole"), F.bool_and(F.coalesce(unsplit, F.lit(False))).alias("split_only_above"),
+                    (F.first(fullest) <= CAPACITY).alias("within_capacity"))
+
+
+def p9_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Items of 500 to 800 in containers of 2,048, where the start is far from optimal: whether the search needs fewer containers and loses nothing."""
+    documents = load(spark, sf_dir, "documents").select("doc_id", (F.lit(500) + F.pmod(F.col("doc_id") * 7919, F.lit(301))).alias("size"))
+    n = packing.chunk_count(documents)
+    both = [packing.pack_documents(documents, "doc_id", "size", CAPACITY, n, search=s).agg(F.countDistinct("container_id").alias("c"), F.sum("n_tokens").alias("t"), F.count(F.lit(1)).alias("i")).withColumn("searched", F.lit(s)) for s in (False, True)]
+    pick = lambda c, s: F.max(F.when(F.col("searched") == s, F.col(c)))
+    return both[0].unionByName(both[1]).agg(pick("i", True).alias("items"), pick("t", True).alias("tokens"), (pick("c", True) < pick("c", False)).alias("fewer_containers"))
 
 
 def p9_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +140,7 @@ def p10_on_labels(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select(F.col("label").alias("stuffed"), "n", F.when(F.col("label") == 1, F.col("f") >= 0.98 * F.col("n")).otherwise(F.col("f") <= 0.01 * F.col("n")).alias("within_bound"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_city_percentiles, p5_route_day_percentiles, p5_within_bound, p8_ids, p9_packed, p9_fill, p10_found, p10_calibration, p10_on_labels)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_matches, p5_found, p5_city_percentiles, p5_route_day_percentiles, p5_within_bound, p8_ids, p8_round_trip, p9_packed, p9_whole, p9_search, p9_fill, p10_found, p10_calibration, p10_on_labels)}
 
 _SECONDS = "CAST(split_part({0}, ':', 1) AS INT) * 3600 + CAST(split_part({0}, ':', 2) AS INT) * 60 + CAST(split_part({0}, ':', 3) AS INT)"
 _MATCHES = f"""
@@ -130,6 +156,9 @@ _STANDS = "round(CASE WHEN {0} = 0 THEN 0 ELSE sign({0}) * exp(ceil(ln(abs({0}))
 _SKETCHED = ", ".join(f"{_STANDS.format(f'quantile_disc(CAST(delay_arr_sec AS DOUBLE), {s})')} AS {p}" for p, s in SHARES.items())
 _EXACT = "CAST(quantile_disc(delay_arr_sec, {}) AS INT)"
 ORACLES = {
+    "p8_round_trip": "SELECT count(*) AS documents, count(text) AS with_text, count(text) AS same, count(*) FILTER (WHERE coalesce(text, '') = '') AS without_ids FROM documents",
+    "p9_whole": "SELECT count(*) AS documents, true AS whole, true AS split_only_above, true AS within_capacity FROM documents",
+    "p9_search": "SELECT count(*) AS items, CAST(sum(500 + doc_id * 7919 % 301) AS BIGINT) AS tokens, true AS fewer_containers FROM documents",
     "p10_on_labels": "SELECT stuffed, count(*) AS n, true AS within_bound FROM labels JOIN documents USING (doc_id) WHERE regexp_matches(text, '\\S') GROUP BY 1",
     "p1_found": f"{_MATCHES} SELECT trip_uid, trip_id AS static_trip_id FROM m WHERE rn = 1",
     "p1_matches": f"{_MATCHES} SELECT trip_uid, trip_id AS static_trip_id, CAST(d AS BIGINT) AS distance, round(1 - d / 600.0, 4) AS match_confidence FROM m WHERE rn = 1",
