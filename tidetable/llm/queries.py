@@ -46,15 +46,15 @@ def p5_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     b = b.withColumn("open", ~F.col("wrong") & ((F.col("below_most") > 0.95 * F.col("n")) | (F.col("upto_least") < 0.85 * F.col("n"))))
     # route-days whose own bucket straddles a line are counted exactly: their own bucket's values alone, equal ones combined before the shuffle
     same = [*ROUTE_DAY, "at"]
-    undecided = b.where("open").select("route_day_key", *same, "p90_delay_sec", "n", F.col("below_least").alias("below"), F.col("upto_least").alias("upto"))
+    both = b.where("wrong OR open").select("route_day_key", *same, "p90_delay_sec", "n", F.col("below_least").alias("below"), F.col("upto_least").alias("upto"), "wrong")
     own = delays.where("delay_arr_sec IS NOT NULL").withColumn("at", percentiles.bucket(F.col("delay_arr_sec")))
-    own = own.where(percentiles.key_marks(undecided, same)).groupBy(*same, "delay_arr_sec").agg(F.count(F.lit(1)).alias("c"))
-    on = F.lit(True)
+    own = own.where(percentiles.key_marks(both.where("NOT wrong"), same)).groupBy(*same, "delay_arr_sec").agg(F.count(F.lit(1)).alias("c"))
+    on = ~both["wrong"]
     for c in same:
-        on = on & own[c].eqNullSafe(undecided[c])
+        on = on & own[c].eqNullSafe(both[c])
     x, v = F.col("delay_arr_sec"), F.col("p90_delay_sec")
-    exact = undecided.join(own, on).groupBy("route_day_key", "n", "below", "upto").agg(F.sum(F.when(x < v, F.col("c")).otherwise(0)).alias("b"), F.sum(F.when(x <= v, F.col("c")).otherwise(0)).alias("u"))
-    return b.where("wrong").select("route_day_key").unionByName(exact.where("below + b > 0.95 * n OR upto + u < 0.85 * n").select("route_day_key"))
+    exact = both.join(own, on, "left").groupBy("route_day_key", "n", "below", "upto", "wrong").agg(F.sum(F.when(x < v, F.col("c")).otherwise(0)).alias("b"), F.sum(F.when(x <= v, F.col("c")).otherwise(0)).alias("u"))
+    return exact.where("wrong OR below + b > 0.95 * n OR upto + u < 0.85 * n").select("route_day_key")
 
 
 def p5_city_percentiles(spark: SparkSession, sf_dir: str) -> DataFrame:
