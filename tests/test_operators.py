@@ -8,7 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from tidetable.functions import domain
-from tidetable.operators import intervals, joins, quality, rollup, transit
+from tidetable.operators import intervals, joins, quality, rollup, service
 
 D = dt.date
 
@@ -157,25 +157,25 @@ def test_service_dates_and_schedule(spark):
     cal = spark.createDataFrame([("c", "s", 1, 1, 1, 1, 1, 0, 0, "20250101", "20250110"), ("c", "x", 1, 1, 1, 1, 1, 1, 1, "bad", "20250110")], "city string, service_id string, monday int, tuesday int, wednesday int, thursday int, friday int, saturday int, sunday int, start_date string, end_date string")
     ex = spark.createDataFrame([("c", "s", "20250102", 2), ("c", "s", "20250104", 1), ("c", "s", "20250103", 1)], "city string, service_id string, date string, exception_type int")
     days = spark.sql("SELECT explode(sequence(DATE '2025-01-01', DATE '2025-01-07', INTERVAL 1 DAY)) AS service_date")
-    dates = transit.service_dates(cal, ex, days, ["city"])
+    dates = service.service_dates(cal, ex, days, ["city"])
     assert sorted(r.service_date.day for r in dates.collect()) == [1, 3, 4, 6, 7]
     trips = spark.createDataFrame([("c", "t", "s")], "city string, trip_id string, service_id string")
     calls = spark.createDataFrame([("c", "t", "A", 1, "25:30:00")], "city string, trip_id string, stop_id string, stop_sequence int, arrival_time string")
     zones = spark.createDataFrame([("c", "Asia/Tokyo")], "city string, zone string")
-    got = transit.scheduled_stop_times(trips, dates, calls, zones, ["city"]).where("service_date = DATE '2025-01-01'").collect()
+    got = service.scheduled_stop_times(trips, dates, calls, zones, ["city"]).where("service_date = DATE '2025-01-01'").collect()
     assert str(got[0].sched_arr_ts_utc) == "2025-01-01 16:30:00"
 
 
 def test_passages_take_the_first_snapshot_past_the_stop(spark):
     snaps = spark.createDataFrame([("t", 1, 100, 5), ("t", 3, 160, 30), ("t", 5, 220, 60)], "train string, pos int, at int, delay int")
     stops = spark.createDataFrame([("t", "A", 2, 1), ("t", "B", 5, 1), ("t", "C", 6, 1), ("t", "D", 4, -1)], "train string, stop string, stop_pos int, sign int")
-    got = {r.stop: (r.passed_at, r.stated_delay) for r in transit.passages(snaps, stops, ["train"], "pos", "at", "sign", "stop_pos", "delay").collect()}
+    got = {r.stop: (r.passed_at, r.stated_delay) for r in service.passages(snaps, stops, ["train"], "pos", "at", "sign", "stop_pos", "delay").collect()}
     assert got == {"A": (160, 30), "B": (220, 60), "D": (100, 5)}
 
 
 def test_finalize_is_replayable_and_drops_stale(spark):
     rows = [("v", ts("2025-01-01 10:00"), ts("2025-01-01 09:50"), 1), ("v", ts("2025-01-01 10:05"), ts("2025-01-01 10:04"), 2), ("v", ts("2025-01-01 10:06"), ts("2025-01-01 11:00"), 3), ("w", ts("2025-01-01 12:55"), ts("2025-01-01 12:00"), 4), ("x", None, ts("2025-01-01 13:00"), 5)]
-    out = transit.finalize(spark.createDataFrame(rows, "visit string, arr timestamp, seen timestamp, no int"), ["visit"], "arr", "seen").collect()
+    out = service.finalize(spark.createDataFrame(rows, "visit string, arr timestamp, seen timestamp, no int"), ["visit"], "arr", "seen").collect()
     assert [(r.visit, r.no, r.n_predictions) for r in out] == [("v", 2, 2)]
 
 
@@ -191,5 +191,5 @@ def test_contracts(spark):
 def test_rollups_on_empty_tables(spark):
     e = spark.createDataFrame([], "k string, v int, w int, x boolean, y boolean")
     assert rollup.histogram(e, ["k"], "v", 0, 10, 1).count() == rollup.nearest_rank(e, ["k"], "v", {"p": 0.5}).count() == rollup.standardised(e, ["k"], "w", "x", "y").count() == rollup.excess_wait(e, ["k"], ["w"], "v", "w").count() == 0
-    assert transit.headways(spark.createDataFrame([], "k string, a timestamp, s timestamp, n int"), ["k"], "a", "s", "n").count() == 0
+    assert service.headways(spark.createDataFrame([], "k string, a timestamp, s timestamp, n int"), ["k"], "a", "s", "n").count() == 0
     assert intervals.merge_islands(spark.createDataFrame([], "k string, a int, b int"), ["k"], "a", "b").count() == 0

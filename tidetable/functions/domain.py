@@ -1,4 +1,4 @@
-"""Column functions of the transit domain: clocks, service days, identities, bands. All stay inside the JVM."""
+"""Column functions of scheduled public service: clocks, service days, identities, bands. All stay inside the JVM."""
 
 from __future__ import annotations
 
@@ -9,6 +9,10 @@ from pyspark.sql import functions as F
 DELAY_LIMIT = 43_200
 #: Severity of alert effects, worst first.
 ALERT_EFFECTS = ["NO_SERVICE", "REDUCED_SERVICE", "SIGNIFICANT_DELAYS", "DETOUR", "MODIFIED_SERVICE", "ADDITIONAL_SERVICE", "STOP_MOVED", "ACCESSIBILITY_ISSUE", "OTHER_EFFECT", "NO_EFFECT", "UNKNOWN_EFFECT"]
+#: Fixed values: (first hour, last hour, part of the day); all other hours are overnight.
+DAYPARTS = [(5, 9, "am_peak"), (10, 15, "midday"), (16, 19, "pm_peak"), (20, 23, "evening")]
+#: Fixed values: (greatest delay in whole seconds, band), in order.
+BANDS = [(-61, "early"), (299, "on_time"), (899, "late")]
 #: Fixed values: (first route type, last route type, mode), basic and extended.
 MODES = [(0, 0, "tram"), (1, 1, "metro"), (2, 2, "rail"), (3, 3, "bus"), (4, 4, "ferry"), (100, 199, "rail"), (200, 299, "bus"), (400, 499, "metro"), (700, 799, "bus"), (900, 999, "tram"), (1000, 1299, "ferry")]
 
@@ -30,12 +34,18 @@ def gtfs_mode(route_type: Column) -> Column:
 
 def daypart(hour: Column) -> Column:
     """Part of the day of a local hour; null stays null."""
-    return F.when(hour.isNull(), F.lit(None)).when(hour.between(5, 9), "am_peak").when(hour.between(10, 15), "midday").when(hour.between(16, 19), "pm_peak").when(hour.between(20, 23), "evening").otherwise("overnight")
+    out = F.when(hour.isNull(), F.lit(None))
+    for first, last, name in DAYPARTS:
+        out = out.when(hour.between(first, last), name)
+    return out.otherwise("overnight")
 
 
 def otp_band(delay: Column) -> Column:
-    """``early`` before -60 s, ``on_time`` to 299, ``late`` to 899, else ``very_late``; null stays null."""
-    return F.when(delay < -60, "early").when(delay <= 299, "on_time").when(delay <= 899, "late").when(delay.isNotNull(), "very_late")
+    """Band of a delay in seconds, by its greatest value; ``very_late`` beyond all; null stays null."""
+    out = F.when(delay.isNull(), F.lit(None))
+    for most, name in BANDS:
+        out = out.when(delay <= most, name)
+    return out.otherwise("very_late")
 
 
 def alert_effect_rank(effect: Column) -> Column:

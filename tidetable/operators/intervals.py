@@ -20,18 +20,25 @@ def gaps(beats: DataFrame, keys: Sequence[str], longer_than: int = 600, unit: in
     return nxt.where(F.col("gap_seconds") > longer_than).select(*keys, F.timestamp_seconds(F.unix_seconds("beat") + unit).alias("gap_start"), "gap_end", "gap_seconds")
 
 
-def merge_islands(df: DataFrame, keys: Sequence[str], start: str, end: str) -> DataFrame:
-    """Overlapping or touching intervals of each key united: ``keys``, ``start``, ``end``, ``parts``.
-
-    A running maximum of the ends before each row decides whether it opens an island. Intervals with a null or an
-    end before their start are ignored; equal ones merge. All windows share one exchange.
-    """
-    ok = df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) >= F.col(start))).select(*keys, start, end)
+def _united(df: DataFrame, keys: Sequence[str], start: str, end: str, touching: bool) -> DataFrame:
     w = Window.partitionBy(*keys).orderBy(start, end)
     reach = F.max(end).over(w.rowsBetween(Window.unboundedPreceding, -1))
-    marked = ok.withColumn("__new", F.when(reach.isNull() | (reach < F.col(start)), 1).otherwise(0))
+    opens = reach.isNull() | (reach < F.col(start) if touching else reach <= F.col(start))
+    marked = df.withColumn("__new", F.when(opens, 1).otherwise(0))
     marked = marked.withColumn("__island", F.sum("__new").over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
-    return marked.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.count(F.lit(1)).alias("parts")).drop("__island")
+    return marked.groupBy(*keys, "__island").agg(F.min(start).alias(start), F.max(end).alias(end), F.sum("parts").alias("parts")).drop("__island")
+
+
+def merge_islands(df: DataFrame, keys: Sequence[str], start: str, end: str, touching: bool = True) -> DataFrame:
+    """Overlapping or (``touching``) touching intervals of each key united: ``keys``, ``start``, ``end``, ``parts``.
+
+    A running maximum of the ends before each row decides whether it opens an island. Intervals with a null or an
+    end before their start are ignored; equal ones merge. They are united first among those of a key that start on the
+    same day (numbers: in the same 86,400), then across days, so a key's window over all time holds islands and not intervals.
+    """
+    ok = df.where(F.col(start).isNotNull() & F.col(end).isNotNull() & (F.col(end) >= F.col(start))).select(*keys, start, end, F.lit(1).cast("bigint").alias("parts"))
+    day = F.to_date(start) if dict(df.dtypes)[start].startswith(("timestamp", "date")) else F.floor(F.col(start) / 86_400)
+    return _united(_united(ok.withColumn("__day", day), [*keys, "__day"], start, end, touching).drop("__day"), keys, start, end, touching)
 
 
 def by_day(df: DataFrame, start: str, end: str) -> DataFrame:

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidetable.operators.intervals import merge_islands
 from tidetable.session import broadcast_if_small
 
 
@@ -72,25 +73,48 @@ def version_for_date(days: DataFrame, versions: DataFrame, scope: Sequence[str],
     return asked.join(broadcast_if_small(lists), list(scope)).select(*scope, day, F.when(F.size(past) > 0, F.element_at(past, -1)["v"]).otherwise(F.element_at("__vs", 1)["v"]).alias(version))
 
 
+#: Seconds of the narrowest time bucket, and how often it is doubled for longer spans.
+_BUCKET, _LEVELS = 86_400, 24
+
+
+def _seconds(df: DataFrame, c: str) -> Column:
+    """A time or a number as seconds, with fractions."""
+    return F.unix_micros(F.col(c).cast("timestamp")) / 1e6 if dict(df.dtypes)[c].startswith(("timestamp", "date")) else F.col(c).cast("double")
+
+
 def inside_interval(points: DataFrame, intervals: DataFrame, keys: Sequence[str], at: str, start: str, end: str, strict: bool = True) -> DataFrame:
     """``points`` with ``inside``: whether some interval of equal keys holds the point (strictly, or with its ends).
 
-    Intervals are collapsed to one sorted array per key and points look it up, so a point is never repeated and no
-    nested-loop join arises.
+    Intervals are united (where strict, only those that overlap) and listed under each day they touch, so that a point
+    meets those of its own key and day in an equi-join, at most one of which holds it; no point is repeated, and a hot key is
+    spread over its days. Points with a null key or time are outside.
     """
-    lists = intervals.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, start, end])).groupBy(*keys).agg(F.array_sort(F.collect_set(F.struct(F.col(start).alias("s"), F.col(end).alias("e")))).alias("__is"))
-    lists = lists.select(*[F.col(k).alias(f"__{k}") for k in keys], "__is")
-    hit = F.exists("__is", lambda x: (F.col(at) > x["s"]) & (F.col(at) < x["e"]) if strict else (F.col(at) >= x["s"]) & (F.col(at) <= x["e"]))
-    joined = points.join(broadcast_if_small(lists), _all([points[k] == F.col(f"__{k}") for k in keys]), "left")
-    return joined.select(*points.columns, F.coalesce(hit, F.lit(False)).alias("inside"))
+    whole = intervals.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, start, end]))
+    one = merge_islands(whole, keys, start, end, touching=not strict)
+    first, last = (F.floor(_seconds(one, c) / _BUCKET) for c in (start, end))
+    listed = one.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(start).alias("__s"), F.col(end).alias("__e"), F.explode(F.sequence(first, last)).alias("__b"))
+    held = (F.col(at) > F.col("__s")) & (F.col(at) < F.col("__e")) if strict else (F.col(at) >= F.col("__s")) & (F.col(at) <= F.col("__e"))
+    asked = points.withColumn("__pb", F.floor(_seconds(points, at) / _BUCKET))
+    joined = asked.join(broadcast_if_small(listed), _all([asked[k] == F.col(f"__{k}") for k in keys] + [F.col("__pb") == F.col("__b"), held]), "left")
+    return joined.select(*[asked[c] for c in points.columns], F.col("__b").isNotNull().alias("inside"))
 
 
 def without_overlap(spans: DataFrame, intervals: DataFrame, keys: Sequence[str], first: str, last: str, start: str, end: str) -> DataFrame:
-    """``spans`` (first..last) that no interval of equal keys overlaps; spans with a null end are kept."""
-    lists = intervals.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, start, end])).groupBy(*keys).agg(F.collect_set(F.struct(F.col(start).alias("s"), F.col(end).alias("e"))).alias("__is"))
-    lists = lists.select(*[F.col(k).alias(f"__{k}") for k in keys], "__is")
-    hit = F.exists("__is", lambda x: (F.col(first) < x["e"]) & (F.col(last) > x["s"]))
-    return spans.join(broadcast_if_small(lists), _all([spans[k] == F.col(f"__{k}") for k in keys]), "left").where(~F.coalesce(hit, F.lit(False))).select(*spans.columns)
+    """``spans`` (first..last) that no interval of equal keys overlaps; spans with a null end or key are kept.
+
+    A span looks in one bucket: that of its last instant, in buckets at least as wide as the span is long. Intervals
+    are listed at every width under the buckets they touch and the next one, so an anti-join on key, width and
+    bucket sees every interval that may overlap. A hot key is spread over its buckets.
+    """
+    length = _seconds(spans, last) - _seconds(spans, first)
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(length, F.lit(1.0)) / _BUCKET))).cast("int")
+    asked = spans.withColumn("__level", level).withColumn("__at", F.floor(_seconds(spans, last) / (_BUCKET * F.pow(F.lit(2.0), F.col("__level")))))
+    whole = intervals.where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*keys, start, end]))
+    listed = whole.select(*[F.col(k).alias(f"__{k}") for k in keys], F.col(start).alias("__s"), F.col(end).alias("__e"), _seconds(whole, start).alias("__a"), _seconds(whole, end).alias("__z"), F.explode(F.sequence(F.lit(0), F.lit(_LEVELS))).alias("__l"))
+    width = _BUCKET * F.pow(F.lit(2.0), F.col("__l"))
+    listed = listed.where("__z >= __a").select(*[f"__{k}" for k in keys], "__s", "__e", "__l", F.explode(F.sequence(F.floor(F.col("__a") / width), F.floor(F.col("__z") / width) + 1)).alias("__b"))
+    met = _all([asked[k] == F.col(f"__{k}") for k in keys] + [F.col("__level") == F.col("__l"), F.col("__at") == F.col("__b"), F.col(first) < F.col("__e"), F.col(last) > F.col("__s")])
+    return asked.join(broadcast_if_small(listed), met, "left_anti").select(*spans.columns)
 
 
 def null_safe_anti(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> DataFrame:

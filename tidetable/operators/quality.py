@@ -8,6 +8,12 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def tally(df: DataFrame, checks: dict[str, Column]) -> DataFrame:
+    """Violations of many row-wise checks in one pass: ``check_name``, ``violations``. A check that is null for a row is no violation."""
+    one = df.agg(*[F.count_if(bad).alias(name) for name, bad in checks.items()])
+    return one.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.col(n).alias("violations")) for n in checks])).alias("x")).select("x.*")
+
+
 def out_of_range(df: DataFrame, column: str, low: float | None = None, high: float | None = None, strict_low: bool = False) -> DataFrame:
     """Rows whose non-null value lies beyond the bounds (``strict_low``: or equals the lower)."""
     bad = F.lit(False)

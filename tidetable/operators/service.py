@@ -114,10 +114,22 @@ def latest_fix(positions: DataFrame, vehicle: Sequence[str], at: str, before: Co
 
 
 def passages(snapshots: DataFrame, stops: DataFrame, train: Sequence[str], position: str, at: str, sign: str, stop_position: str, delay: str) -> DataFrame:
-    """First snapshot of each train at or past each of its stops along its direction, with the delay stated then."""
-    s = snapshots.select(*train, F.col(position).alias("__p"), F.col(at).alias("__t"), F.col(delay).alias("__d"))
-    met = stops.join(s, list(train)).where(F.col("__p") * F.col(sign) >= F.col(stop_position) * F.col(sign))
-    return met.groupBy(*stops.columns).agg(F.min("__t").alias("passed_at"), F.min_by("__d", F.struct("__t", "__d")).alias("stated_delay"))
+    """First snapshot of each train at or past each of its stops along its direction, with the delay stated then.
+
+    A train's furthest position so far only grows, so the first snapshot at or past a stop is the one at the least such
+    position that reaches it: a match as of, on positions instead of times, without pairing snapshots and stops.
+    Stops that are never reached are left out. Of equal times the smallest delay.
+    """
+    way = stops.select(*train, sign).where(" AND ".join(f"`{c}` IS NOT NULL" for c in [*train, sign])).distinct()
+    s = snapshots.select(*train, F.col(position).alias("__p"), F.col(at).alias("__t"), F.col(delay).alias("__d")).where("__p IS NOT NULL AND __t IS NOT NULL").join(way, list(train))
+    w = Window.partitionBy(*train, sign).orderBy("__t", F.col("__d").asc_nulls_last())
+    far = s.withColumn("__far", F.max(F.col("__p") * F.col(sign)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    # every snapshot already at or past a position states the time; the first one to get there counts
+    first = far.groupBy(*train, sign, (-F.col("__far").cast("double")).alias("__q")).agg(F.min(F.struct(F.col("__t").alias("t"), F.col("__d").isNull().alias("n"), F.col("__d").alias("d"))).alias("m"))
+    first = first.select(*train, sign, "__q", F.col("m.t").alias("passed_at"), F.col("m.d").alias("stated_delay"))
+    asked = stops.withColumn("__q", -(F.col(stop_position) * F.col(sign)).cast("double"))
+    met = asof_backward(asked, first, [*train, sign], "__q", "__q", ["passed_at", "stated_delay"])
+    return met.where("passed_at IS NOT NULL").select(*stops.columns, "passed_at", "stated_delay")
 
 
 def zone_share(stops: DataFrame, keys: Sequence[str], lat: str, lon: str, box: tuple[float, float, float, float]) -> DataFrame:

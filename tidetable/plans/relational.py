@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidetable.functions import domain
-from tidetable.operators import joins, rollup, transit
+from tidetable.operators import joins, rollup, service
 from tidetable.plans.base import query
 from tidetable.session import broadcast_if_small, load
 from tidetable.sources import readers
@@ -425,5 +425,5 @@ def stops_served(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stop_share(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Share of a route's distinct stops that meet a condition, as an allow-list derivation takes it."""
     s = load(spark, sf_dir, "fct_stop_events").where("route_id IS NOT NULL AND stop_id IS NOT NULL").select("city_key", "route_id", "stop_id", F.col("stop_id").startswith("P").cast("double").alias("lat"), F.lit(0.5).alias("lon"))
-    z = transit.zone_share(s, ["city_key", "route_id"], "lat", "lon", (0.5, 0.0, 1.5, 1.0))
+    z = service.zone_share(s, ["city_key", "route_id"], "lat", "lon", (0.5, 0.0, 1.5, 1.0))
     return z.where("stops_total >= 2").select("city_key", "route_id", F.col("zone_share").alias("share"))

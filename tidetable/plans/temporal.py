@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidetable.functions import domain
-from tidetable.operators import intervals, joins, quality, rollup, timestamps, transit
+from tidetable.operators import intervals, joins, quality, rollup, service, timestamps
 from tidetable.plans.base import query
 from tidetable.plans.relational import epoch
 from tidetable.session import broadcast_if_small, load
@@ -83,7 +83,7 @@ SELECT city, service_date, trip_uid, stop_sequence, a // 1000000 AS arrival, row
 def finalized_visits(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last valid prediction of each stop visit, as its arrival."""
     p = load(spark, sf_dir, "stop_time_predictions").select("city", "service_date", "trip_uid", "stop_sequence", "arr_pred_ts_utc", "fetched_at", "row_no")
-    v = transit.finalize(p, ["city", "service_date", "trip_uid", "stop_sequence"], "arr_pred_ts_utc", "fetched_at")
+    v = service.finalize(p, ["city", "service_date", "trip_uid", "stop_sequence"], "arr_pred_ts_utc", "fetched_at")
     micros = lambda c: F.floor(F.unix_micros(F.col(c).cast("timestamp")) / 1_000_000)
     return v.select("city", "service_date", "trip_uid", "stop_sequence", micros("arr_pred_ts_utc").alias("arrival"), "row_no", "n_predictions", micros("last_seen").alias("last_seen"))
 
@@ -97,7 +97,7 @@ h AS (SELECT own.*, plan.sched_gap_sec FROM own ASOF LEFT JOIN plan ON own.city_
 
 def _headways(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "fct_stop_events").select("city_key", "service_date", "route_id", "direction_id", "stop_id", "event_no", "actual_arr_ts_utc", "sched_arr_ts_utc")
-    return transit.headways(e, ["city_key", "service_date", "route_id", "direction_id", "stop_id"], "actual_arr_ts_utc", "sched_arr_ts_utc", "event_no")
+    return service.headways(e, ["city_key", "service_date", "route_id", "direction_id", "stop_id"], "actual_arr_ts_utc", "sched_arr_ts_utc", "event_no")
 
 
 @query(f"WITH {_HEADWAYS} SELECT event_no, gap_sec, sched_gap_sec, coalesce(gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) < 0.5, false) AS bunched, coalesce(gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) > 2.0, false) AS big_gap FROM h")
@@ -129,7 +129,7 @@ def _folded_events(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _seen_headways(spark: SparkSession, sf_dir: str) -> DataFrame:
     dark = _feed_gaps(spark, sf_dir).withColumnRenamed("city", "city_key")
-    h = transit.headways(_folded_events(spark, sf_dir), _KEYS.split(", "), "actual_arr_ts_utc", "sched_arr_ts_utc", "event_no", dark, ["city_key"])
+    h = service.headways(_folded_events(spark, sf_dir), _KEYS.split(", "), "actual_arr_ts_utc", "sched_arr_ts_utc", "event_no", dark, ["city_key"])
     city = load(spark, sf_dir, "dim_city").select("city_key", "iana_tz", F.coalesce("schedule_matchable", F.lit(True)).alias("matchable"), F.coalesce("gap_regularity_measurable", F.lit(True)).alias("measurable"))
     h = h.join(broadcast_if_small(city), "city_key", "left").withColumn("measurable", F.coalesce("measurable", F.lit(True)))
     return h.withColumn("sched_gap_sec", F.when(F.coalesce("matchable", F.lit(True)), F.col("sched_gap_sec")))
@@ -159,7 +159,7 @@ def route_day_excess_wait(spark: SparkSession, sf_dir: str) -> DataFrame:
     zone = broadcast_if_small(load(spark, sf_dir, "dim_city").select("city_key", "iana_tz"))
     part = lambda c: domain.daypart(F.hour(domain.local_time(F.col(c).cast("timestamp"), F.col("iana_tz")))).alias("daypart")
     keys = ["city_key", "service_date", "route_id", "direction_id"]
-    frequency = transit.service_frequency(_folded_events(spark, sf_dir).join(zone, "city_key"), [*keys, "stop_id"], "sched_arr_ts_utc", [part("sched_arr_ts_utc")], pooled=["stop_id"])
+    frequency = service.service_frequency(_folded_events(spark, sf_dir).join(zone, "city_key"), [*keys, "stop_id"], "sched_arr_ts_utc", [part("sched_arr_ts_utc")], pooled=["stop_id"])
     h = _seen_headways(spark, sf_dir).where("measurable AND gap_sec > 0").select(*keys, "stop_id", part("actual_arr_ts_utc"), "gap_sec", "sched_gap_sec")
     frequent = h.join(frequency.where("is_frequent").select(*keys, "daypart"), [*keys, "daypart"])
     x = rollup.excess_wait(frequent, keys, ["stop_id", "daypart"], "gap_sec", "sched_gap_sec", paired=False)
@@ -170,12 +170,12 @@ def route_day_excess_wait(spark: SparkSession, sf_dir: str) -> DataFrame:
 g AS (SELECT *, s - lag(s) OVER (PARTITION BY {_KEYS} ORDER BY s) AS gap FROM e) SELECT {_KEYS}, CAST(h AS INT) AS hour, quantile_cont(gap, 0.5) AS median_gap_sec, count(*) AS gaps, quantile_cont(gap, 0.5) <= 600 AS is_frequent FROM g WHERE gap > 0 GROUP BY {_KEYS}, h""")
 def service_frequency(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = load(spark, sf_dir, "fct_stop_events").withColumn("sched", F.date_trunc("second", F.col("sched_arr_ts_utc").cast("timestamp")))
-    return transit.service_frequency(e, ["city_key", "service_date", "route_id", "direction_id", "stop_id"], "sched", [F.hour("sched").alias("hour")])
+    return service.service_frequency(e, ["city_key", "service_date", "route_id", "direction_id", "stop_id"], "sched", [F.hour("sched").alias("hour")])
 
 
 @query("""SELECT city, CAST(epoch_us(date_trunc('hour', fetched_at)) // 1000000 AS BIGINT) AS hour, count(DISTINCT coalesce(vehicle_id, trip_uid)) AS vehicles, count(*) AS records, coalesce(bool_and(vehicle_id IS NOT NULL), false) AS reliable FROM stop_time_predictions WHERE fetched_at IS NOT NULL GROUP BY 1, 2""")
 def vehicle_activity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    v = transit.vehicle_activity(load(spark, sf_dir, "stop_time_predictions"), ["city"], "fetched_at", "vehicle_id", "trip_uid")
+    v = service.vehicle_activity(load(spark, sf_dir, "stop_time_predictions"), ["city"], "fetched_at", "vehicle_id", "trip_uid")
     return v.select("city", epoch("hour").alias("hour"), "vehicles", "records", "reliable")
 
 
@@ -184,7 +184,7 @@ m AS (SELECT city_key, unnest(generate_series(a, z, INTERVAL 1 MINUTE)) AS minut
 def in_motion_peak(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Most trips in motion in one minute, per city."""
     spans = load(spark, sf_dir, "fct_stop_events").where("trip_uid IS NOT NULL AND actual_arr_ts_utc IS NOT NULL").groupBy("trip_uid", "city_key").agg(F.min("actual_arr_ts_utc").alias("a"), F.max("actual_arr_ts_utc").alias("z"))
-    return transit.minute_census(spans, ["city_key"], "a", "z").groupBy("city_key").agg(F.max("live").alias("peak"))
+    return service.minute_census(spans, ["city_key"], "a", "z").groupBy("city_key").agg(F.max("live").alias("peak"))
 
 
 @query("""WITH n AS (SELECT max(fetched_at) AS t FROM stop_time_predictions) SELECT city, vehicle_id, row_no FROM (SELECT city, vehicle_id, row_no, row_number() OVER (PARTITION BY city, vehicle_id ORDER BY fetched_at DESC, row_no DESC) AS rn FROM stop_time_predictions, n
@@ -193,7 +193,7 @@ def latest_fix(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each vehicle's last row in the week up to the newest fetch."""
     p = load(spark, sf_dir, "stop_time_predictions").where("vehicle_id IS NOT NULL").select("city", "vehicle_id", "fetched_at", "row_no")
     newest = load(spark, sf_dir, "stop_time_predictions").agg(F.max(F.col("fetched_at").cast("timestamp")).alias("now"))
-    return transit.latest_fix(p, ["city", "vehicle_id"], "fetched_at", newest.scalar(), 7 * 86_400).select("city", "vehicle_id", "row_no")
+    return service.latest_fix(p, ["city", "vehicle_id"], "fetched_at", newest.scalar(), 7 * 86_400).select("city", "vehicle_id", "row_no")
 
 
 @query("""WITH m AS (SELECT timetable_id, unnest(odpt_train_timetable_object) AS x, generate_subscripts(odpt_train_timetable_object, 1) AS i FROM tokyo_odpt_train_timetable), p AS (SELECT timetable_id, i, regexp_replace(translate(x.departure_time, '０１２３４５６７８９：時分', '0123456789::'), ':$', '') AS t FROM m WHERE x.departure_time IS NOT NULL),
@@ -272,16 +272,19 @@ UNION ALL SELECT 'matched_without_route', count(*) FROM fct_stop_events WHERE st
 UNION ALL SELECT 'flags_disagree', count(*) FROM dim_route WHERE is_current IS DISTINCT FROM (valid_to IS NULL)""")
 def contracts(spark: SparkSession, sf_dir: str) -> DataFrame:
     e, d, p = (load(spark, sf_dir, t) for t in ("fct_stop_events", "dim_route", "stop_time_predictions"))
-    checks = {
-        "delay_range": quality.out_of_range(e, "delay_arr_sec", -1800, 21600), "route_null": quality.nulls(e, "route_id"), "event_unique": quality.duplicates(e, ["event_no"]),
-        "relationship_accepted": quality.unaccepted(p, "schedule_relationship", ["SCHEDULED", "CANCELED", "ADDED"]), "route_exists": quality.orphans(e, ["route_key"], d, ["route_key"]),
-        "versions_disjoint": quality.overlapping_versions(d, ["city_key", "route_id"], "valid_from", "valid_to"), "ghost_versions": quality.ghost_versions(d, ["route_short_name", "route_long_name", "agency_id"]),
-        "identity_shared": quality.shared_identity(p, "trip_uid", "vehicle_id"), "matched_without_route": e.where("static_trip_id IS NOT NULL AND route_id IS NULL"),
-        "flags_disagree": quality.disagreeing(d, F.col("is_current"), F.col("valid_to").isNull())}
-    out = None
-    for name, bad in checks.items():
-        row = bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations")
-        out = row if out is None else out.unionByName(row)
+    x = F.col
+    # row-wise checks of a table in one pass, beside the uniqueness of its key where there is one
+    events = e.groupBy("event_no").agg(F.count(F.lit(1)).alias("n"), F.count_if((x("delay_arr_sec") < -1800) | (x("delay_arr_sec") > 21600)).alias("delay"), F.count_if(x("route_id").isNull()).alias("unrouted"),
+                                       F.count_if(x("static_trip_id").isNotNull() & x("route_id").isNull()).alias("matched"))
+    events = events.agg(F.sum("delay").alias("delay_range"), F.sum("unrouted").alias("route_null"), F.count_if(x("n") > 1).alias("event_unique"), F.sum("matched").alias("matched_without_route"))
+    events = events.select(F.explode(F.array(*[F.struct(F.lit(n).alias("check_name"), F.coalesce(x(n), F.lit(0)).alias("violations")) for n in events.columns])).alias("x")).select("x.*")
+    routes = quality.tally(d, {"ghost_versions": x("route_short_name").isNull() & x("route_long_name").isNull() & x("agency_id").isNull(), "flags_disagree": ~x("is_current").eqNullSafe(x("valid_to").isNull())})
+    accepted = quality.tally(p, {"relationship_accepted": ~x("schedule_relationship").isin("SCHEDULED", "CANCELED", "ADDED")})
+    others = {"route_exists": quality.orphans(e, ["route_key"], d, ["route_key"]), "versions_disjoint": quality.overlapping_versions(d, ["city_key", "route_id"], "valid_from", "valid_to"),
+              "identity_shared": quality.shared_identity(p, "trip_uid", "vehicle_id")}
+    out = events.unionByName(routes).unionByName(accepted)
+    for name, bad in others.items():
+        out = out.unionByName(bad.agg(F.count(F.lit(1)).alias("violations")).select(F.lit(name).alias("check_name"), "violations"))
     return out
 
 

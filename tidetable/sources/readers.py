@@ -13,18 +13,20 @@ from pyspark.sql import types as T
 
 from tidetable.functions import domain
 
-_TRIP = "entity_id string, trip_id string, route_id string, direction_id int, start_date string, start_time string, schedule_relationship string, vehicle_id string, vehicle_label string, timestamp bigint"
+#: The declared columns of a message before its payload.
+ENVELOPE_HEAD = "city string, agency string, feed string, fetched_at string, source_format string, schema_version int, endpoint string, feed_ts bigint"
+#: The declared columns with which every trip record begins, and the records of each feed.
+RECORD_HEAD = "entity_id string, trip_id string, route_id string, direction_id int, start_date string, start_time string, schedule_relationship string, vehicle_id string, vehicle_label string, timestamp bigint"
 _CALL = "struct<time: bigint, delay: int, uncertainty: int>"
-#: Declared record schemas by feed.
 RECORDS = {
-    "trip_updates": f"{_TRIP}, stop_time_updates array<struct<stop_id: string, stop_sequence: int, arrival: {_CALL}, departure: {_CALL}, schedule_relationship: string>>",
-    "vehicle_positions": f"{_TRIP}, lat double, lon double, bearing double, speed double, current_stop_sequence int, stop_id string, current_status string, occupancy_status string",
+    "trip_updates": f"{RECORD_HEAD}, stop_time_updates array<struct<stop_id: string, stop_sequence: int, arrival: {_CALL}, departure: {_CALL}, schedule_relationship: string>>",
+    "vehicle_positions": f"{RECORD_HEAD}, lat double, lon double, bearing double, speed double, current_stop_sequence int, stop_id string, current_status string, occupancy_status string",
     "alerts": "alert_id string, active_periods array<struct<start: bigint, end: bigint>>, informed_entities array<struct<agency_id: string, route_id: string, route_type: int, stop_id: string, trip_id: string>>, "
               "cause string, effect string, severity_level string, header_text string, description_text string",
     "odpt_trains": "entity_id string, trip_id string, train_number string, operator string, railway string, rail_direction string, train_type string, delay_sec int, from_station string, to_station string, "
                    "origin_stations array<string>, destination_stations array<string>, car_composition int, train_index int, timestamp bigint, valid_until bigint, frequency_sec int",
 }
-#: Declared schedule files.
+#: The declared columns of the schedule files.
 SCHEDULE = {
     "routes": "route_id string, agency_id string, route_short_name string, route_long_name string, route_type int, route_color string",
     "trips": "trip_id string, route_id string, service_id string, direction_id int, trip_headsign string, shape_id string, block_id string",
@@ -37,11 +39,15 @@ SCHEDULE = {
 }
 
 
+def names(ddl: str) -> list[str]:
+    """Column names of a flat declared schema."""
+    return [c.split()[0] for c in ddl.split(",")]
+
+
 def envelope_schema(feed: str) -> T.StructType:
     """Schema of an envelope message whose payload holds the feed's records."""
     record = T.StructType.fromDDL(RECORDS[feed])
-    head = T.StructType.fromDDL("city string, agency string, feed string, fetched_at string, source_format string, schema_version int, endpoint string, feed_ts bigint")
-    return head.add("payload", T.ArrayType(record))
+    return T.StructType.fromDDL(ENVELOPE_HEAD).add("payload", T.ArrayType(record))
 
 
 def parse_envelopes(messages: DataFrame, feed: str, value: str = "value") -> DataFrame:
