@@ -138,3 +138,40 @@ def unmatched_then(left: DataFrame, exact: DataFrame, second: DataFrame, entity:
     e = exact.select(F.col(entity).alias("__e"), F.col(exact_at).alias("__x"))
     lost = left.join(e, (left[entity] == e["__e"]) & (F.abs(left[at] - e["__x"]) <= tolerance), "left_anti")
     return lost.join(second, [*keys, at])
+
+
+def rekeyed(left: DataFrame, exact: DataFrame, second: DataFrame, entity: str, keys: Sequence[str], at: str, exact_at: str, second_id: str, tolerance: int, confidence: float = 0.9) -> DataFrame:
+    """One match of each row that :func:`unmatched_then` recovers: ``entity``, the smallest ``second_id``, ``candidates`` and ``match_confidence``."""
+    met = unmatched_then(left, exact, second, entity, keys, at, exact_at, tolerance)
+    return met.groupBy(entity).agg(F.min(second_id).alias(second_id), F.countDistinct(second_id).alias("candidates")).withColumn("match_confidence", F.lit(confidence))
+
+
+def exact_matches(left: DataFrame, right: DataFrame, keys: Sequence[str], inherited: Sequence[str], confidence: float = 1.0) -> DataFrame:
+    """``left`` rows whose keys ``right`` has, with the ``inherited`` columns taken from ``right`` where they are null, and ``match_confidence``.
+
+    Of several right rows of one key the one with the smallest inherited values counts, so no left row is repeated.
+    Rows with a null key match nothing.
+    """
+    one = right.groupBy(*keys).agg(F.min(F.struct(*inherited)).alias("__r"))
+    joined = left.join(one, list(keys))
+    return joined.select(*[F.coalesce(F.col(c), F.col(f"__r.{c}")).alias(c) if c in inherited else F.col(c) for c in left.columns], F.lit(confidence).alias("match_confidence"))
+
+
+def not_in(left: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:
+    """``left`` rows whose ``key`` is NOT IN ``right``, by SQL's rule for null: a null on the right leaves nothing, a null key is kept only if
+    the right side is empty. An anti-join and two scalar subqueries, so nothing must be broadcast."""
+    r = right.select(F.col(right_key).alias("__k"))
+    nulls, rows = r.agg(F.count_if(F.col("__k").isNull()).alias("n")).scalar(), r.agg(F.count(F.lit(1)).alias("n")).scalar()
+    kept = left.join(r.where("__k IS NOT NULL").distinct(), left[key] == F.col("__k"), "left_anti")
+    return kept.where((rows == 0) | ((nulls == 0) & F.col(key).isNotNull()))
+
+
+def by_day_type(days: DataFrame, items: DataFrame, day: str, kind: str, types: dict[str, Sequence[int]]) -> DataFrame:
+    """``items`` of each day of ``days`` whose day type (``kind``) covers its weekday (Monday = 1).
+
+    The OR over day types is spelled out as a small table of (type, weekday), which makes two equi-joins of it.
+    """
+    spark = days.sparkSession
+    seed = spark.createDataFrame([(k, d) for k, ds in types.items() for d in ds], f"`{kind}` string, __dow int")
+    running = items.join(F.broadcast(seed), kind)
+    return days.withColumn("__dow", F.weekday(day) + 1).join(running, "__dow").drop("__dow")

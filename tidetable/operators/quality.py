@@ -88,3 +88,26 @@ def freshness(df: DataFrame, keys: Sequence[str], at: str, as_of: Column, warn_s
     newest = df.groupBy(*keys).agg(F.max(F.col(at).cast("timestamp")).alias("__at"))
     age = F.unix_seconds(as_of) - F.unix_seconds("__at")
     return newest.select(*keys, age.alias("age_sec")).withColumn("status", F.when(F.col("age_sec") > error_sec, "error").when(F.col("age_sec") > warn_sec, "warn").otherwise("ok"))
+
+
+def audit(df: DataFrame, hop: str, keys: Sequence[str], identity: str, grain: Sequence[str], scheduled: str | None) -> DataFrame:
+    """One hop of a pipeline per ``keys``: rows, rows without identity, repeated rows of the grain, rows with a schedule (null where a hop has none)."""
+    per = df.groupBy(*keys, *[F.col(c).alias(f"__g{i}") for i, c in enumerate(grain)]).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col(identity).isNull()).alias("w"), (F.count(scheduled) if scheduled else F.lit(None).cast("bigint")).alias("s"))
+    return per.groupBy(*keys).agg(F.sum("n").alias("n"), F.sum("w").alias("without_trip"), (F.sum("n") - F.count(F.lit(1))).alias("repeated"), F.sum("s").alias("with_schedule")).withColumn("hop", F.lit(hop))
+
+
+def growing(df: DataFrame, keys: Sequence[str], day: str, days: int) -> DataFrame:
+    """Rows that each key gained over its newest ``days`` days: ``seen``."""
+    per = df.groupBy(*keys, day).agg(F.count(F.lit(1)).alias("n")).withColumn("__k", F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(day).desc())))
+    return per.groupBy(*keys).agg(F.sum(F.when(F.col("__k") <= days, F.col("n")).otherwise(0)).alias("seen"))
+
+
+def judged(checks: DataFrame, severity: str) -> DataFrame:
+    """Checks with a boolean ``failed`` as ``severity`` and ``outcome``: pass, or the severity itself."""
+    return checks.withColumn("severity", F.lit(severity)).withColumn("outcome", F.when(F.col("failed"), severity).otherwise("pass")).drop("failed")
+
+
+def store_failures(bad: DataFrame, path: str, check: str) -> int:
+    """Keep the violating rows of a check beside those of others, replacing its earlier ones; their number."""
+    bad.write.mode("overwrite").parquet(f"{path}/check={check}")
+    return bad.sparkSession.read.parquet(f"{path}/check={check}").count()

@@ -82,6 +82,15 @@ def summed_streams(streams: dict[str, DataFrame], keys: Sequence[str]) -> DataFr
     return both.groupBy(*keys).agg(*[F.sum(s).alias(s) for s in streams])
 
 
+def summed_counts(relations: Sequence[DataFrame], keys: Sequence[str], counts: Sequence[str]) -> DataFrame:
+    """Relations that each hold ``keys`` and some of the ``counts`` put together, 0 where none has a count: union then sum."""
+    both = None
+    for df in relations:
+        part = df.select(*keys, *[(F.col(c) if c in df.columns else F.lit(0)).cast("bigint").alias(c) for c in counts])
+        both = part if both is None else both.unionByName(part)
+    return both.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in counts])
+
+
 def decimate(df: DataFrame, keys: Sequence[str], order: Sequence[str], most: int) -> DataFrame:
     """Every k-th row of each key so that about ``most`` stay, and always the first and last. Rows are kept in place, not sampled."""
     w = Window.partitionBy(*keys)

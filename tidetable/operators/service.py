@@ -53,6 +53,40 @@ def finalize(predictions: DataFrame, visit: Sequence[str], predicted: str, fetch
     return closed.select(*visit, f"__m.{predicted}", *[f"__m.{c}" for c in rest], "n_predictions", "first_seen", F.col(f"__m.{fetched}").alias("last_seen"))
 
 
+def finalize_with_schedule(predictions: DataFrame, matches: DataFrame, schedule: DataFrame, zones: DataFrame, fetched: str = "fetched_at", stale_minutes: int = 30, horizon_minutes: int = 20) -> DataFrame:
+    """One row per stop visit (``city``, ``service_date``, ``trip_uid``, ``stop_sequence``) from its last valid prediction and the matched schedule.
+
+    ``predictions`` hold times and delays of arrival and departure; ``matches`` ``trip_uid``, ``trip_id``; ``schedule`` ``city``,
+    ``trip_id``, ``stop_id``, ``stop_sequence`` and ``sched_sec`` of the service day; ``zones`` ``city`` and ``zone``. A trip's schedule rows of one stop are
+    held together (one, or few on loops), and the one nearest to the prediction, or without a predicted time to the fetch, is
+    taken, of equally near ones the first. A delay without a time stands for the schedule's time plus the delay (``method`` =
+    ``delay_plus_schedule``). Stale predictions, and visits still within the horizon of the newest fetch, are left out; so is what has
+    neither time nor schedule, stop or sequence. ``delay_arr_sec`` is the stated delay if plausible, else actual less scheduled.
+    """
+    t = lambda c: F.unix_micros(F.col(c).cast("timestamp"))
+    p = predictions.where("arr_pred_ts_utc IS NOT NULL OR dep_pred_ts_utc IS NOT NULL OR arr_delay_sec IS NOT NULL OR dep_delay_sec IS NOT NULL")
+    p = p.select("city", "service_date", "trip_uid", "stop_id", "stop_sequence", "row_no", "route_id", "schedule_relationship", "stu_schedule_relationship", "arr_delay_sec", "dep_delay_sec",
+                 t("arr_pred_ts_utc").alias("arr"), t("dep_pred_ts_utc").alias("dep"), t(fetched).alias("f")).withColumn("pred", F.coalesce("arr", "dep"))
+    stale = stale_minutes * 60_000_000
+    p = p.where(F.col("f").isNotNull() & (F.col("pred").isNull() | (F.col("f") <= F.col("pred") + stale)))
+    newest = p.agg(F.max("f").alias("n")).scalar()
+    stops = schedule.groupBy("city", "trip_id", "stop_id").agg(F.array_sort(F.collect_set(F.struct("stop_sequence", "sched_sec"))).alias("calls"))
+    p = p.join(matches.select("trip_uid", "trip_id"), "trip_uid", "left").join(stops, ["city", "trip_id", "stop_id"], "left").join(broadcast_if_small(zones), "city", "left")
+    midnight = F.unix_micros(domain.scheduled_instant(F.col("service_date"), F.lit(0), F.col("zone")))
+    near = F.array_min(F.transform("calls", lambda c: F.struct(F.abs(F.coalesce("pred", "f") - (F.col("midnight") + c["sched_sec"] * 1_000_000)).alias("far"), c["stop_sequence"].alias("seq"), (F.col("midnight") + c["sched_sec"] * 1_000_000).alias("at"))))
+    p = p.withColumn("midnight", midnight).withColumn("call", near).withColumn("seq", F.coalesce("stop_sequence", "call.seq"))
+    p = p.withColumn("arr_eff", F.coalesce("arr", F.col("call.at") + F.col("arr_delay_sec") * F.lit(1_000_000).cast("bigint"))).withColumn("dep_eff", F.coalesce("dep", F.col("call.at") + F.col("dep_delay_sec") * F.lit(1_000_000).cast("bigint")))
+    p = p.withColumn("eff", F.coalesce("pred", "arr_eff", "dep_eff"))
+    p = p.where((F.col("f") <= F.col("eff") + stale) & (F.col("eff") <= newest - horizon_minutes * 60_000_000) & F.col("trip_uid").isNotNull() & F.col("seq").isNotNull() & F.col("stop_id").isNotNull())
+    last = F.max(F.struct("f", "eff", "row_no", "route_id", "stop_id", "trip_id", "pred", "arr_eff", "arr_delay_sec", F.col("call.at").alias("sched"), "schedule_relationship", "stu_schedule_relationship")).alias("m")
+    one = p.groupBy("city", "service_date", "trip_uid", F.col("seq").alias("stop_sequence")).agg(last, F.count(F.lit(1)).alias("n_predictions"), F.min("f").alias("first_seen"))
+    moment = lambda c: F.timestamp_micros(F.col(c))
+    delay = domain.effective_delay(F.col("m.arr_delay_sec"), moment("m.pred"), moment("m.sched")).cast("int")
+    return one.select("city", "service_date", "trip_uid", "stop_sequence", F.col("m.row_no").alias("row_no"), F.col("m.route_id").alias("route_id"), F.col("m.stop_id").alias("stop_id"), F.col("m.trip_id").alias("static_trip_id"), moment("m.sched").alias("sched_arr_ts_utc"),
+                      moment("m.arr_eff").alias("actual_arr_ts_utc"), delay.alias("delay_arr_sec"), F.col("m.schedule_relationship").alias("schedule_relationship"), (F.col("m.stu_schedule_relationship") == "SKIPPED").alias("skipped"),
+                      F.when(F.col("m.pred").isNotNull(), "last_prediction").otherwise("delay_plus_schedule").alias("method"), "n_predictions", moment("first_seen").alias("first_seen"), moment("m.f").alias("last_seen"))
+
+
 def headways(events: DataFrame, keys: Sequence[str], actual: str, scheduled: str, trip: str, feed_gaps: DataFrame | None = None, gap_keys: Sequence[str] = ()) -> DataFrame:
     """Gaps between consecutive arrivals per ``keys`` beside the schedule's own gap as of the arrival.
 

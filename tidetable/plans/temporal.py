@@ -135,7 +135,10 @@ def _seen_headways(spark: SparkSession, sf_dir: str) -> DataFrame:
     return h.withColumn("sched_gap_sec", F.when(F.coalesce("matchable", F.lit(True)), F.col("sched_gap_sec")))
 
 
-@query(f"""WITH {_SEEN} SELECT event_no, gap_sec, sched_gap_sec, CASE WHEN measurable THEN gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) < 0.5 END AS bunched, CASE WHEN measurable THEN gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) > 2.0 END AS big_gap FROM seen""")
+HEADWAY_SQL = f"""WITH {_SEEN} SELECT event_no, gap_sec, sched_gap_sec, CASE WHEN measurable THEN gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) < 0.5 END AS bunched, CASE WHEN measurable THEN gap_sec / nullif(CAST(sched_gap_sec AS DOUBLE), 0) > 2.0 END AS big_gap FROM seen"""
+
+
+@query(HEADWAY_SQL)
 def headways_outside_gaps(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Headways that no feed gap of the city overlaps, unknown directions as one; no flags where a city's gaps measure nothing."""
     h = _seen_headways(spark, sf_dir)
@@ -147,13 +150,16 @@ _DAYPART = "CASE WHEN {0} BETWEEN 5 AND 9 THEN 'am_peak' WHEN {0} BETWEEN 10 AND
 _LOCAL_HOUR = "hour(timezone(iana_tz, timezone('UTC', {0})))"
 
 
-@query(f"""WITH {_SEEN}, every AS (SELECT DISTINCT {_KEYS}, s, {_LOCAL_HOUR.format("sched_arr_ts_utc")} AS h FROM ev JOIN dim_city USING (city_key) WHERE s IS NOT NULL),
+ROUTE_DAY_WAIT_SQL = f"""WITH {_SEEN}, every AS (SELECT DISTINCT {_KEYS}, s, {_LOCAL_HOUR.format("sched_arr_ts_utc")} AS h FROM ev JOIN dim_city USING (city_key) WHERE s IS NOT NULL),
 step AS (SELECT *, s // 1000000 - lag(s) OVER (PARTITION BY {_KEYS} ORDER BY s) // 1000000 AS step FROM every),
 frequent AS (SELECT city_key, service_date, route_id, direction_id, {_DAYPART.format("h")} AS daypart FROM step WHERE step > 0 GROUP BY ALL HAVING quantile_cont(step, 0.5) <= 600),
 parts AS (SELECT *, {_DAYPART.format("h")} AS daypart FROM (SELECT *, {_LOCAL_HOUR.format("actual_arr_ts_utc")} AS h FROM seen WHERE measurable AND gap_sec > 0)),
 slices AS (SELECT city_key, service_date, route_id, direction_id, stop_id, daypart, sum(CAST(gap_sec AS DOUBLE) * gap_sec) / (2 * sum(CAST(gap_sec AS DOUBLE))) - sum(CAST(sched_gap_sec AS DOUBLE) * sched_gap_sec) / nullif(2 * sum(CAST(sched_gap_sec AS DOUBLE)), 0) AS e, count(*) AS n
 FROM parts JOIN frequent USING (city_key, service_date, route_id, direction_id, daypart) GROUP BY ALL)
-SELECT city_key, service_date, route_id, direction_id, round(sum(e * n) / sum(n), 4) AS ewt_sec, CAST(sum(n) AS BIGINT) AS gaps FROM slices WHERE e IS NOT NULL GROUP BY ALL""")
+SELECT city_key, service_date, route_id, direction_id, round(sum(e * n) / sum(n), 4) AS ewt_sec, CAST(sum(n) AS BIGINT) AS gaps FROM slices WHERE e IS NOT NULL GROUP BY ALL"""
+
+
+@query(ROUTE_DAY_WAIT_SQL)
 def route_day_excess_wait(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Excess wait of each route-day and direction over its frequent slices of stop and part of the local day."""
     zone = broadcast_if_small(load(spark, sf_dir, "dim_city").select("city_key", "iana_tz"))
