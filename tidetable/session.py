@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import os
+import tempfile
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,3 +28,14 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
     """Hint a broadcast only if the optimizer's estimate stays under ``limit``; otherwise leave the choice to the planner."""
     return F.broadcast(df) if estimated_bytes(df) <= limit else df
 
+
+
+def workspace(spark: SparkSession, name: str) -> str:
+    """A new folder for written tables under the shared folder that ``spark.checkpoint.dir`` names; in a local session without one, under the
+    machine's temporary folder."""
+    root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir names no shared folder")
+        root = os.path.join(tempfile.gettempdir(), f"tidetable-{os.getuid()}")
+    return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"

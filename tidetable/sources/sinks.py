@@ -13,9 +13,73 @@ def overwrite_partitions(df: DataFrame, path: str, partitions: Sequence[str]) ->
     df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(*partitions).parquet(path)
 
 
-def ensure_table(spark: SparkSession, name: str, ddl: str, partitions: Sequence[str] = ()) -> None:
-    """Create a parquet table if there is none."""
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet" + (f" PARTITIONED BY ({', '.join(partitions)})" if partitions else ""))
+def ensure_table(spark: SparkSession, name: str, ddl: str, partitions: Sequence[str] = (), location: str | None = None) -> None:
+    """Create a parquet table if there is none, at ``location`` if one is given."""
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({ddl}) USING parquet" + (f" PARTITIONED BY ({', '.join(partitions)})" if partitions else "") + (f" LOCATION '{location}'" if location else ""))
+
+
+def evolve_table(df: DataFrame, name: str) -> list[str]:
+    """Append ``df`` to a table whose columns it may lack or exceed: columns that the table lacks are added to it first, those that ``df`` lacks
+    are null. Earlier rows stay. The names added; a column whose type changed is refused."""
+    table = df.sparkSession.table(name)
+    _, changed = evolved(df, table)
+    if changed and any(dict(df.dtypes).get(c, t) != t for c, t in table.dtypes):
+        raise ValueError(f"{name}: a column changed its type")
+    added = [(c, t) for c, t in df.dtypes if c not in table.columns]
+    if added:
+        df.sparkSession.sql(f"ALTER TABLE {name} ADD COLUMNS (" + ", ".join(f"`{c}` {t}" for c, t in added) + ")")
+    now = df.sparkSession.table(name)
+    df.select(*[F.col(c) if c in df.columns else F.lit(None).cast(t).alias(c) for c, t in now.dtypes]).write.insertInto(name)
+    return [c for c, _ in added]
+
+
+def full_refresh(df: DataFrame, name: str, location: str) -> DataFrame:
+    """Write ``df`` anew as a table's whole content, and give the table."""
+    df.write.mode("overwrite").option("path", location).saveAsTable(name)
+    return df.sparkSession.table(name)
+
+
+def catalog(spark: SparkSession, names: Sequence[str]) -> DataFrame:
+    """``table``, ``rows`` and ``columns`` of tables and views by name; a missing one is left out."""
+    out = None
+    for n in names:
+        if spark.catalog.tableExists(n):
+            t = spark.table(n)
+            one = t.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(n).alias("table"), "rows", F.lit(len(t.columns)).alias("columns"))
+            out = one if out is None else out.unionByName(one)
+    return out if out is not None else spark.createDataFrame([], "`table` string, rows bigint, columns int")
+
+
+def rolled_back(spark: SparkSession, root: str, before: str, least: int = 1) -> DataFrame:
+    """The version a table had at ``before``; refused if there is none or it holds fewer than ``least`` rows."""
+    path = version_as_of(spark, root, before)
+    if path is None:
+        raise ValueError(f"{root}: no version at {before}")
+    df = spark.read.parquet(path)
+    if len(df.take(least)) < least:
+        raise ValueError(f"{path}: fewer than {least} rows")
+    return df
+
+
+def zipped(rows: DataFrame, path: str, member: str, lines: str) -> DataFrame:
+    """``path`` and ``content``: one archive per row with the member ``member`` of the row's ``lines`` (an array of text)."""
+    import io
+    import zipfile
+    from collections.abc import Iterable, Iterator
+
+    import pyarrow as pa
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = []
+            for ls in batch.column(1).to_pylist():
+                held = io.BytesIO()
+                with zipfile.ZipFile(held, "w", zipfile.ZIP_DEFLATED) as z:
+                    z.writestr(member, "\n".join(ls or []))
+                out.append(held.getvalue())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], ["path", "content"])
+
+    return rows.select(F.col(path), F.col(lines)).mapInArrow(run, "path string, content binary")
 
 
 def evolved(df: DataFrame, existing: DataFrame) -> tuple[DataFrame, bool]:
