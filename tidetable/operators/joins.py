@@ -149,12 +149,12 @@ def rekeyed(left: DataFrame, exact: DataFrame, second: DataFrame, entity: str, k
 def exact_matches(left: DataFrame, right: DataFrame, keys: Sequence[str], inherited: Sequence[str], confidence: float = 1.0) -> DataFrame:
     """``left`` rows whose keys ``right`` has, with the ``inherited`` columns taken from ``right`` where they are null, and ``match_confidence``.
 
-    Of several right rows of one key the one with the smallest inherited values counts, so no left row is repeated.
+    Of several right rows of one key the one with the smallest inherited values counts, nulls last, so no left row is repeated.
     Rows with a null key match nothing.
     """
-    one = right.groupBy(*keys).agg(F.min(F.struct(*inherited)).alias("__r"))
+    one = right.groupBy(*keys).agg(F.min(F.struct(*[F.struct(F.col(c).isNull().alias("n"), F.col(c)).alias(c) for c in inherited])).alias("__r"))
     joined = left.join(one, list(keys))
-    return joined.select(*[F.coalesce(F.col(c), F.col(f"__r.{c}")).alias(c) if c in inherited else F.col(c) for c in left.columns], F.lit(confidence).alias("match_confidence"))
+    return joined.select(*[F.coalesce(F.col(c), F.col(f"__r.{c}.{c}")).alias(c) if c in inherited else F.col(c) for c in left.columns], F.lit(confidence).alias("match_confidence"))
 
 
 def not_in(left: DataFrame, right: DataFrame, key: str, right_key: str) -> DataFrame:

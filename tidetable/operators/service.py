@@ -73,7 +73,7 @@ def finalize_with_schedule(predictions: DataFrame, matches: DataFrame, schedule:
     stops = schedule.groupBy("city", "trip_id", "stop_id").agg(F.array_sort(F.collect_set(F.struct("stop_sequence", "sched_sec"))).alias("calls"))
     p = p.join(matches.select("trip_uid", "trip_id"), "trip_uid", "left").join(stops, ["city", "trip_id", "stop_id"], "left").join(broadcast_if_small(zones), "city", "left")
     midnight = F.unix_micros(domain.scheduled_instant(F.col("service_date"), F.lit(0), F.col("zone")))
-    near = F.array_min(F.transform("calls", lambda c: F.struct(F.abs(F.coalesce("pred", "f") - (F.col("midnight") + c["sched_sec"] * 1_000_000)).alias("far"), c["stop_sequence"].alias("seq"), (F.col("midnight") + c["sched_sec"] * 1_000_000).alias("at"))))
+    near = F.array_min(F.transform("calls", lambda c: F.struct(F.abs(F.coalesce("pred", "f") - (F.col("midnight") + c["sched_sec"].cast("bigint") * 1_000_000)).alias("far"), c["stop_sequence"].alias("seq"), (F.col("midnight") + c["sched_sec"].cast("bigint") * 1_000_000).alias("at"))))
     p = p.withColumn("midnight", midnight).withColumn("call", near).withColumn("seq", F.coalesce("stop_sequence", "call.seq"))
     p = p.withColumn("arr_eff", F.coalesce("arr", F.col("call.at") + F.col("arr_delay_sec") * F.lit(1_000_000).cast("bigint"))).withColumn("dep_eff", F.coalesce("dep", F.col("call.at") + F.col("dep_delay_sec") * F.lit(1_000_000).cast("bigint")))
     p = p.withColumn("eff", F.coalesce("pred", "arr_eff", "dep_eff"))
