@@ -63,6 +63,16 @@ def plain(text: str) -> tuple[str, int, int]:
     return t, sum(len(m) - m.count(" ") for m in found), len(found)
 
 
+#: What a unit is made of. Word pairs and words recur from OFTEN times on, or from OFTEN_SHARE of the words of a long text. A unit is stuffed if RECURRING of its
+#: pairs recur and its function words stay below MOST_FUNCTION (by its words, or for Japanese by its characters), if it is a short one (SHORT_UNIT words) that stands REPEATED times, or a
+#: long one that does so with hardly any function word (HARDLY), or a run of at least SHORT_UNIT words of which COMMON recur without function words (NONE).
+OFTEN, OFTEN_SHARE = 3, 0.004
+RECURRING, COMMON, REPEATED, SHORT_UNIT = 0.4, 0.6, 4, 8
+MOST_FUNCTION = {"ja": 0.15, "short": 0.3, "long": 0.2}
+HARDLY, NONE = 0.1, 0.05
+#: Function words of prose: their share of a unit's words, or of its characters in Japanese, from units of FEWEST_WORDS on; bare units have at most BARE_WORDS.
+PROSE, PROSE_EAST, FEWEST_WORDS, BARE_WORDS, BARE_FUNCTION = 0.2, 0.25, 4, 7, 0.3
+
 NAMES = ("n_chars", "function_share", "top_word_share", "ngram_share", "duplicate_share", "link_share", "separator_density", "datum_share", "stuffed_share", "prose_share", "bare_share", "n_links", "n_units")
 LANGUAGES = [*_LANGS, "ja", "und"]
 #: Multiplier of the rolling hash that names a unit by its words.
@@ -140,11 +150,11 @@ def features(texts: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     again = np.zeros(n_units, bool)
     if n_units:
         again = pd.DataFrame({"d": of, "n": name, "l": length}).duplicated().to_numpy()
-    once = np.where((again & (length > 8))[k], 0.0, 1.0) if n_units else np.zeros(0)
+    once = np.where((again & (length > SHORT_UNIT))[k], 0.0, 1.0) if n_units else np.zeros(0)
 
     # words and pairs
     total_words = np.maximum(1, np.bincount(d, minlength=n_docs))
-    often = np.maximum(3, 0.004 * total_words)
+    often = np.maximum(OFTEN, OFTEN_SHARE * total_words)
     single = _counts(d, w, weight=once)
     top = np.zeros(n_docs)
     np.maximum.at(top, d, _counts(d, w))
@@ -166,17 +176,17 @@ def features(texts: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     lang = np.where(east > 0.3 * np.maximum(1, chars), LANGUAGES.index("ja"), lang)
     known = sums(owner_of.any(0)[w])
     functional = np.where(cjk > 0, kana / np.maximum(1, cjk), np.where((lang < len(_LANGS))[of], by_unit.max(0), known) / np.maximum(1, length)) if n_units else np.zeros(0)
-    full = np.where(cjk > 0, functional >= 0.25, (functional >= 0.2) & (length >= 4))
+    full = np.where(cjk > 0, functional >= PROSE_EAST, (functional >= PROSE) & (length >= FEWEST_WORDS))
     own = hits[np.minimum(lang, len(_LANGS) - 1), np.arange(n_docs)] / total_words
     function = np.where(lang == LANGUAGES.index("ja"), np.bincount(of, weights=kana, minlength=n_docs) / np.maximum(1, east), np.where(lang < len(_LANGS), own, 0))
 
     # what each unit is
-    limit = np.where(cjk > 0, 0.15, np.where(length < 10, 0.3, 0.2))
-    repeated = (whole >= 4) & np.where(length <= 8, ~(full & (length > 5)), functional < 0.1)
-    run = (length >= 8) & (functional < 0.05) & (common >= 0.6) & (cjk == 0)
-    stuffed = ~is_datum & (repeated | (recurring >= 0.4) & (functional < limit) | run)
+    limit = np.where(cjk > 0, MOST_FUNCTION["ja"], np.where(length < 10, MOST_FUNCTION["short"], MOST_FUNCTION["long"]))
+    repeated = (whole >= REPEATED) & np.where(length <= SHORT_UNIT, ~(full & (length > FEWEST_WORDS + 1)), functional < HARDLY)
+    run = (length >= SHORT_UNIT) & (functional < NONE) & (common >= COMMON) & (cjk == 0)
+    stuffed = ~is_datum & (repeated | (recurring >= RECURRING) & (functional < limit) | run)
     prose = ~is_datum & ~stuffed & full
-    bare = ~is_datum & ~stuffed & ~full & (functional < 0.3) & (length <= 7)
+    bare = ~is_datum & ~stuffed & ~full & (functional < BARE_FUNCTION) & (length <= BARE_WORDS)
     part = lambda x: np.bincount(of, weights=size * x, minlength=n_docs)
     total = np.maximum(1, chars + linked)
     values = [np.array([float(len(t)) for t in texts]), function, top / total_words, recurrent / np.maximum(1, grams), part(whole > 1) / total, linked / total, separators / total,
