@@ -328,9 +328,10 @@ def cancellations(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _delivery(spark, sf_dir).groupBy("city").agg(F.sum("scheduled").alias("scheduled_trips"), F.round(100 * F.avg(domain.ratio(F.col("cancelled"), F.col("scheduled"))), 6).alias("mean_cancel_pct"))
 
 
-@query("""WITH r AS (SELECT city_key, route_id, round(100 * sum(otp_pct * banded_events) / nullif(sum(CASE WHEN otp_pct IS NOT NULL THEN banded_events END), 0), 1) AS otp, sum(banded_events) AS b FROM fct_route_reliability_daily GROUP BY 1, 2 HAVING sum(banded_events) >= 20),
-k AS (SELECT city_key, otp, row_number() OVER (PARTITION BY city_key ORDER BY otp) - 1 AS i, count(*) OVER (PARTITION BY city_key) AS n FROM r WHERE otp IS NOT NULL)
-SELECT city_key, max(n) AS routes, max(CASE WHEN i = least(floor(0.1 * n), n - 1) THEN otp END) AS p10_otp, max(CASE WHEN i = least(floor(0.5 * n), n - 1) THEN otp END) AS p50_otp, max(CASE WHEN i = least(floor(0.9 * n), n - 1) THEN otp END) AS p90_otp, round(100.0 * count(*) FILTER (WHERE otp >= 80) / max(n), 4) AS ge_80_pct FROM k GROUP BY 1""")
+@query("""WITH r AS (SELECT city_key, round(100 * sum(otp_pct * banded_events) / nullif(sum(CASE WHEN otp_pct IS NOT NULL THEN banded_events END), 0), 1) AS otp FROM fct_route_reliability_daily GROUP BY city_key, route_id HAVING sum(banded_events) >= 20),
+l AS (SELECT city_key, list(otp ORDER BY otp) AS os FROM r WHERE otp IS NOT NULL GROUP BY 1)
+SELECT city_key, len(os) AS routes, os[1 + CAST(least(floor(0.1 * len(os)), len(os) - 1) AS INT)] AS p10_otp, os[1 + CAST(least(floor(0.5 * len(os)), len(os) - 1) AS INT)] AS p50_otp, os[1 + CAST(least(floor(0.9 * len(os)), len(os) - 1) AS INT)] AS p90_otp,
+round(100.0 * len(list_filter(os, lambda o: o >= 80)) / len(os), 4) AS ge_80_pct FROM l""")
 def route_spread(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How a city's routes spread: nearest-rank quantiles over routes of their weighted punctuality."""
     d = load(spark, sf_dir, "fct_route_reliability_daily").groupBy("city_key", "route_id").agg(F.round(100 * rollup.weighted_mean(F.col("otp_pct"), F.col("banded_events")), 1).alias("otp"), F.sum("banded_events").alias("b")).where("b >= 20 AND otp IS NOT NULL")

@@ -7,6 +7,8 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidetable.sources.readers import RECORDS, envelope_schema
+
 _TITLE = "struct<en: string, ja: string>"
 #: The declared fields of an object, of whatever type.
 OBJECT = ("`@id` string, `@type` string, `owl:sameAs` string, `dc:date` string, `dc:title` string, `dct:valid` string, `odpt:operator` string, `odpt:railway` string, `odpt:railDirection` string, `odpt:trainNumber` string, `odpt:trainType` string, "
@@ -54,26 +56,48 @@ def _either(title: str) -> Column:
     return F.coalesce(F.nullif(F.col(f"`{title}`.en"), F.lit("")), F.col(f"`{title}`.ja"))
 
 
+#: Which field of an object each declared column of a live train holds, as it is, without its prefix, as an instant, or as a list.
+PLAIN = {"entity_id": "@id", "train_number": "odpt:trainNumber", "railway": "odpt:railway", "rail_direction": "odpt:railDirection", "train_type": "odpt:trainType", "delay_sec": "odpt:delay", "from_station": "odpt:fromStation", "to_station": "odpt:toStation",
+         "car_composition": "odpt:carComposition", "train_index": "odpt:index", "frequency_sec": "odpt:frequency"}
+TAILS = {"trip_id": "owl:sameAs", "operator": "odpt:operator"}
+INSTANTS = {"timestamp": "dc:date", "valid_until": "dct:valid"}
+LISTS = {"origin_stations": "odpt:originStation", "destination_stations": "odpt:destinationStation"}
+
+
+def _declared(column: str) -> Column:
+    """A declared column of a live train from its object."""
+    if column in TAILS:
+        return tail(F.col(f"`{TAILS[column]}`"))
+    if column in INSTANTS:
+        return epoch(F.col(f"`{INSTANTS[column]}`"))
+    if column in LISTS:
+        return F.coalesce(F.col(f"`{LISTS[column]}`"), F.array().cast("array<string>"))
+    return F.col(f"`{PLAIN[column]}`")
+
+
 def trains(of: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
     """Live trains as records of the declared schema, beside the columns to ``keep``."""
-    c = lambda name: F.col(f"`{name}`")
-    none = F.array().cast("array<string>")
-    return of.where("`@type` = 'odpt:Train'").select(
-        *keep, c("@id").alias("entity_id"), tail(c("owl:sameAs")).alias("trip_id"), c("odpt:trainNumber").alias("train_number"), tail(c("odpt:operator")).alias("operator"), c("odpt:railway").alias("railway"), c("odpt:railDirection").alias("rail_direction"),
-        c("odpt:trainType").alias("train_type"), c("odpt:delay").alias("delay_sec"), c("odpt:fromStation").alias("from_station"), c("odpt:toStation").alias("to_station"), F.coalesce(c("odpt:originStation"), none).alias("origin_stations"),
-        F.coalesce(c("odpt:destinationStation"), none).alias("destination_stations"), c("odpt:carComposition").alias("car_composition"), c("odpt:index").alias("train_index"), epoch(c("dc:date")).alias("timestamp"), epoch(c("dct:valid")).alias("valid_until"),
-        c("odpt:frequency").alias("frequency_sec"))
+    return of.where("`@type` = 'odpt:Train'").select(*keep, *[_declared(c).alias(c) for c in [f.split()[0] for f in _split(RECORDS["odpt_trains"])]])
 
 
 def notices(of: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
-    """Train information as alert records, beside the columns to ``keep``; an object without a status says that service is normal and gives none."""
-    c = lambda name: F.col(f"`{name}`")
-    none = F.lit(None).cast("string")
-    period = F.struct(epoch(c("odpt:timeOfOrigin")).alias("start"), epoch(c("odpt:resumeEstimate")).alias("end"))
-    entity = F.struct(tail(c("odpt:operator")).alias("agency_id"), c("odpt:railway").alias("route_id"), F.lit(None).cast("int").alias("route_type"), none.alias("stop_id"), none.alias("trip_id"))
-    return of.where("`@type` = 'odpt:TrainInformation'").where(_either("odpt:trainInformationStatus").isNotNull()).select(
-        *keep, c("owl:sameAs").alias("alert_id"), F.array(period).alias("active_periods"), F.array(entity).alias("informed_entities"), _either("odpt:trainInformationCause").alias("cause"), none.alias("effect"), none.alias("severity_level"),
-        _either("odpt:trainInformationStatus").alias("header_text"), _either("odpt:trainInformationText").alias("description_text"))
+    """Train information as alert records, beside the columns to ``keep``; an object without a status says that service is normal and gives none.
+
+    A notice names one railway and one span, so it has one entity and one period; what the declared record has besides is null.
+    """
+    told = of.where("`@type` = 'odpt:TrainInformation'").withColumn("__status", _either("odpt:trainInformationStatus")).where("__status IS NOT NULL")
+    span = {"start": epoch(F.col("`odpt:timeOfOrigin`")), "end": epoch(F.col("`odpt:resumeEstimate`"))}
+    line = {"agency_id": tail(F.col("`odpt:operator`")), "route_id": F.col("`odpt:railway`")}
+    known = {"alert_id": F.col("`owl:sameAs`"), "cause": _either("odpt:trainInformationCause"), "header_text": F.col("__status"), "description_text": _either("odpt:trainInformationText")}
+    columns = []
+    for f in envelope_schema("alerts")["payload"].dataType.elementType.fields:
+        inner = getattr(f.dataType, "elementType", None)
+        if inner is None:
+            columns.append(known.get(f.name, F.lit(None)).cast(f.dataType).alias(f.name))
+        else:
+            given = span if f.name == "active_periods" else line
+            columns.append(F.array(F.struct(*[given.get(x.name, F.lit(None)).cast(x.dataType).alias(x.name) for x in inner.fields])).alias(f.name))
+    return told.select(*keep, *columns)
 
 
 def envelopes(of: DataFrame, head: Sequence[str]) -> DataFrame:
