@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from tidetable.plans import base, delivery, exports, feeds, problems, problems_sql, relational, temporal  # noqa: F401
+from tidetable.plans import base, delivery, exports, feeds, problems, problems_sql, relational, schedule, temporal  # noqa: F401
 
 
 def queries() -> dict[str, Callable]:
