@@ -193,6 +193,33 @@ def odpt_calendars(spark: SparkSession, sf_dir: str) -> DataFrame:
     return odpt.calendars(odpt.objects(t)).groupBy("calendar_urn", "title_en").agg(F.count(F.lit(1)).alias("timetables"))
 
 
+_CLOCK = "CASE WHEN {0} LIKE '%:%' THEN CAST(split_part({0}, ':', 1) AS INT) * 3600 + CAST(split_part({0}, ':', 2) AS INT) * 60 + coalesce(TRY_CAST(split_part({0}, ':', 3) AS INT), 0) ELSE CAST({0}[:-3] AS INT) * 3600 + CAST({0}[-2:] AS INT) * 60 END"
+
+
+@query(f"""WITH c AS (SELECT timetable_id, unnest(odpt_train_timetable_object) AS x, generate_subscripts(odpt_train_timetable_object, 1) AS i FROM tokyo_odpt_train_timetable),
+turns AS (SELECT timetable_id, i * 2 - 1 AS k, x.arrival_time AS t FROM c UNION ALL SELECT timetable_id, i * 2, x.departure_time FROM c),
+read AS (SELECT timetable_id, k, {_CLOCK.format("t")} AS s FROM (SELECT timetable_id, k, regexp_replace(translate(t, '０１２３４５６７８９：時分', '0123456789::'), ':$', '') AS t FROM turns WHERE t IS NOT NULL)),
+back AS (SELECT *, CASE WHEN s < lag(s) OVER w THEN 1 ELSE 0 END AS b, first_value(s) OVER w AS first FROM read WINDOW w AS (PARTITION BY timetable_id ORDER BY k)),
+run AS (SELECT timetable_id, k, s + 86400 * sum(b) OVER (PARTITION BY timetable_id ORDER BY k ROWS UNBOUNDED PRECEDING) + CASE WHEN first < 10800 THEN 86400 ELSE 0 END AS s FROM back)
+SELECT c.timetable_id, CAST(i AS INT) AS stop_sequence, coalesce(x.departure_station, x.arrival_station) AS station_urn, CAST(a.s AS BIGINT) AS arrival_seconds, CAST(d.s AS BIGINT) AS departure_seconds FROM c LEFT JOIN run a ON a.timetable_id = c.timetable_id AND a.k = i * 2 - 1 LEFT JOIN run d ON d.timetable_id = c.timetable_id AND d.k = i * 2""")
+def odpt_timetable_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Calls of the timetables as a dump holds them, their clocks running on past midnight."""
+    t = load(spark, sf_dir, "tokyo_odpt_train_timetable")
+    calls = F.transform("odpt_train_timetable_object", lambda x: F.struct(x["arrival_time"].alias("odpt:arrivalTime"), x["departure_time"].alias("odpt:departureTime"), x["arrival_station"].alias("odpt:arrivalStation"), x["departure_station"].alias("odpt:departureStation")))
+    dump = t.select(F.to_json(F.struct(F.col("timetable_id").cast("string").alias("owl:sameAs"), F.col("odpt_railway").alias("odpt:railway"), F.col("odpt_calendar").alias("odpt:calendar"), calls.alias("odpt:trainTimetableObject"))).alias("value"))
+    return odpt.timetable_calls(odpt.objects(dump), 3).select(F.col("timetable_urn").cast("bigint").alias("timetable_id"), "stop_sequence", "station_urn", "arrival_seconds", "departure_seconds")
+
+
+@query("""SELECT railway_urn, operator, count(*) AS stations, count(title_en) AS with_title, round(avg(lat), 4) AS mean_lat FROM (SELECT DISTINCT odpt_railway AS railway_urn, split_part(odpt_operator, ':', 2) AS operator, s, list_extract(string_split(s, '.'), -1) AS title_en, 35 + length(s) / 100.0 AS lat
+FROM (SELECT odpt_railway, odpt_operator, unnest(odpt_train_timetable_object).departure_station AS s FROM tokyo_odpt_train_timetable) WHERE s IS NOT NULL) GROUP BY 1, 2""")
+def odpt_stations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Stations as a dump holds them."""
+    t = load(spark, sf_dir, "tokyo_odpt_train_timetable").select("odpt_railway", "odpt_operator", F.explode("odpt_train_timetable_object.departure_station").alias("s")).where("s IS NOT NULL").distinct()
+    title = F.struct(readers.urn_tail(F.col("s")).alias("en"))
+    dump = t.select(F.to_json(F.struct(F.col("s").alias("owl:sameAs"), F.col("odpt_operator").alias("odpt:operator"), F.col("odpt_railway").alias("odpt:railway"), title.alias("odpt:stationTitle"), (F.lit(35) + F.length("s") / 100.0).alias("geo:lat"))).alias("value"))
+    return odpt.stations(odpt.objects(dump)).groupBy("railway_urn", "operator").agg(F.count(F.lit(1)).alias("stations"), F.count("title_en").alias("with_title"), F.round(F.avg("lat"), 4).alias("mean_lat"))
+
+
 # files
 
 

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tidetable.operators.timestamps import running_clock
 from tidetable.sources.readers import RECORDS, envelope_schema
 
 _TITLE = "struct<en: string, ja: string>"
@@ -14,7 +15,8 @@ _TITLE = "struct<en: string, ja: string>"
 OBJECT = ("`@id` string, `@type` string, `owl:sameAs` string, `dc:date` string, `dc:title` string, `dct:valid` string, `odpt:operator` string, `odpt:railway` string, `odpt:railDirection` string, `odpt:trainNumber` string, `odpt:trainType` string, "
           "`odpt:delay` int, `odpt:fromStation` string, `odpt:toStation` string, `odpt:originStation` array<string>, `odpt:destinationStation` array<string>, `odpt:carComposition` int, `odpt:index` int, `odpt:frequency` int, "
           f"`odpt:timeOfOrigin` string, `odpt:resumeEstimate` string, `odpt:trainInformationCause` {_TITLE}, `odpt:trainInformationStatus` {_TITLE}, `odpt:trainInformationText` {_TITLE}, `odpt:lineCode` string, "
-          f"`odpt:ascendingRailDirection` string, `odpt:descendingRailDirection` string, `odpt:stationOrder` array<struct<`odpt:station`: string, `odpt:index`: int>>, `odpt:railwayTitle` {_TITLE}, `odpt:calendarTitle` {_TITLE}")
+          f"`odpt:ascendingRailDirection` string, `odpt:descendingRailDirection` string, `odpt:stationOrder` array<struct<`odpt:station`: string, `odpt:index`: int>>, `odpt:railwayTitle` {_TITLE}, `odpt:calendarTitle` {_TITLE}, `odpt:calendar` string, `odpt:train` string, "
+          f"`odpt:trainTimetableObject` array<struct<`odpt:arrivalTime`: string, `odpt:departureTime`: string, `odpt:arrivalStation`: string, `odpt:departureStation`: string>>, `odpt:stationCode` string, `odpt:stationTitle` {_TITLE}, `geo:lat` double, `geo:long` double")
 
 
 def objects(messages: DataFrame, value: str = "value") -> DataFrame:
@@ -121,5 +123,27 @@ def railways(of: DataFrame) -> DataFrame:
         "*", F.col("s.`odpt:station`").alias("station_urn"), F.col("s.`odpt:index`").alias("station_index")).drop("s")
 
 
+def stations(of: DataFrame) -> DataFrame:
+    c = lambda name: F.col(f"`{name}`")
+    return of.select(c("owl:sameAs").alias("station_urn"), tail(c("odpt:operator")).alias("operator"), c("odpt:railway").alias("railway_urn"), c("odpt:stationCode").alias("station_code"), F.coalesce(c("dc:title"), F.col("`odpt:stationTitle`.ja")).alias("title_ja"),
+                     F.col("`odpt:stationTitle`.en").alias("title_en"), c("geo:lat").alias("lat"), c("geo:long").alias("lon"))
+
+
+def timetable_calls(of: DataFrame, cutover_hours: int) -> DataFrame:
+    """One row per call of a train timetable, in order: ``stop_sequence`` from 1, ``station_urn``, and both clocks as seconds of the service day.
+
+    A train whose first clock lies before the cutover belongs to the day before and starts at 24 h; each time the clocks run
+    backwards, arrivals and departures taken in turn, a day is added. Missing and unreadable clocks are null and do not count.
+    """
+    c = lambda name: F.col(f"`{name}`")
+    turns = F.flatten(F.transform(c("odpt:trainTimetableObject"), lambda x: F.array(x["odpt:arrivalTime"], x["odpt:departureTime"])))
+    t = of.select(c("owl:sameAs").alias("timetable_urn"), c("odpt:railway").alias("railway_urn"), c("odpt:calendar").alias("calendar_urn"), c("odpt:trainNumber").alias("train_number"), c("odpt:trainTimetableObject").alias("calls"), running_clock(turns).alias("__run"))
+    base = F.when(F.col("__run")[0]["seconds"] < cutover_hours * 3600, 86_400).otherwise(0)
+    t = t.withColumn("__base", base).withColumn("__at", F.map_from_entries(F.transform("__run", lambda r: F.struct(r["item"], r["seconds"] + F.col("__base")))))
+    rows = t.select("timetable_urn", "railway_urn", "calendar_urn", "train_number", "__at", F.posexplode("calls").alias("i", "x"))
+    return rows.select("timetable_urn", "railway_urn", "calendar_urn", "train_number", (F.col("i") + 1).alias("stop_sequence"), F.coalesce("x.`odpt:departureStation`", "x.`odpt:arrivalStation`").alias("station_urn"),
+                       F.try_element_at("__at", 2 * F.col("i") + 1).alias("arrival_seconds"), F.try_element_at("__at", 2 * F.col("i") + 2).alias("departure_seconds"))
+
+
 def calendars(of: DataFrame) -> DataFrame:
     return of.select(F.col("`owl:sameAs`").alias("calendar_urn"), F.coalesce(F.col("`dc:title`"), F.col("`odpt:calendarTitle`.ja")).alias("title_ja"), F.col("`odpt:calendarTitle`.en").alias("title_en"))
