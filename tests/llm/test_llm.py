@@ -150,6 +150,15 @@ def test_ids_of_odd_texts(own, public):
     assert own.encode([None, ""]) == [[], []]
 
 
+def test_ascii_is_cut_alike(own):
+    ascii_ = [chr(i) for i in range(128)]
+    for a in ascii_:
+        for t in [a + b for b in ascii_] + [f"x{a}'s {a}", f" {a}1 {a} ", f"{a}\n\n{a}a'LL've"]:
+            assert own.cut_ascii(t) == own.cut(t), ascii(t)
+    texts = ["don't stop 12 buses\t\n", None, "", "é1", "a" * 50]
+    assert own.count(texts) == [len(x) for x in own.encode(texts)]
+
+
 def test_p8_on_the_tables(spark, data, public):
     ids = {r.doc_id: r.ids for r in queries.p8_ids(spark, data).collect()}
     docs = load(spark, data, "documents").select("doc_id", "text").collect()

@@ -6,6 +6,7 @@ import hashlib
 import heapq
 import json
 import os
+import re
 from collections.abc import Iterable, Iterator
 from itertools import chain
 from typing import NamedTuple
@@ -18,6 +19,8 @@ from pyspark.sql import functions as F
 TOKENIZERS = os.environ.get("PUBLIC_TOKENIZERS", "/opt/tokenizers")
 #: Fixed value: how byte-level BPE of this vocabulary cuts text into words before merging.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+#: The same cut for texts of ASCII alone, whose letters, numbers and spaces are few enough to be named.
+ASCII_PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?[A-Za-z]+| ?[0-9]+| ?[^\sA-Za-z0-9]+|\s+(?!\S)|\s+"
 #: Words whose ids a worker remembers between batches; beyond it the memory starts anew. It bounds memory, not results.
 REMEMBERED = 400_000
 
@@ -123,17 +126,25 @@ class Encoder:
     def __init__(self, raw: bytes):
         import regex
 
-        self.merges, self.cut, self.known = read_merges(raw), regex.compile(PATTERN).findall, {}
+        self.merges, self.cut, self.cut_ascii, self.known = read_merges(raw), regex.compile(PATTERN).findall, re.compile(ASCII_PATTERN, re.ASCII).findall, {}
 
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """Ids of each text; null and empty texts give no ids, blank text is text like any other."""
-        cut = [self.cut(t) if t else [] for t in texts]
+    def words(self, texts: list[str | None]) -> list[list[str]]:
+        """The words of each text, whose ids are then all in ``known``."""
+        cut = [(self.cut_ascii(t) if t.isascii() else self.cut(t)) if t else [] for t in texts]
         if len(self.known) > REMEMBERED:
             self.known = {}
         known = self.known
         new = list({w for ws in cut for w in ws if w not in known})
         known.update(zip(new, encode_words([w.encode("utf-8", "replace") for w in new], self.merges), strict=True))
-        return [list(chain.from_iterable(map(known.__getitem__, ws))) for ws in cut]
+        return cut
+
+    def encode(self, texts: list[str | None]) -> list[list[int]]:
+        """Ids of each text; null and empty texts give no ids, blank text is text like any other."""
+        return [list(chain.from_iterable(map(self.known.__getitem__, ws))) for ws in self.words(texts)]
+
+    def count(self, texts: list[str | None]) -> list[int]:
+        """How many ids each text has."""
+        return [sum(map(len, map(self.known.__getitem__, ws))) for ws in self.words(texts)]
 
 
 class Decoder:
@@ -208,7 +219,7 @@ def count_tokens(df: DataFrame, key: str, text: str, folder: str = TOKENIZERS, n
         own = encoder(raw.value, digest)
         for batch in batches:
             texts = batch.column(1).to_pylist()
-            n = [len(x) for a, b in _parts(texts) for x in own.encode(texts[a:b])]
+            n = [x for a, b in _parts(texts) for x in own.count(texts[a:b])]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(n, pa.int64())], [key, "n_tokens"])
 
     kind = df.schema[key].dataType.simpleString()
