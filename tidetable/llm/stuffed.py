@@ -27,18 +27,18 @@ _LANGS = list(FUNCTION_WORDS)
 _OWNERS: dict[str, tuple[int, ...]] = {w: tuple(i for i, lang in enumerate(_LANGS) if w in set(FUNCTION_WORDS[lang].split())) for words in FUNCTION_WORDS.values() for w in words.split()}
 #: A link: markdown, with a scheme, ``www.``, a host name of any top-level domain in small letters, or a footnote mark at a cell's end.
 _LINK = re.compile(r"\[[^\[\]\n]*\]\([^)\s]*\)|https?://\S+|www\.\S+|(?<![\w@.-])[a-z0-9][\w-]+(?:\.[\w-]+)*\.[a-z]{2,}(?![\w-])(?:[/:?]\S*)?|\[\d{1,3}\](?=\s|$|\|)", re.ASCII)
-#: What every link holds; a text without it is spared the search for links.
-_MAYBE_LINK = re.compile(r"://|www\.|\]\(|\[\d|[a-z0-9]\.[a-z]{2}")
+#: What a link without a scheme, ``www.`` or brackets holds.
+_MAYBE_HOST = re.compile(r"\.[a-z]{2}")
 _TAG = re.compile(r"#\w+|\bsku-\w+")
 _HIDDEN = re.compile("[\u200b-\u200f\u2060\ufeff\u00ad]")
 _LEET_WORD = re.compile(r"(?<![\w@$])(?=[\w@$]*[a-z])(?=[\w@$]*[0134$@57])[a-z0-9@$]{3,}(?![\w@$])")
 _LEET = str.maketrans("013457@$", "oieastas")
-_MAYBE_LEET = re.compile(r"[a-z][\d@$]|[\d@$][a-z]")
+_MAYBE_LEET = re.compile(r"[a-z]\d[a-z]|\d[a-z]\d")
 _CJK = re.compile("[\u3040-\u30ff\u3400-\u9fff]")
 #: Tokens: data (clocks, decimals, deviations, leading numbers), words, and separators; in Japanese words are runs of katakana and single other characters.
 _DATUM = r"(?<!\d)\d{1,2}[:h][0-5]\d(?!\d)|\d+[.,]\d+|[+-]\d+ s\b|^\s*\d{1,2}[.)](?=\s)"
 _SEPARATOR = r"[\n|•·;,、。»→/!?！？]+|(?<=[^\W\d])\.(?=\s|$)|\s[-–—](?=\s)"
-_TOKEN = re.compile(rf"{_DATUM}|[^\W_]+|{_SEPARATOR}", re.MULTILINE)
+_TOKEN = re.compile(rf"[^\W\d_][^\W_]*|{_DATUM}|[^\W_]+|{_SEPARATOR}", re.MULTILINE)
 _EAST = re.compile(rf"{_DATUM}|[\u30a0-\u30ff]+|[\u3040-\u309f\u3400-\u9fff]|[^\W_\u3040-\u30ff\u3400-\u9fff]+|{_SEPARATOR}", re.MULTILINE)
 _IS_DATUM = re.compile(r"\d{1,2}[:h][0-5]\d$|\d+[.,]\d+$|[+-]\d+ s$|\s*\d{1,2}[.)]$")
 _IS_WORD = re.compile(r"[^\W_]+$")
@@ -50,15 +50,17 @@ def plain(text: str) -> tuple[str, int, int]:
     letters they stand for; the characters of its links and tags, and their number."""
     t = text if text.isascii() else _HIDDEN.sub("", unicodedata.normalize("NFKC", text))
     found: list[str] = []
-    if _MAYBE_LINK.search(t):
-        found = _LINK.findall(t)
-        t = _LINK.sub(" | ", t) if found else t
+
+    def cut(m: re.Match[str]) -> str:
+        found.append(m[0])
+        return " | "
+
+    if "://" in t or "www." in t or "[" in t or _MAYBE_HOST.search(t):
+        t = _LINK.sub(cut, t)
     t = t.lower()
     if "#" in t or "sku-" in t:
-        tags = _TAG.findall(t)
-        found += tags
-        t = _TAG.sub(" | ", t) if tags else t
-    if _MAYBE_LEET.search(t):
+        t = _TAG.sub(cut, t)
+    if "@" in t or "$" in t or _MAYBE_LEET.search(t):
         t = _LEET_WORD.sub(lambda m: m[0].translate(_LEET) if 3 * sum(c.isalpha() for c in m[0]) >= len(m[0]) else m[0], t)
     return t, sum(len(m) - m.count(" ") for m in found), len(found)
 
@@ -157,7 +159,9 @@ def features(texts: list[str]) -> tuple[np.ndarray, dict[str, np.ndarray]]:
     often = np.maximum(OFTEN, OFTEN_SHARE * total_words)
     single = _counts(d, w, weight=once)
     top = np.zeros(n_docs)
-    np.maximum.at(top, d, _counts(d, w))
+    if len(d):
+        begin = np.flatnonzero(np.r_[True, d[1:] != d[:-1]])
+        top[d[begin]] = np.maximum.reduceat(_counts(d, w), begin)
     inner = np.flatnonzero(~first)
     pair = _counts(d[inner], w[inner - 1], w[inner], weight=once[inner])
     recurs = pair >= often[d[inner]]
