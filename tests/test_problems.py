@@ -36,6 +36,15 @@ def test_redundant_leaves_copies_without_a_name_unless_a_named_one_is_kept(spark
     assert sorted((r.m, r.copies) for r in dedup.redundant(messages(spark, rows), ["m", "v"], "fetched_at", "row_no").collect()) == [("b", "lost"), ("c", "lost"), ("d", "lost")]
 
 
+def test_redundant_tells_messages_apart_as_the_keepers_do(spark):
+    rows = [(m, v, ts("2025-01-01"), None, c) for m in ("", "a", "ab", None) for v in (0, 1, -1, None) for c in ("", "b", None)] * 2
+    df = spark.createDataFrame(rows, "m string, v int, fetched_at timestamp, row_no bigint, copies string").withColumn("row_no", F.monotonically_increasing_id())
+    df = spark.createDataFrame(df.collect(), df.schema)
+    kept = dedup.keepers(df.withColumn("k", F.col("row_no")), ["m", "v", "copies"], "fetched_at", "row_no").select("row_no").collect()
+    lost = dedup.redundant(df, ["m", "v", "copies"], "fetched_at", "row_no").collect()
+    assert len(kept) == 48 and len(lost) == 48 and not {r.row_no for r in kept} & {r.row_no for r in lost}
+
+
 def test_keepers_count_copies_and_negative_ties(spark):
     rows = [("a", 1, ts("2025-01-01"), -(2**62), "x"), ("a", 1, ts("2025-01-01"), 2**62, "x"), ("a", 1, ts("1960-01-01"), 3, "x")]
     r = dedup.keepers(messages(spark, rows), ["m", "v"], "fetched_at", "row_no").collect()

@@ -35,19 +35,30 @@ def keepers(df: DataFrame, identifier: Sequence[str], delivered: str, tie_break:
     return df.groupBy(*identifier).agg(F.min_by(F.col(tie_break), order).alias(tie_break), F.count(F.lit(1)).alias("copies"))
 
 
+def digest(identifier: Sequence[str]) -> tuple[Column, Column]:
+    """The identifier as 128 bits: two hashes over all its values and which of them are null, so that a value and a null cannot change places.
+
+    Rows that differ in one number alone never agree; of 10^12 messages any two agree with a probability of about 10^-15.
+    """
+    parts = [*[F.col(c).isNull() for c in identifier], *[F.col(c) for c in identifier]]
+    return F.xxhash64(F.lit(0), *parts), F.xxhash64(F.lit(1), *parts)
+
+
 def redundant(df: DataFrame, identifier: Sequence[str], delivered: str, tie_break: str) -> DataFrame:
     """The rows that :func:`keepers` does not keep, whole and with their own columns.
 
-    The comparison back to the rows is on ``tie_break`` alone, which is evenly spread whatever the identifiers' skew.
+    Only the kept rows' names are needed, so messages are told apart by :func:`digest` and their columns stay out of the shuffle. The
+    comparison back to the rows is on ``tie_break`` alone, which is evenly spread whatever the identifiers' skew.
     Rows with a null ``tie_break`` cannot be named; all of them stay, unless a named copy of their message is kept, which makes them redundant.
     """
-    kept = keepers(df, identifier, delivered, tie_break).where(F.col(tie_break).isNotNull())
-    named = df.where(F.col(tie_break).isNotNull()).join(kept.select(F.col(tie_break).alias("__kept")), F.col(tie_break) == F.col("__kept"), "left_anti")
-    messages = kept.select(*[F.col(c).alias(f"__id{i}") for i, c in enumerate(identifier)])
-    same = F.lit(True)
-    for i, c in enumerate(identifier):
-        same = same & df[c].eqNullSafe(messages[f"__id{i}"])
-    return named.unionByName(df.where(F.col(tie_break).isNull()).join(messages, same, "left_semi"))
+    one, two = digest(identifier)
+    order = delivery_order(F.unix_micros(F.col(delivered).cast("timestamp")), F.col(tie_break))
+    copies = df.select(one.alias("__one"), two.alias("__two"), F.col(tie_break).alias("__tie"), order.alias("__order"))
+    kept = copies.groupBy("__one", "__two").agg(F.min_by("__tie", "__order").alias("__kept")).where(F.col("__kept").isNotNull())
+    named = df.where(F.col(tie_break).isNotNull()).join(kept.select("__kept"), F.col(tie_break) == F.col("__kept"), "left_anti")
+    nameless = df.where(F.col(tie_break).isNull()).withColumns({"__first": one, "__second": two})
+    lost = nameless.join(kept.select("__one", "__two"), (F.col("__first") == F.col("__one")) & (F.col("__second") == F.col("__two")), "left_semi")
+    return named.unionByName(lost.select(*df.columns))
 
 
 def keep_first(df: DataFrame, identifier: Sequence[str], order: Sequence[str]) -> DataFrame:
