@@ -31,6 +31,8 @@ _FORM = (r"^(?:(\d{10}|\d{13}|\d{16}|\d{19})(?:[.,](\d+))?"
 _PARTS = "$1|$2|$3$10$13|$5$9|$6$7$11|$12|$8|$14|$15|$16|$17|$18|$19"
 #: Dates with the year last whose first two numbers may be day and month or month and day; the only spellings that need a mixture.
 _TWO_ORDERS = r"^\d{1,2}([-/])\d{1,2}\1\d{4}(?:\D|$)"
+#: What every such date begins with before it is made plain; it spares other texts the closer look.
+_MAYBE_TWO_ORDERS = r"^[\s　]*[0-9０-９]{1,2}[-/－／年月]"
 _MONTHS = "JANFEBMARAPRMAYJUNJULAUGSEPOCTNOVDEC"
 #: Likelihood ratios and weights stay within these, so that no value alone makes the other order impossible.
 _MOST_ODDS, _LEAST_WEIGHT = 1e18, 1e-6
@@ -41,7 +43,8 @@ def plain_text(text: Column) -> Column:
     t = F.translate(text, "０１２３４５６７８９：／－．　", "0123456789:/-. ")
     t = F.when(F.contains(t, F.lit("分")), F.regexp_replace(t, r"分(?=\d)", ":")).otherwise(t)
     t = F.translate(t, "年月日時分秒", "-- :")
-    return F.upper(F.btrim(t, F.lit(" \t\n\r\f\x0b")))
+    # a text of as many bytes as characters is ASCII and holds nothing to translate
+    return F.upper(F.btrim(F.when(F.octet_length(text) == F.length(text), text).otherwise(t), F.lit(" \t\n\r\f\x0b")))
 
 
 def _micros(digits: Column) -> Column:
@@ -171,7 +174,7 @@ def normalise(df: DataFrame, text: str, zone: str, source: str, evidence: str |
     """
     df = df.drop(*[c for c in ("utc_micros", "reading", "posterior", "status") if c not in (text, zone, source, evidence)])
     near = F.col(evidence) if evidence else F.lit(None).cast("bigint")
-    two_orders = F.coalesce(plain_text(F.col(text)).rlike(_TWO_ORDERS), F.lit(False))
+    two_orders = F.coalesce(F.col(text).rlike(_MAYBE_TWO_ORDERS) & plain_text(F.col(text)).rlike(_TWO_ORDERS), F.lit(False))
     surface = F.regexp_replace(F.regexp_replace(plain_text(F.col(text)), r"\d+", "9"), r"[A-Z]{3,}", "A")
     u = _likelihoods(near, spread)
 

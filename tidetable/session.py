@@ -12,10 +12,18 @@ from pyspark.sql import functions as F
 #: Sides up to this many estimated bytes are hinted for broadcast; beyond it Catalyst and AQE choose.
 BROADCAST_LIMIT = 8 << 20
 
+#: Fixed value: bytes of the largest method that the JVM's compiler takes.
+METHOD_LIMIT = 8000
+
 
 def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One parquet table of ``sf_dir``. All instants in the tables are UTC, so the session's zone is set to UTC."""
+    """One parquet table of ``sf_dir``. All instants in the tables are UTC, so the session's zone is set to UTC.
+
+    Generated methods above :data:`METHOD_LIMIT` bytes are never compiled by the JVM and run interpreted; with the limit told, Spark
+    evaluates such a stage in smaller pieces instead.
+    """
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", METHOD_LIMIT)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
