@@ -87,39 +87,47 @@ def _apart(df: DataFrame, **columns: Column) -> DataFrame:
     return df.select("*", F.inline(F.array(F.struct(*[c.alias(n) for n, c in columns.items()]))))
 
 
-def with_readings(df: DataFrame, text: Column, zone: Column) -> DataFrame:
-    """``df`` with every valid reading of ``text`` in micros: ``__r0`` and ``__r1`` in the written order (day first where the year is
-    last), ``__r2`` and ``__r3`` month first; the second of each pair is the later instant of a wall clock that came twice. Null
-    where there is no such reading or it is the same instant (``__same``). ``__last`` tells whether the year is last.
-
-    Read are ISO 8601 in extended and compact form, year-first and day- or month-first dates with ``-``, ``/`` or ``.``, HTTP
-    dates, epoch seconds (also with a fraction), milliseconds, microseconds and nanoseconds, 24- and 12-hour clocks,
-    numeric offsets, ``Z``, and the zone's own abbreviations. A text without zone is local time of ``zone``; a stated
-    offset outranks a bracketed region. One regular expression takes a text apart.
-    """
+def _stages() -> list[dict[str, Column]]:
+    """The columns that lead from ``__t``, a plain text, and ``__zone`` to its readings ``__q0`` to ``__q3``, stage by stage."""
     c = F.col
-    out = df.withColumns({"__zone": zone, "__t": plain_text(text)})
-    out = out.withColumn("__form", F.regexp_replace("__t", _FORM, _PARTS))
-    out = out.withColumn("__p", F.when(c("__form") != c("__t"), F.split("__form", r"\|")))
+    stages = [{"__form": F.regexp_replace("__t", _FORM, _PARTS)}, {"__p": F.when(c("__form") != c("__t"), F.split("__form", r"\|"))}]
     epoch, fraction, year, month, day, name, last, h, mi, s, f, half, mark = (c("__p")[i] for i in range(13))
     number = lambda t: F.coalesce(t.try_cast("int"), F.lit(0))
+    hours, minutes, seconds = number(h), number(mi), number(s)
     named = F.position(F.substring(name, 1, 3), F.lit(_MONTHS))
     written = F.when(name == "", month).otherwise(F.when(named % 3 == 1, ((named + 2) / 3).cast("int").cast("string")))
-    hour = F.when(half == "", F.when(number(h) < 24, number(h))).when(number(h).between(1, 12), number(h) % 12 + F.when(half == "PM", 12).otherwise(0))
-    clock = F.when((number(mi) < 60) & (number(s) < 60), (hour * 3600 + number(mi) * 60 + number(s)).cast("bigint") * 1_000_000 + F.when(f == "", 0).otherwise(_micros(f)))
+    hour = F.when(half == "", F.when(hours < 24, hours)).when(hours.between(1, 12), hours % 12 + F.when(half == "PM", 12).otherwise(0))
+    clock = F.when((minutes < 60) & (seconds < 60), (hour * 3600 + minutes * 60 + seconds).cast("bigint") * 1_000_000 + F.when(f == "", 0).otherwise(_micros(f)))
     date = lambda m, d: F.unix_date(F.concat_ws("-", year, m, d).try_cast("date")).cast("bigint") * DAY
     n, digits, part = epoch.try_cast("bigint"), F.length(epoch), F.when(fraction == "", 0).otherwise(_micros(fraction))
     instant = F.when(digits == 10, n * 1_000_000 + part).when(digits == 13, n * 1000).when(digits == 16, n).when(digits == 19, F.floor(n.cast("decimal(20,0)") / 1000).cast("bigint"))
-    out = out.withColumns({"__epoch": F.when(epoch != "", instant), "__clock": F.when(epoch == "", clock), "__shift": F.when(mark != "", _shift(mark, c("__zone"))).cast("bigint") * 1_000_000,
-                           "__one": F.when(epoch == "", date(written, day)), "__two": F.when(last.isin("-", "/"), date(day, month)), "__last": F.coalesce(last != "", F.lit(False))})
-    out = out.withColumns({"__one": c("__one") + c("__clock"), "__two": c("__two") + c("__clock")})
+    stages.append({"__epoch": F.when(epoch != "", instant), "__clock": F.when(epoch == "", clock), "__shift": F.when(mark != "", _shift(mark, c("__zone"))).cast("bigint") * 1_000_000,
+                   "__one": F.when(epoch == "", date(written, day)), "__two": F.when(last.isin("-", "/"), date(day, month)), "__last": F.coalesce(last != "", F.lit(False))})
+    stages.append({"__one": c("__one") + c("__clock"), "__two": c("__two") + c("__clock")})
     local = c("__shift").isNull()
-    out = out.withColumns({f"{k}_{w}": F.when(local, _offset(c(k) + d, c("__zone"))) for k in ("__one", "__two") for w, d in (("before", -DAY), ("after", DAY))})
+    stages.append({f"{k}_{w}": F.when(local, _offset(c(k) + d, c("__zone"))) for k in ("__one", "__two") for w, d in (("before", -DAY), ("after", DAY))})
     one, two = (_instants(c(k), c("__zone"), c(f"{k}_before"), c(f"{k}_after")) for k in ("__one", "__two"))
-    out = out.withColumns({"__q0": F.coalesce("__epoch", c("__one") - c("__shift"), one[0]), "__q1": one[1], "__q2": F.coalesce(c("__two") - c("__shift"), two[0]), "__q3": two[1]})
+    stages.append({"__q0": F.coalesce("__epoch", c("__one") - c("__shift"), one[0]), "__q1": one[1], "__q2": F.coalesce(c("__two") - c("__shift"), two[0]), "__q3": two[1]})
+    return stages
+
+
+def with_readings(df: DataFrame, text: Column, zone: Column, stages: list[dict[str, Column]] | None = None) -> DataFrame:
+    """``df`` with every valid reading of ``text`` in micros: ``__r0`` and ``__r1`` in the written order (day first where the year is
+    last), ``__r2`` and ``__r3`` month first; the second of each pair is the later instant of a wall clock that came twice. Null
+    where there is no such reading or it is the same instant (``__same``). ``__last`` tells whether the year is last.
+
+    Read are ISO 8601 in extended and compact form, year-first and day- or month-first dates with ``-``, ``/`` or ``.``, HTTP
+    dates, epoch seconds (also with a fraction), milliseconds, microseconds and nanoseconds, 24- and 12-hour clocks,
+    numeric offsets, ``Z``, and the zone's own abbreviations. A text without zone is local time of ``zone``; a stated
+    offset outranks a bracketed region. One regular expression takes a text apart.
+    """
+    out = df.withColumns({"__zone": zone, "__t": plain_text(text)})
+    for columns in stages or _stages():
+        out = out.withColumns(columns)
     # without the day-first reading the month-first one stands alone; of equal dates the first
-    same = F.coalesce(c("__q0") == c("__q2"), F.lit(False))
-    return _apart(out.select(*df.columns, "__last", *[f"__q{i}" for i in range(4)]), __same=same, __r0=c("__q0"), __r1=c("__q1"), __r2=F.when(~same, c("__q2")), __r3=F.when(~same, c("__q3"))).drop(*[f"__q{i}" for i in range(4)])
+    q = [F.col(f"__q{i}") for i in range(4)]
+    same = F.coalesce(q[0] == q[2], F.lit(False))
+    return _apart(out.select(*df.columns, "__last", *q), __same=same, __r0=q[0], __r1=q[1], __r2=F.when(~same, q[2]), __r3=F.when(~same, q[3])).drop(*[f"__q{i}" for i in range(4)])
 
 
 def _likelihoods(near: Column, spread: float) -> list[Column]:
@@ -176,33 +184,36 @@ def normalise(df: DataFrame, text: str, zone: str, source: str, evidence: str |
     near = F.col(evidence) if evidence else F.lit(None).cast("bigint")
     two_orders = F.coalesce(F.col(text).rlike(_MAYBE_TWO_ORDERS) & plain_text(F.col(text)).rlike(_TWO_ORDERS), F.lit(False))
     surface = F.regexp_replace(F.regexp_replace(plain_text(F.col(text)), r"\d+", "9"), r"[A-Z]{3,}", "A")
-    u = _likelihoods(near, spread)
+    u, stages = _likelihoods(near, spread), _stages()
+
+    weighed_by = [F.col(f"__u{i}") * (F.col("__w") if i < 2 else 1 - F.col("__w")) for i in range(4)]
+    at = F.when(F.col("__top") <= 0, F.lit(None).cast("int"))
+    for i in range(4):
+        at = at.when(F.col(f"__e{i}") == F.col("__top"), i)
+    pick = lambda stem: F.when(F.col("__at") == 0, F.col(f"{stem}0")).when(F.col("__at") == 1, F.col(f"{stem}1")).when(F.col("__at") == 2, F.col(f"{stem}2")).when(F.col("__at") == 3, F.col(f"{stem}3"))
+    share = lambda stem: pick(stem) / (F.col(f"{stem}0") + F.col(f"{stem}1") + F.col(f"{stem}2") + F.col(f"{stem}3"))
+    several = sum((F.col(f"__r{i}").isNotNull().cast("int") for i in range(4)), F.lit(0)) > 1
+    kind = F.col("__at") + F.when(F.col("__last") | (F.col("__at") >= 2), 2).otherwise(0)
+    posterior = F.when(F.col("__at").isNotNull(), share("__e"))
+    status = F.when(F.col("__at").isNull(), "unreadable").when(~several, "certain").when(share("__u") >= sure, "by evidence").when(posterior >= sure, "by mixture").otherwise("ambiguous")
+    added = {"utc_micros": pick("__r"), "reading": F.try_element_at(F.array(*[F.lit(k) for k in KINDS]), kind + 1), "posterior": posterior, "status": status}
+    choice = [{f"__u{i}": x for i, x in enumerate(u)}, {f"__e{i}": x for i, x in enumerate(weighed_by)}, {"__top": F.greatest(*[f"__e{i}" for i in range(4)])}, {"__at": at}]
 
     def chosen(read: DataFrame, weight: Column) -> DataFrame:
-        staged = read.withColumn("__w", weight).withColumns({f"__u{i}": x for i, x in enumerate(u)})
-        staged = staged.withColumns({f"__e{i}": F.col(f"__u{i}") * (F.col("__w") if i < 2 else 1 - F.col("__w")) for i in range(4)}).withColumn("__top", F.greatest(*[f"__e{i}" for i in range(4)]))
-        at = F.when(F.col("__top") <= 0, F.lit(None).cast("int"))
-        for i in range(4):
-            at = at.when(F.col(f"__e{i}") == F.col("__top"), i)
-        staged = staged.withColumn("__at", at)
-        pick = lambda stem: F.when(F.col("__at") == 0, F.col(f"{stem}0")).when(F.col("__at") == 1, F.col(f"{stem}1")).when(F.col("__at") == 2, F.col(f"{stem}2")).when(F.col("__at") == 3, F.col(f"{stem}3"))
-        share = lambda stem: pick(stem) / (F.col(f"{stem}0") + F.col(f"{stem}1") + F.col(f"{stem}2") + F.col(f"{stem}3"))
-        several = sum((F.col(f"__r{i}").isNotNull().cast("int") for i in range(4)), F.lit(0)) > 1
-        kind = F.col("__at") + F.when(F.col("__last") | (F.col("__at") >= 2), 2).otherwise(0)
-        posterior = F.when(F.col("__at").isNotNull(), share("__e"))
-        status = F.when(F.col("__at").isNull(), "unreadable").when(~several, "certain").when(share("__u") >= sure, "by evidence").when(posterior >= sure, "by mixture").otherwise("ambiguous")
-        added = {"utc_micros": pick("__r"), "reading": F.try_element_at(F.array(*[F.lit(k) for k in KINDS]), kind + 1), "posterior": posterior, "status": status}
+        staged = read.withColumn("__w", weight)
+        for columns in choice:
+            staged = staged.withColumns(columns)
         return _apart(staged, **added).select(*df.columns, *added)
 
-    plain = chosen(with_readings(df.where(~two_orders), F.col(text), F.col(zone)), F.lit(0.5))
+    plain = chosen(with_readings(df.where(~two_orders), F.col(text), F.col(zone), stages), F.lit(0.5))
     open_ = df.where(two_orders)
     counted = open_.select(F.col(source).cast("string").alias("source"), surface.alias("surface"), F.col(text).alias("__text"), F.col(zone).alias("__of"), near.alias("__near"))
     v = _likelihoods(F.col("__near"), spread)
-    counted = with_readings(counted, F.col("__text"), F.col("__of")).where("NOT __same").select("source", "surface", F.greatest(v[0], v[1]).alias("day"), F.greatest(v[2], v[3]).alias("month"))
+    counted = with_readings(counted, F.col("__text"), F.col("__of"), stages).where("NOT __same").select("source", "surface", F.greatest(v[0], v[1]).alias("day"), F.greatest(v[2], v[3]).alias("month"))
     counted = counted.where("day > 0 OR month > 0").select("source", "surface", (F.col("day") / F.greatest("month", F.lit(1 / _MOST_ODDS))).alias("odds"))
     weights = format_mixtures(counted).select(F.col("source").alias("__s"), F.col("surface").alias("__f"), F.col("day_first").alias("__v"))
     weighed = open_.withColumn("__surface", surface).join(weights, F.col(source).cast("string").eqNullSafe(F.col("__s")) & (F.col("__surface") == F.col("__f")), "left")
-    return plain.unionByName(chosen(with_readings(weighed.drop("__s", "__f", "__surface"), F.col(text), F.col(zone)), F.coalesce("__v", F.lit(0.5))))
+    return plain.unionByName(chosen(with_readings(weighed.drop("__s", "__f", "__surface"), F.col(text), F.col(zone), stages), F.coalesce("__v", F.lit(0.5))))
 
 
 def clock_seconds(text: Column) -> Column:
