@@ -294,7 +294,7 @@ def json_export(spark: SparkSession, sf_dir: str) -> DataFrame:
 def replayed_messages(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Archived messages of one topic within windows of two cities, begun two hours early."""
     a = load(spark, sf_dir, "envelope").select(F.lit("positions").alias("topic"), "city", F.timestamp_seconds("feed_ts").alias("fetched_at"))
-    other = a.limit(1).withColumn("topic", F.lit("other"))
+    other = a.withColumn("topic", F.lit("other"))
     return readers.replayed(a.unionByName(other), "positions", [("norvale", "2025-11-01 00:00:00", "2025-11-06 00:00:00"), ("sternau", "2025-10-05 00:00:00", "2025-11-05 00:00:00")], "2 hours").groupBy("city").agg(F.count(F.lit(1)).alias("n"))
 
 

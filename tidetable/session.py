@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
 import os
+import shutil
 import tempfile
 import uuid
 
@@ -40,10 +42,12 @@ def broadcast_if_small(df: DataFrame, limit: int = BROADCAST_LIMIT) -> DataFrame
 
 def workspace(spark: SparkSession, name: str) -> str:
     """A new folder for written tables under the shared folder that ``spark.checkpoint.dir`` names; in a local session without one, under the
-    machine's temporary folder."""
+    machine's temporary folder, which is removed when the process ends."""
     root = spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not root:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError("spark.checkpoint.dir names no shared folder")
-        root = os.path.join(tempfile.gettempdir(), f"tidetable-{os.getuid()}")
+        path = os.path.join(tempfile.gettempdir(), f"tidetable-{os.getuid()}", f"{name}-{uuid.uuid4().hex}")
+        atexit.register(shutil.rmtree, path, ignore_errors=True)
+        return path
     return f"{root.rstrip('/')}/{name}-{uuid.uuid4().hex}"
