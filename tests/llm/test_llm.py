@@ -271,6 +271,20 @@ def test_features_of_a_very_long_text():
     assert values["stuffed_share"][0] > 0.9 and values["n_chars"][1] == 1
 
 
+@pytest.mark.parametrize("part", ["\n ", " ", "\t\n", "a", "1", ".b", "ab.cd.", "[a](b ", "a1", "a@", "$", "1,", "+1 s ", " - ", "駅の", "\u200b", "'", "#a ", "http://", "12. \n", "\r\n\u3000"])
+def test_odd_long_texts_take_time_in_proportion(own, part):
+    import time
+
+    def seconds(n):
+        began = time.process_time()
+        stuffed.features(["x" + part * n])
+        own.encode(["x" + part * n])
+        return time.process_time() - began
+
+    seconds(1000)
+    assert seconds(60_000) < 1.5 + 20 * seconds(10_000)
+
+
 def test_features_do_not_depend_on_the_texts_beside():
     texts = [t for t in [*STUFFED, *GENUINE] if t and t.strip()] + [p + sep.join(words * 20) for p, sep, words in KEYWORDS]
     lang, values = stuffed.features(texts)

@@ -36,7 +36,7 @@ _LEET = str.maketrans("013457@$", "oieastas")
 _MAYBE_LEET = re.compile(r"[a-z]\d[a-z]|\d[a-z]\d")
 _CJK = re.compile("[\u3040-\u30ff\u3400-\u9fff]")
 #: Tokens: data (clocks, decimals, deviations, leading numbers), words, and separators; in Japanese words are runs of katakana and single other characters.
-_DATUM = r"(?<!\d)\d{1,2}[:h][0-5]\d(?!\d)|\d+[.,]\d+|[+-]\d+ s\b|^\s*\d{1,2}[.)](?=\s)"
+_DATUM = r"(?<!\d)\d{1,2}[:h][0-5]\d(?!\d)|\d+[.,]\d+|[+-]\d+ s\b|^[^\S\n]*\d{1,2}[.)](?=\s)"
 _SEPARATOR = r"[\n|•·;,、。»→/!?！？]+|(?<=[^\W\d])\.(?=\s|$)|\s[-–—](?=\s)"
 _TOKEN = re.compile(rf"[^\W\d_][^\W_]*|{_DATUM}|[^\W_]+|{_SEPARATOR}", re.MULTILINE)
 _EAST = re.compile(rf"{_DATUM}|[\u30a0-\u30ff]+|[\u3040-\u309f\u3400-\u9fff]|[^\W_\u3040-\u30ff\u3400-\u9fff]+|{_SEPARATOR}", re.MULTILINE)
