@@ -116,7 +116,8 @@ def p7_status(spark: SparkSession, sf_dir: str) -> DataFrame:
 def p7_by_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Fetch times whose day and month the mixture of their city decides, without the feed's time, and how many of them the feed's time reads alike."""
     sent = timestamps.normalise(read_envelopes(spark, sf_dir, ["envelope_id"]), "fetched_at", "zone", "city")
-    sent = sent.where("status IN ('by mixture', 'ambiguous') AND reading IN ('day_first', 'month_first')").withColumnsRenamed({"utc_micros": "alone", "reading": "reading_alone", "status": "status_alone"})
+    # dates that both orders can read, apart
+    sent = sent.where(F.col("fetched_at").rlike(r"^\s*(0?[1-9]|1[0-2])/(?!\1/)(0?[1-9]|1[0-2])/") & F.col("status").isin("by mixture", "ambiguous")).withColumnsRenamed({"utc_micros": "alone", "reading": "reading_alone", "status": "status_alone"})
     both = timestamps.normalise(sent, "fetched_at", "zone", "endpoint", "near", spread=SPREAD)
     return both.groupBy("city", F.col("reading_alone").alias("reading"), F.col("status_alone").alias("status")).agg(F.count(F.lit(1)).alias("n"), F.count_if(F.col("alone") == F.col("utc_micros")).alias("as_by_evidence"))
 

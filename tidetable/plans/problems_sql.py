@@ -83,8 +83,8 @@ ORACLES |= {
     "p7_status": f"""WITH {_TEXTS}, {_READ}, picked AS (SELECT r.id, any_value(r.k) FILTER (WHERE r.micros = i.micros) AS k, count(*) AS several FROM readings r JOIN instants i ON i.id = r.id GROUP BY 1)
 SELECT CASE WHEN several IS NULL THEN 'unreadable' WHEN several > 1 THEN 'by evidence' ELSE 'certain' END AS status, {_KIND.format("k")} AS reading, count(*) AS n FROM envelope LEFT JOIN picked ON id = envelope_id GROUP BY 1, 2""",
     "p7_by_mixture": f"""WITH {_TEXTS}, {_READ}, envelope_texts AS (SELECT upper(trim(txt)) AS txt FROM texts WHERE id > 0), {_ORDERS}
-SELECT city, {_KIND.format("coalesce(base, 2)")} AS reading, CASE WHEN base IS NULL THEN 'ambiguous' ELSE 'by mixture' END AS status, count(*) AS n, count(*) FILTER (WHERE first = i.micros) AS as_by_evidence FROM envelope e JOIN open_ids o ON o.id = envelope_id LEFT JOIN learned ON half = (upper(trim(fetched_at)) LIKE '%M')
-JOIN (SELECT id, min(micros) FILTER (WHERE k = 2) AS d, min(micros) FILTER (WHERE k = 4) AS m FROM readings GROUP BY 1) r ON r.id = envelope_id JOIN instants i ON i.id = envelope_id, LATERAL (SELECT CASE WHEN coalesce(base, 2) = 2 THEN d ELSE m END AS first) GROUP BY 1, 2, 3""",
+SELECT city, {_KIND.format("coalesce(base, 2)")} AS reading, CASE WHEN base IS NULL OR (coalesce(base, 2) = 2 AND d_twice) OR (base = 4 AND m_twice) THEN 'ambiguous' ELSE 'by mixture' END AS status, count(*) AS n, count(*) FILTER (WHERE first = i.micros) AS as_by_evidence FROM envelope e JOIN open_ids o ON o.id = envelope_id LEFT JOIN learned ON half = (upper(trim(fetched_at)) LIKE '%M')
+JOIN (SELECT id, min(micros) FILTER (WHERE k = 2) AS d, min(micros) FILTER (WHERE k = 4) AS m, bool_or(k = 3) AS d_twice, bool_or(k = 5) AS m_twice FROM readings GROUP BY 1) r ON r.id = envelope_id JOIN instants i ON i.id = envelope_id, LATERAL (SELECT CASE WHEN coalesce(base, 2) = 2 THEN d ELSE m END AS first) GROUP BY 1, 2, 3""",
     "p6_history": f"""{_HISTORY} SELECT md5(concat_ws('|', p.city, p.route_id, strftime(d, '%Y-%m-%d'))) AS route_key, p.city AS city_key, p.route_id, s.agency_id, s.route_short_name, s.route_long_name, s.route_type, s.route_color, d AS valid_from, until AS valid_to,
 until IS NULL AS is_current, p.gtfs_version_id FROM periods p JOIN (SELECT DISTINCT * FROM gtfs_static_routes) s ON s.city = p.city AND s.route_id = p.route_id AND s.gtfs_version_id = p.gtfs_version_id WHERE here""",
     "p4_cells": f"WITH {_TEXTS}, {_READ}, {_ARRIVED} SELECT endpoint, h AS period_start, k AS arrival_period, n AS arrived FROM cells",
